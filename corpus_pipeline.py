@@ -7,10 +7,20 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rollkeep.llm import exact_dedup, packing, simhash
+from rollkeep.llm import exact_dedup, language_id, packing, simhash, toxicity
 from rollkeep.llm.queries import vocabulary
 
 
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Toxicity: documents that the classifier calls toxic go."""
+    return toxicity.keep_clean(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Language ID: documents without a recognisable language go."""
+    return language_id.keep_known(docs)
+
+
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Exact dedup: of equal texts the document with the largest doc_id stays."""
     return exact_dedup.drop_copies(docs)
@@ -26,7 +36,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(packing.cut(docs, vocabulary("byte_bpe_50k.json")))
 
 
-STAGES = [("exact_dedup", exact_copies), ("simhash_dedup", near_copies), ("packing", packed)]
+STAGES = [("toxicity", clean), ("language_id", known_language), ("exact_dedup", exact_copies), ("simhash_dedup", near_copies), ("packing", packed)]
 
 #: SQL cannot express the classifiers, the tokenizer and the packing.
 ORACLE_SQL = None

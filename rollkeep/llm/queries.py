@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollkeep.llm import bpe, embedding_dedup, exact_dedup, packing, simhash, url_filter
+from rollkeep.llm import bpe, embedding_dedup, exact_dedup, language_id, license_scan, packing, simhash, toxicity, url_filter
 from rollkeep.llm.common import table
 
 
@@ -24,6 +24,11 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_id.identify(docs.select("doc_id", "text"), language_id.train(docs)).drop("text")
+
+
 def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -38,6 +43,11 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_copies(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels"))).drop("text")
+
+
 #: The rules of the query.
 URL_RULES = [
     ("com", "/en/", "block"),
@@ -56,14 +66,25 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, the number of notices, their licenses as a sorted list, and the places of the first one; every document."""
+    found = license_scan.find_notices(table(spark, sf_dir, "documents"))
+    first = F.try_element_at("notices", F.lit(1))
+    names = F.array_join(F.array_sort(F.array_distinct(F.transform("notices", lambda x: x.license))), ",")
+    return found.select("doc_id", F.size("notices").alias("n_notices"), names.alias("licenses"), first.begin.alias("first_begin"), first.end.alias("first_end"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bpe": op1_bpe,
+        "op2_language_id": op2_language_id,
         "op3_embedding_dedup": op3_embedding_dedup,
         "op5_packing": op5_packing,
         "op6_exact_dedup": op6_exact_dedup,
+        "op7_toxicity": op7_toxicity,
         "op8_url_filter": op8_url_filter,
         "op9_simhash": op9_simhash,
+        "op10_license_scan": op10_license_scan,
     }
 
 
