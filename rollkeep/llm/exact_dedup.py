@@ -21,14 +21,23 @@ def _bits(key: Column, blocks: int) -> tuple[Column, list[Column]]:
     return F.pmod(F.xxhash64(key), F.lit(blocks)), [F.shiftrightunsigned(key, k).bitwiseAND(BLOCK - 1) for k in (0, 15, 30)]
 
 
-def repeat_filter(hashes: DataFrame, blocks: int) -> DataFrame:
-    """A blocked Bloom filter of the values of hashes (h: long) that occur more than once: (block, bits), at most `blocks` rows."""
-    again = hashes.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+def filter_block(name: str, blocks: int) -> Column:
+    return _bits(F.col(name), blocks)[0]
+
+
+def member_filter(hashes: DataFrame, blocks: int) -> DataFrame:
+    """A blocked Bloom filter of the values of hashes (h: long): (block, bits), at most `blocks` rows of 4 KB."""
     block, places = _bits(F.col("h"), blocks)
-    return again.select(block.alias("block"), F.explode(F.array(*places)).alias("place")).groupBy("block").agg(F.call_function("bitmap_construct_agg", F.col("place")).alias("bits"))
+    bits = F.call_function("bitmap_construct_agg", F.col("place")).alias("bits")
+    return hashes.select(block.alias("block"), F.explode(F.array(*places)).alias("place")).groupBy("block").agg(bits)
+
+
+def repeat_filter(hashes: DataFrame, blocks: int) -> DataFrame:
+    """The filter of those values that occur more than once."""
+    return member_filter(hashes.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), blocks)
 
 
-def _in_filter(key: Column, bits: Column) -> Column:
+def in_filter(key: Column, bits: Column) -> Column:
     """Whether all three places are set; false where the block is missing."""
     _, places = _bits(key, 1)
     held = F.lit(True)
@@ -52,8 +61,8 @@ def mark_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", blocks
     rows = rows.withColumn(h, F.conv(F.substring(sha, 1, 15), 16, 10).cast("long"))
     bloom = checkpointed(repeat_filter(rows.select(F.col(h).alias("h")), blocks))
     bloom = bloom.select(F.col("block").alias(f"{OWN}block"), F.col("bits").alias(f"{OWN}bits"))
-    rows = rows.withColumn(f"{OWN}block", _bits(F.col(h), blocks)[0]).join(F.broadcast(bloom), f"{OWN}block", "left")
-    rows = rows.withColumn(f"{OWN}maybe", _in_filter(F.col(h), F.col(f"{OWN}bits"))).drop(h, f"{OWN}block", f"{OWN}bits")
+    rows = rows.withColumn(f"{OWN}block", filter_block(h, blocks)).join(F.broadcast(bloom), f"{OWN}block", "left")
+    rows = rows.withColumn(f"{OWN}maybe", in_filter(F.col(h), F.col(f"{OWN}bits"))).drop(h, f"{OWN}block", f"{OWN}bits")
     once = rows.where(~F.col(f"{OWN}maybe")).drop(f"{OWN}maybe").withColumns({"keep_id": F.col(key), "group_size": F.lit(1).cast("long"), "kept": F.lit(True)})
     maybe = rows.where(f"{OWN}maybe").drop(f"{OWN}maybe")
     groups = maybe.groupBy(F.col(sha).alias(f"{OWN}sha")).agg(F.max(key).alias("keep_id"), F.count(F.lit(1)).alias("group_size"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollkeep.llm import bpe, embedding_dedup, exact_dedup, language_id, license_scan, packing, simhash, toxicity, url_filter
+from rollkeep.llm import bpe, embedding_dedup, exact_dedup, language_id, license_scan, line_dedup, packing, simhash, toxicity, url_filter
 from rollkeep.llm.common import table
 
 
@@ -33,6 +33,10 @@ def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.cut(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json")).drop("ids")
     return packing.pack(pieces)
@@ -79,6 +83,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_bpe": op1_bpe,
         "op2_language_id": op2_language_id,
         "op3_embedding_dedup": op3_embedding_dedup,
+        "op4_line_dedup": op4_line_dedup,
         "op5_packing": op5_packing,
         "op6_exact_dedup": op6_exact_dedup,
         "op7_toxicity": op7_toxicity,
