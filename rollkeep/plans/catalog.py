@@ -335,7 +335,7 @@ PROGRAMS_SQL = """
 e as (select o_custkey, o_orderkey, case when o_custkey % 4 = 0 then null else o_orderpriority end as program, case when o_custkey % 8 = 0 then null when o_orderkey % 2 = 0 then o_orderstatus end as list from orders),
 d as (select o_custkey, program, min(o_orderkey) as first from e where program is not null group by 1, 2),
 fallback as (select o_custkey, min_by(list, o_orderkey) as program from e where list is not null group by 1 having o_custkey not in (select o_custkey from d)),
-programs as (select o_custkey, row_number() over (partition by o_custkey order by first) - 1 as at, program from d union all select o_custkey, 0, program from fallback)
+programs as (select o_custkey, row_number() over (partition by o_custkey order by first) - 1 as place, program from d union all select o_custkey, 0, program from fallback)
 """
 
 
@@ -348,9 +348,9 @@ def customer_programs(read) -> DataFrame:
     return resolve.resolve_programs(people, entries, labels)
 
 
-@query(f"with {PROGRAMS_SQL} select o_custkey as c_custkey, "at", program from programs")
+@query(f"with {PROGRAMS_SQL} select o_custkey as c_custkey, place, program from programs")
 def programs_distinct(read, spark):
-    return customer_programs(read).select(F.col("pos").alias("c_custkey"), F.posexplode("sanction_programs").alias("at", "program")).select("c_custkey", F.col("at").cast("long").alias("at"), "program")
+    return customer_programs(read).select(F.col("pos").alias("c_custkey"), F.posexplode("sanction_programs").alias("place", "program")).select("c_custkey", F.col("place").cast("long").alias("place"), "program")
 
 
 REJECTS_SQL = f"""{PROGRAMS_SQL}, r as (select c_mktsegment as snapshot_id, c_custkey as pos, case when c_custkey % 50 = 0 then ' ' else cast(c_custkey as varchar) end as fixed_ref,
@@ -717,7 +717,7 @@ def records_by_type(read, spark):
     return compare.by_type(scope.in_scope(parties(read)))
 
 
-@query(f"with {PROGRAMS_SQL} select cast(o_custkey as varchar) as fixed_ref, c_name as primary_name, string_agg(program, '|' order by "at") as programs from programs join customer on o_custkey = c_custkey group by all")
+@query(f"with {PROGRAMS_SQL} select cast(o_custkey as varchar) as fixed_ref, c_name as primary_name, string_agg(program, '|' order by place) as programs from programs join customer on o_custkey = c_custkey group by all")
 def record_api_shape(read, spark):
     rows = customer_programs(read).where(F.size("sanction_programs") > 0).join(read("customer"), F.col("pos") == F.col("c_custkey"))
     rows = rows.select(text("c_custkey").alias("fixed_ref"), F.col("c_name").alias("primary_name"), "sanction_programs")
