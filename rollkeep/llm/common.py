@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +31,23 @@ def held_out(doc_id: Column | str) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == 2 if isinstance(doc_id, str) else F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1_000) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that a worker holds few texts and results at a time."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, rows):
+            yield batch.slice(k, rows)
+
+
+def set_aside(df: DataFrame, names: list[str]) -> DataFrame:
+    """df with its columns of these names renamed, so that an operator may add its own; bring_back undoes it."""
+    return df.withColumnsRenamed({n: f"{OWN}aside_{n}" for n in names if n in df.columns})
+
+
+def bring_back(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The given columns of what came from set_aside, under their own names."""
+    return df.select([F.col(f"`{OWN}aside_{c}`").alias(c) if f"{OWN}aside_{c}" in df.columns else F.col(f"`{c}`") for c in columns])
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only; null counts as empty."""
     return F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollkeep.llm.common import OWN, ascii_lower, checkpointed
+from rollkeep.llm.common import OWN, ascii_lower, bring_back, checkpointed, set_aside
 
 #: Bits in a block of the filter: what bitmap_construct_agg gathers into one value of 4 KB.
 BLOCK = 32_768
@@ -53,10 +53,11 @@ def mark_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", blocks
     Of a group the row with the largest key stays; keep_id is that key, group_size the number of rows.
     Null text counts as empty. A null key loses against any other; a group of null keys only keeps all its
     rows, with a null keep_id. Rows that repeat the largest key stay together. An empty table gives no rows.
-    Other columns pass through. blocks bounds the filter, which is broadcast, at 4 KB each (1 MB as set,
+    Other columns pass through; input columns of these names are replaced. blocks bounds the filter, which is broadcast, at 4 KB each (1 MB as set,
     2**23 bits); a fuller filter only lets more rows be shuffled, and results stay the same.
     """
     h, sha = f"{OWN}h", "text_sha256"
+    docs = docs.drop("keep_id", "group_size", "kept", sha)
     rows = docs.withColumn(sha, F.sha2(ascii_lower(F.col(text)), 256))
     rows = rows.withColumn(h, F.conv(F.substring(sha, 1, 15), 16, 10).cast("long"))
     bloom = checkpointed(repeat_filter(rows.select(F.col(h).alias("h")), blocks))
@@ -73,4 +74,5 @@ def mark_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", blocks
 
 def drop_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of docs that mark_copies keeps, with the columns of docs."""
-    return mark_copies(docs, key, text).where("kept").select(docs.columns)
+    marked = mark_copies(set_aside(docs, ["keep_id", "group_size", "kept", "text_sha256"]), key, text)
+    return bring_back(marked.where("kept"), docs.columns)
