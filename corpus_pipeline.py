@@ -32,8 +32,8 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Best-fit packing into sequences of 2048 tokens: one row for each piece, with its ids."""
-    return packing.pack(packing.cut(docs, vocabulary("byte_bpe_50k.json")))
+    """Best-fit packing into sequences of 2048 tokens: one row for each piece, with its ids in two bytes each."""
+    return packing.pack(packing.cut(docs, vocabulary("byte_bpe_50k.json"), id_bytes=2))
 
 
 STAGES = [("toxicity", clean), ("language_id", known_language), ("exact_dedup", exact_copies), ("simhash_dedup", near_copies), ("packing", packed)]

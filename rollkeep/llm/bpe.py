@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollkeep.llm.chunks import ChunkEncoder, joined
+from rollkeep.llm.common import slices
 
 #: Pieces of at most this many bytes go through the plain query, longer ones through the one below.
 SHORT = 64
@@ -195,13 +196,14 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text") -> DataFr
     """df with ids (array of int) and n_tokens (long) of each whole text, without special tokens.
 
     path: the rank file, present on every executor; pattern: what splits a text before the merges.
-    Null and empty texts give no ids; repeated rows stay; other columns pass through. df must not have
-    columns ids and n_tokens. No shuffle.
+    Null and empty texts give no ids; repeated rows stay; other columns pass through, but for input columns named
+    ids or n_tokens, which are replaced. An empty table gives no rows. No shuffle.
     """
+    df = df.drop("ids", "n_tokens")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec.of(path, pattern)
-        for batch in batches:
+        for batch in slices(batches):
             found = list(codec.encode(batch[text].to_pylist()))
             sizes = np.array([len(x) // 4 for x in found], np.int64)
             flat = pa.array(np.frombuffer(b"".join(found), "<u4").astype(np.int32))
@@ -212,11 +214,12 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text") -> DataFr
 
 
 def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids") -> DataFrame:
-    """df with decoded (binary): the bytes that the ids stand for. Null ids give null, none give empty bytes; unknown ids raise."""
+    """df with decoded (binary): the bytes that the ids stand for. Null ids give null, none give empty bytes; unknown ids raise. An input column named decoded is replaced."""
+    df = df.drop("decoded")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec.of(path, pattern)
-        for batch in batches:
+        for batch in slices(batches):
             given = batch[ids].to_pylist()
             data = codec.decode(np.array(x or [], "<u4").tobytes() for x in given)
             out = pa.array([None if x is None else y for x, y in zip(given, data, strict=True)], pa.binary())
@@ -228,12 +231,13 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids") -> DataFram
 def digests(df: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, n_tokens, ids_sha256, decoded_sha256 of each row: encodes, decodes the ids again, and keeps digests only.
 
-    Both steps run on the same partition, so neither ids nor bytes leave the worker.
+    Both steps run on the same partition, so neither ids nor bytes leave the worker. Null and empty texts have no ids;
+    repeated rows stay; an empty table gives no rows.
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec.of(path, pattern)
-        for batch in batches:
+        for batch in slices(batches):
             sizes: list[int] = []
             names: list[str] = []
 

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollkeep.llm.common import held_out
+from rollkeep.llm.common import bring_back, held_out, set_aside, slices
 from rollkeep.llm.linear import svm
 
 #: Language codes by family; a code that is not listed is a family of its own.
@@ -114,14 +114,14 @@ def identify(docs: DataFrame, model: Model | None, key: str = "doc_id", text: st
     """docs with held_out, lang_pred and score, from the whole text alone.
 
     und with score 0 if the text is null or has no letter, or if there is no model. Other columns pass through,
-    repeated rows stay, an empty table gives no rows. No shuffle. docs must not have columns of these names.
+    repeated rows stay, an empty table gives no rows. No shuffle. Input columns of these names are replaced.
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
 
         letter = regex.compile(r"\p{L}").search
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch[text].to_pylist()
             names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
             known = [i for i, t in enumerate(texts) if model and t and letter(t)]
@@ -133,11 +133,11 @@ def identify(docs: DataFrame, model: Model | None, key: str = "doc_id", text: st
                     names[i] = name
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(scores)], [*batch.schema.names, "lang_pred", "score"])
 
-    marked = docs.withColumn("held_out", held_out(key))
+    marked = docs.drop("lang_pred", "score").withColumn("held_out", held_out(key))
     return marked.mapInArrow(rows, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in marked.schema.fields), "lang_pred string, score double"]))
 
 
 def keep_known(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """The rows of docs whose language can be told; those of und go. The model learns from docs itself. Columns as in docs."""
-    narrow = identify(docs.select(docs.columns), train(docs, key, text, lang), key, text)
-    return narrow.where(F.col("lang_pred") != UNKNOWN).select(docs.columns)
+    rows = identify(set_aside(docs, ["held_out", "lang_pred", "score"]), train(docs, key, text, lang), key, text)
+    return bring_back(rows.where(F.col("lang_pred") != UNKNOWN), docs.columns)

@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rollkeep.llm.common import slices
+
 #: License notices by SPDX identifier or a like name.
 TEMPLATES = {
     "AGPL-3.0": ["This work is licensed under the GNU Affero General Public License, version 3."],
@@ -127,7 +129,7 @@ def find_notices(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner.shared()
         kind = pa.list_(pa.struct([("license", pa.string()), ("begin", pa.int32()), ("end", pa.int32()), ("reduction", pa.float64()), ("changed", pa.int32())]))
-        for batch in batches:
+        for batch in slices(batches):
             found = [[dict(zip(("license", "begin", "end", "reduction", "changed"), x, strict=True)) for x in scanner.scan(t)] for t in batch["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays([batch["key"], pa.array(found, kind)], [key, "notices"])
 

@@ -11,13 +11,12 @@ import zlib
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollkeep.llm.chunks import ChunkEncoder
-from rollkeep.llm.common import checkpointed
+from rollkeep.llm.common import checkpointed, slices
 
 _encoders: dict[str, ChunkEncoder] = {}
 
@@ -67,9 +66,12 @@ def _ids_of(model) -> Callable[[Sequence[str]], list[bytes]]:
     return encode
 
 
-def cut(df: DataFrame, path: str, size: int = 2048, end: int = 0, key: str = "doc_id", text: str = "text") -> DataFrame:
+def cut(df: DataFrame, path: str, size: int = 2048, end: int = 0, key: str = "doc_id", text: str = "text", id_bytes: int = 4) -> DataFrame:
     """Pieces of the tokenised documents: key, piece, start, length, ids (binary), ids_crc32.
 
+    ids are little-endian unsigned numbers of id_bytes (2 or 4) bytes; an id that does not fit raises. ids_crc32 is that of
+    four-byte ids.
+
     path: a byte-level BPE vocabulary file of the tokenizers library, present on every executor. A document is
     its ids and the id `end`. Longer ones than `size` are cut so that every piece but the first has `size` ids.
     Null and empty texts give one piece that holds `end` alone; repeated rows are separate documents.
@@ -77,7 +79,7 @@ def cut(df: DataFrame, path: str, size: int = 2048, end: int = 0, key: str = "do
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, tail = _encoder(path), np.array([end], "<u4").tobytes()
-        for batch in batches:
+        for batch in slices(batches):
             at, number, start, ids = [], [], [], []
             for i, one in enumerate(encoder.encode(batch["text"].to_pylist())):
                 one += tail
@@ -90,6 +92,8 @@ def cut(df: DataFrame, path: str, size: int = 2048, end: int = 0, key: str = "do
                     ids.append(one[a * 4 : (a + size if k else first) * 4])
             length = pa.array([len(x) // 4 for x in ids], pa.int64())
             crc = pa.array([zlib.crc32(x) for x in ids], pa.int64())
+            if id_bytes == 2:
+                ids = [narrow(x) for x in ids]
             columns = [batch["key"].take(pa.array(at, pa.int32())), pa.array(number, pa.int32()), pa.array(start, pa.int64()), length, pa.array(ids, pa.binary()), crc]
             yield pa.RecordBatch.from_arrays(columns, [key, "piece", "start", "length", "ids", "ids_crc32"])
 
@@ -97,6 +101,14 @@ def cut(df: DataFrame, path: str, size: int = 2048, end: int = 0, key: str = "do
     return df.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(rows, f"`{key}` {kind}, piece int, start long, length long, ids binary, ids_crc32 long")
 
 
+def narrow(ids: bytes) -> bytes:
+    """Four-byte ids as two-byte ids."""
+    wide = np.frombuffer(ids, "<u4")
+    if len(wide) and wide.max() > 0xFFFF:
+        raise ValueError("an id does not fit into two bytes")
+    return wide.astype("<u2").tobytes()
+
+
 class OpenBins:
     """At most `most` open sequences of `size` places; bit f of the bitset tells that one with f free places is open."""
 
@@ -135,23 +147,24 @@ def pack(pieces: DataFrame, size: int = 2048, open_bins: int = 4096, rows_each:
 
     Partitions of about rows_each pieces are packed apart, so each wastes at most the space of its last open
     sequences; no task sees more. The order within a partition is that of a hash of the row, so a run on the
-    same rows gives the same packing. A null length or one out of range raises. No pieces give no rows.
+    same rows gives the same packing. A null length or one out of range raises. No pieces give no rows. Input columns of these
+    names are replaced.
     """
-    pieces = checkpointed(pieces)
+    pieces = checkpointed(pieces.drop("sequence_id", "offset"))
     count = pieces.count()
     order = F.xxhash64(*pieces.columns)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields) + ", sequence_id long, offset long"
 
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         bins = OpenBins(size, open_bins, TaskContext.get().partitionId() << 40)
         for batch in batches:
-            lengths = batch["length"].tolist()
-            if not all(1 <= x <= size for x in lengths):
+            lengths = batch["length"].to_pylist()
+            if not all(x is not None and 1 <= x <= size for x in lengths):
                 raise ValueError(f"a piece's length is not within 1 and {size}")
-            places = [bins.put(int(x)) for x in lengths]
-            yield batch.assign(sequence_id=[p[0] for p in places], offset=[p[1] for p in places])
+            places = np.array([bins.put(x) for x in lengths], np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(places[:, 0]), pa.array(places[:, 1])], [*batch.schema.names, "sequence_id", "offset"])
 
     dealt = pieces.repartition(max(1, -(-count // rows_each)), order).sortWithinPartitions(order, *[F.col(f"`{c}`") for c in pieces.columns])
-    return dealt.mapInPandas(rows, schema)
+    return dealt.mapInArrow(rows, schema)

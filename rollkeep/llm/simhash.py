@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollkeep.llm.common import OWN, checkpointed
+from rollkeep.llm.common import OWN, checkpointed, slices
 from rollkeep.llm.components import connected_components
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -42,7 +42,7 @@ def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text", words:
     """key and fp (long, the fingerprint's bits) of each row; null text counts as empty."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = np.array([fingerprint(x, words) for x in batch["text"].to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays([batch["key"], pa.array(found.view(np.int64))], [key, "fp"])
 

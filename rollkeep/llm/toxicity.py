@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollkeep.llm.common import held_out
+from rollkeep.llm.common import bring_back, held_out, set_aside, slices
 from rollkeep.llm.language_id import bounded_sample
 from rollkeep.llm.linear import logistic
 
@@ -71,7 +71,7 @@ class Model:
         n_pos, n_neg = (weight * toxic).sum(), (weight * (1 - toxic)).sum()
         p, q = (pos + 0.5) / (n_pos + 1), (neg + 0.5) / (n_neg + 1)
         strength = np.abs(p - q) / np.sqrt(p * (1 - np.minimum(p, 0.999)) / (n_pos + 1) + q * (1 - np.minimum(q, 0.999)) / (n_neg + 1))
-        strength[(p < q) | (strength < 4)] = 0
+        strength[(p < q) | (pos == 0) | (strength < 4)] = 0
         chosen = np.argsort(-strength, kind="stable")[:most]
         chosen = np.sort(chosen[strength[chosen] > 0])
         place = np.full(SIZE, -1)
@@ -120,19 +120,20 @@ def score(docs: DataFrame, model: Model | None, key: str = "doc_id", text: str =
     """docs with held_out, score (0 to 1) and predicted (1 if score >= 0.3) of each whole text.
 
     Null and empty texts get the score of a text without known windows; without a model all scores are 0.
-    Other columns pass through, repeated rows stay, an empty table gives no rows. No shuffle. docs must not
-    have columns of these names.
+    Other columns pass through, repeated rows stay, an empty table gives no rows. No shuffle. Input columns
+    of these names are replaced.
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = np.array([model.score(t) if model else 0.0 for t in batch[text].to_pylist()], np.float64)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found), pa.array((found >= THRESHOLD).astype(np.int32))], [*batch.schema.names, "score", "predicted"])
 
-    marked = docs.withColumn("held_out", held_out(key))
+    marked = docs.drop("score", "predicted").withColumn("held_out", held_out(key))
     return marked.mapInArrow(rows, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in marked.schema.fields), "score double, predicted int"]))
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of docs that are not predicted toxic; columns as in docs."""
-    return score(docs, train(docs, labels, key, text), key, text).where("predicted = 0").select(docs.columns)
+    rows = score(set_aside(docs, ["held_out", "score", "predicted"]), train(docs, labels, key, text), key, text)
+    return bring_back(rows.where("predicted = 0"), docs.columns)
