@@ -11,9 +11,10 @@ from rollkeep.llm.common import checkpointed
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of edges (a, b): component is the smallest node that links reach.
 
-    Each round joins every node to its smallest neighbour, follows that link once more, and replaces both
-    ends of every edge by what they joined; edges inside a joined group vanish. The number of nodes at
-    least halves, so rounds grow with the logarithm of the largest component. The driver sees only edge
+    Each round joins every node to its smallest neighbour if that is smaller, follows these links to their roots, and
+    replaces both ends of every edge by their roots; edges inside a joined group vanish. Only nodes smaller than all
+    their neighbours remain, and following links doubles its reach each time, so both loops are short even for
+    long chains. The driver sees only edge
     counts. Hot nodes are met by map-side minima and by adaptive splitting of skewed joins.
     Self-links and rows with a null end are ignored; no edges give no rows.
     """
@@ -23,9 +24,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     while not pairs.isEmpty():
         near = pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
         near = near.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("up"))
-        near = checkpointed(near)
-        over = near.select(F.col("node").alias("up"), F.col("up").alias("top"))
-        near = checkpointed(near.join(over, "up").select("node", F.col("top").alias("up")))
+        near = _to_roots(checkpointed(near))
         pairs = pairs.join(near.select(F.col("node").alias("a"), F.col("up").alias("ua")), "a")
         pairs = pairs.join(near.select(F.col("node").alias("b"), F.col("up").alias("ub")), "b").where("ua <> ub")
         pairs = checkpointed(pairs.select(F.least("ua", "ub").alias("a"), F.greatest("ua", "ub").alias("b")).distinct())
@@ -37,3 +36,12 @@ def connected_components(edges: DataFrame) -> DataFrame:
     if found is None:
         return edges.sparkSession.createDataFrame([], f"node {kind.simpleString()}, component {kind.simpleString()}")
     return found
+
+
+def _to_roots(near: DataFrame) -> DataFrame:
+    """(node, up) with up replaced by where following it ends; up is never larger than node, and every up is a node."""
+    while True:
+        over = near.select(F.col("node").alias("up"), F.col("up").alias("top"))
+        near = checkpointed(near.join(over, "up").select("node", F.col("top").alias("up"), (F.col("up") != F.col("top")).alias("moved")))
+        if near.where("moved").isEmpty():
+            return near.select("node", "up")
