@@ -57,19 +57,21 @@ def search(rows: DataFrame, query: str) -> DataFrame:
 
 
 def screen(texts: DataFrame, text_id: str, text: str, needles: DataFrame, needle: str, grams: int = 3) -> DataFrame:
-    """(text_id, needle): every text that contains a needle, whatever the case.
+    """(text_id, needle), each pair once: every text that contains a needle, whatever the case; null ids match nothing.
 
     A needle is looked up by its rarest gram among the needles: each text's distinct grams join the needles' grams by
     equality, and matches are verified. Only needles shorter than a gram are compared with every text.
     """
     wanted = needles.select(F.lower(needle).alias("needle_")).where("needle_ <> ''").distinct()
-    cut = lambda c: F.transform(F.sequence(F.lit(1), F.length(c) - (grams - 1)), lambda i: F.substring(c, i, F.lit(grams)))
+    # overlapping grams in one walk over the text
+    cut = lambda c: F.regexp_extract_all(c, F.lit(f"(?s)(?=(.{{{grams}}}))"), F.lit(1))
     long = wanted.where(F.length("needle_") >= grams)
-    pairs = long.select("needle_", F.explode(F.array_distinct(cut(F.col("needle_")))).alias("gram"))
+    pairs = long.select("needle_", F.explode(cut(F.col("needle_"))).alias("gram")).distinct()
     common = pairs.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
     rare = pairs.join(common, "gram").groupBy("needle_").agg(F.min_by("gram", F.struct("n", "gram")).alias("gram"))
     low = texts.select(F.col(text_id), F.lower(text).alias("text_"))
-    by_gram = low.where(F.length("text_") >= grams).select(text_id, "text_", F.explode(F.array_distinct(cut(F.col("text_")))).alias("gram"))
-    hits = by_gram.join(rare, "gram").where(F.contains("text_", "needle_")).select(text_id, "needle_")
+    by_gram = low.select(text_id, F.explode(cut(F.col("text_"))).alias("gram"))
+    asked = by_gram.join(rare, "gram").select(text_id, "needle_").distinct()  # whole texts join only where a gram is met
+    hits = asked.join(low, text_id).where(F.contains("text_", "needle_")).select(text_id, "needle_")
     short = low.join(wanted.where(F.length("needle_") < grams), F.contains("text_", "needle_")).select(text_id, "needle_")
-    return hits.unionByName(short).withColumnRenamed("needle_", "needle")
+    return hits.unionByName(short).distinct().withColumnRenamed("needle_", "needle")
