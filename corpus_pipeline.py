@@ -27,7 +27,7 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """SimHash near-dedup: of each group the document with the smallest doc_id stays."""
+    """SimHash near-dedup: of each group of similar texts the document with the smallest doc_id stays."""
     return simhash.keep_one(docs)
 
 

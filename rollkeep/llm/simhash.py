@@ -4,6 +4,9 @@ Fingerprints that differ in at most two bits agree in two of their four 16-bit q
 distinct fingerprints meet under the six keys of two quarters; keys with one fingerprint end there.
 Under a key, node pairs of the fingerprints' binary trie are walked down together, bit by bit, counting
 differing bits, and pruned once over budget. Keys with many fingerprints are dealt over several tasks.
+
+The pipeline stage keeps one of texts whose sets of five-word shingles are similar. There fingerprints are cut
+into ten parts and the trie join has a larger budget; what it finds is confirmed by the exact similarity.
 """
 
 from __future__ import annotations
@@ -18,26 +21,40 @@ from pyspark.sql import functions as F
 
 from rollkeep.llm.common import OWN, checkpointed, slices
 from rollkeep.llm.components import connected_components
+from rollkeep.llm.line_dedup import with_maybe
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
-def fingerprint(text: str | None, words: int = 3) -> int:
-    """The 64-bit SimHash of a text's shingles of so many words, repeats included; 0 without any word."""
+def _words(text: str | None) -> list[bytes]:
+    return (text or "").encode().translate(_LOWER).split()  # bytes split at space and \t to \r
+
+
+def _shingles(w: list[bytes], words: int) -> bytes:
+    """Eight bytes of hash for each shingle of so many words; fewer words are one shingle, none give none."""
     from xxhash import xxh64_digest
 
-    w = (text or "").encode().translate(_LOWER).split()  # bytes split at space and \t to \r
     if not w:
-        return 0
+        return b""
     shingles = map(b" ".join, zip(*(w[k:] for k in range(words)))) if len(w) >= words else [b" ".join(w)]
-    data = b"".join(map(xxh64_digest, shingles, repeat(42)))
+    return b"".join(map(xxh64_digest, shingles, repeat(42)))
+
+
+def _majority(data: bytes) -> int:
     n = len(data) // 8
+    if not n:
+        return 0
     ones = np.zeros(64, np.int64)
     for k in range(0, len(data), 1 << 19):  # bounded memory for very long texts
         ones += np.unpackbits(np.frombuffer(data[k : k + (1 << 19)], np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
     return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big")
 
 
+def fingerprint(text: str | None, words: int = 3) -> int:
+    """The 64-bit SimHash of a text's shingles of so many words, repeats included; 0 without any word."""
+    return _majority(_shingles(_words(text), words))
+
+
 def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3) -> DataFrame:
     """key and fp (long, the fingerprint's bits) of each row; null text counts as empty."""
 
@@ -54,7 +71,7 @@ def trie_pairs(fp: np.ndarray, group: np.ndarray, side: np.ndarray, budget: int)
     """Index pairs of equal group whose fp (uint64) differ in at most budget bits.
 
     Groups with one side (0) are joined with themselves, groups with sides 0 and 1 with each other only.
-    Values are distinct within a group and side. All groups walk down together, one bit a turn; a trie
+    Equal values of a group and side are pairs as well. All groups walk down together, one bit a turn; a trie
     node is a range of the sorted values, as those with a common prefix stand together.
     """
     order = np.lexsort((fp, side, group))
@@ -86,8 +103,13 @@ def trie_pairs(fp: np.ndarray, group: np.ndarray, side: np.ndarray, budget: int)
         a0, a1, b0, b1, diff = (np.concatenate(v) for v in zip(*parts, strict=True))
         stay = (a1 > a0) & (b1 > b0) & (diff <= budget) & ((a0 != b0) | (a1 - a0 > 1))
         a0, a1, b0, b1, diff = (v[stay] for v in (a0, a1, b0, b1, diff))
-    left.append(a0)
-    right.append(b0)
+    each = (a1 - a0) * (b1 - b0)  # ranges of equal values remain
+    at = np.repeat(np.arange(len(a0)), each)
+    off = np.arange(len(at)) - np.repeat(np.cumsum(each) - each, each)
+    x, y = a0[at] + off // (b1 - b0)[at], b0[at] + off % (b1 - b0)[at]
+    once = (a0 != b0)[at] | (x < y)
+    left.append(x[once])
+    right.append(y[once])
     x, y = np.concatenate(left), np.concatenate(right)
     return order[x[x != y]], order[y[x != y]]
 
@@ -107,54 +129,171 @@ def smallest_linked(n: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
             return root
 
 
-def _join(batches: Iterator[pa.RecordBatch], budget: int, at_once: int = 20_000) -> Iterator[pa.RecordBatch]:
-    """Links of the groups (key, lo, hi), which come one after another: each fingerprint with the smallest one it reaches."""
+def _whole(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...], at_once: int) -> Iterator[np.ndarray]:
+    """Rows of columns, the first three of which name groups that come one after another; whole groups, about at_once rows a turn."""
     held: list[np.ndarray] = []
+    count = 0
+    for batch in batches:
+        for k in range(0, batch.num_rows, at_once):
+            part = batch.slice(k, at_once)
+            rows = np.stack([part[c].to_numpy(zero_copy_only=False).astype(np.int64) for c in columns], axis=1)
+            held.append(rows)
+            count += len(rows)
+            if count >= at_once:
+                rows = np.concatenate(held)
+                last = np.flatnonzero((rows[1:, :3] != rows[:-1, :3]).any(axis=1))
+                if len(last):  # the last group may go on in the next batch
+                    yield rows[: last[-1] + 1]
+                    rows = rows[last[-1] + 1 :]
+                held, count = [rows], len(rows)
+    if count:
+        yield np.concatenate(held)
+
+
+def _pairs(rows: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray]:
+    _, group = np.unique(rows[:, :3], axis=0, return_inverse=True)
+    return trie_pairs(rows[:, 4].view(np.uint64), group.reshape(-1), (rows[:, 3] != rows[:, 1]).astype(np.int8), budget)
 
-    def links(rows: np.ndarray) -> pa.RecordBatch:
-        _, group = np.unique(rows[:, :3], axis=0, return_inverse=True)
-        x, y = trie_pairs(rows[:, 4].view(np.uint64), group.reshape(-1), (rows[:, 3] != rows[:, 1]).astype(np.int8), budget)
+
+def _join(batches: Iterator[pa.RecordBatch], budget: int, at_once: int = 20_000) -> Iterator[pa.RecordBatch]:
+    """Links of the groups (key, lo, hi), which come one after another: each fingerprint with the smallest one it reaches."""
+    for rows in _whole(batches, ("key", "lo", "hi", "salt", "fp"), at_once):
+        x, y = _pairs(rows, budget)
         order = np.argsort(rows[:, 4], kind="stable")
         place = np.empty(len(rows), np.int64)
         place[order] = np.arange(len(rows))
         root = smallest_linked(len(rows), place[x], place[y])
         linked = np.flatnonzero(root != np.arange(len(rows)))
         fp = rows[order, 4]
-        return pa.RecordBatch.from_arrays([pa.array(fp[linked]), pa.array(fp[root[linked]])], ["a", "b"])
+        yield pa.RecordBatch.from_arrays([pa.array(fp[linked]), pa.array(fp[root[linked]])], ["a", "b"])
 
-    count = 0
-    for batch in batches:
-        rows = np.stack([batch[c].to_numpy(zero_copy_only=False).astype(np.int64) for c in ("key", "lo", "hi", "salt", "fp")], axis=1)
-        held.append(rows)
-        count += len(rows)
-        if count >= at_once:
-            rows = np.concatenate(held)
-            last = np.flatnonzero((rows[1:, :3] != rows[:-1, :3]).any(axis=1))
-            if len(last):  # the last group may go on in the next batch
-                yield links(rows[: last[-1] + 1])
-                rows = rows[last[-1] + 1 :]
-            held, count = [rows], len(rows)
-    if count:
-        yield links(np.concatenate(held))
+
+def _dealt(fps: DataFrame, parts: int, block: int) -> DataFrame:
+    """Rows of fps under the keys of two of their fingerprint's parts, as groups (key, lo, hi) that stand together.
+
+    A key with over `block` rows is dealt by a hash into shares of about `block`; each pair of shares is a group of
+    its own, so no group grows with the data.
+    """
+    width = 64 // parts
+    part = [F.shiftrightunsigned("fp", width * k).bitwiseAND((1 << width) - 1) for k in range(parts)]
+    keys = F.array(*[F.lit(i << 32) + F.shiftleft(part[p], width) + part[q] for i, (p, q) in enumerate(combinations(range(parts), 2))])
+    members = fps.select("*", F.explode(keys).alias("key"))
+    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("of")).where("of > 1")
+    sizes = checkpointed(sizes)
+    dealt = members.join(sizes, "key").withColumn("parts", F.ceil(F.col("of") / block).cast("long"))
+    dealt = dealt.withColumn("salt", F.pmod(F.xxhash64(*fps.columns), F.col("parts"))).withColumn("mate", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    dealt = dealt.select("key", F.least("salt", "mate").alias("lo"), F.greatest("salt", "mate").alias("hi"), "salt", *fps.columns)
+    n = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return dealt.repartition(n, "key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
 
 
 def near_links(fps: DataFrame, budget: int = 2, block: int = 1_000) -> DataFrame:
     """Links (a, b) that join all values of fps (distinct fp: long) within budget differing bits of each other, directly or through others.
 
-    budget is at most 2. A key with over `block` fingerprints is dealt by a hash into parts of about `block`; each
-    pair of parts is a group of its own, so no group grows with the data.
+    budget is at most 2.
     """
-    quarter = [F.shiftrightunsigned("fp", 16 * k).bitwiseAND(0xFFFF) for k in range(4)]
-    keys = F.array(*[F.lit(i << 32) + F.shiftleft(quarter[p], 16) + quarter[q] for i, (p, q) in enumerate(combinations(range(4), 2))])
-    members = fps.select("fp", F.explode(keys).alias("key"))
-    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    sizes = checkpointed(sizes)
-    dealt = members.join(sizes, "key").withColumn("parts", F.ceil(F.col("n") / block).cast("long"))
-    dealt = dealt.withColumn("salt", F.pmod(F.xxhash64("fp"), F.col("parts"))).withColumn("mate", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-    dealt = dealt.select("key", F.least("salt", "mate").alias("lo"), F.greatest("salt", "mate").alias("hi"), "salt", "fp")
-    n = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = dealt.repartition(n, "key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
-    return dealt.mapInArrow(lambda it: _join(it, budget), "a long, b long")
+    return _dealt(fps, 4, block).mapInArrow(lambda it: _join(it, budget), "a long, b long")
+
+
+def _candidates(batches: Iterator[pa.RecordBatch], budget: int, parts: int, at_once: int = 6_000) -> Iterator[pa.RecordBatch]:
+    """Pairs (a, b) of ids within budget bits whose sizes n can be similar; each under one key only.
+
+    first: whether, in its group, one is the nearest to the other or the one nearest to most others.
+    """
+    width = 64 // parts
+    two = np.array(list(combinations(range(parts), 2)))
+    for rows in _whole(batches, ("key", "lo", "hi", "salt", "fp", "id", "n"), at_once):
+        x, y = _pairs(rows, budget)
+        n = rows[:, 6]
+        fit = 5 * np.minimum(n[x], n[y]) >= 4 * np.maximum(n[x], n[y])
+        x, y = x[fit], y[fit]
+        fp = rows[:, 4].view(np.uint64)
+        unlike = fp[x] ^ fp[y]
+        same = np.stack([(unlike >> np.uint64(width * k)) & np.uint64((1 << width) - 1) == 0 for k in range(parts)], axis=1)
+        one = same.argmax(axis=1)
+        same[np.arange(len(x)), one] = False
+        here = (np.stack([one, same.argmax(axis=1)], axis=1) == two[rows[x, 0] >> 32]).all(axis=1)
+        x, y, far = x[here], y[here], np.bitwise_count(unlike[here]).astype(np.int64)
+        near = budget + 1 - far
+        score = (np.bincount(x, near, len(rows)) + np.bincount(y, near, len(rows))).astype(np.int64)
+        a, b, d = np.r_[x, y], np.r_[y, x], np.r_[far, far]
+        first = np.zeros(len(x), bool)
+        for rank in (d, -score[b]):
+            order = np.lexsort((b, rank, a))
+            first[order[np.flatnonzero(np.diff(a[order], prepend=-1))] % max(1, len(x))] = True
+        p, q = rows[x, 5], rows[y, 5]
+        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(p, q)), pa.array(np.maximum(p, q)), pa.array(first)], ["a", "b", "first"])
+
+
+def _labels(links: DataFrame) -> DataFrame:
+    """(id, label) for every id of links (a, b): ids of equal label are connected; other connected ones may have unequal labels."""
+    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    own = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label"))
+    return both.join(own.withColumnRenamed("a", "b"), "b").groupBy(F.col("a").alias("id")).agg(F.min("label").alias("label"))
+
+
+def _texts(docs: DataFrame, key: str, text: str, words: int, whole: bool) -> DataFrame:
+    """fp and u (128 bits of name of the text's words) and n (distinct shingles) of each row, with its key or, if whole, its distinct shingles."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from xxhash import xxh64_intdigest
+
+        for batch in slices(batches):
+            fp, u, n, shingles = [], [], [], []
+            for x in batch["text"].to_pylist():
+                w = _words(x)
+                data = _shingles(w, words)
+                fp.append(_majority(data))
+                u.append(xxh64_intdigest(b" ".join(w), 7))
+                own = np.unique(np.frombuffer(data, np.int64))
+                n.append(len(own))
+                if whole:
+                    shingles.append(own)
+            fields = [pa.array(np.array(v, np.uint64).view(np.int64)) for v in (fp, u)] + [pa.array(n, pa.int64())]
+            last = pa.array(shingles, pa.list_(pa.int64())) if whole else batch["key"]
+            yield pa.RecordBatch.from_arrays([*fields, last], ["fp", "u", "n", "s" if whole else "key"])
+
+    last = "s array<long>" if whole else f"key {docs.schema[key].dataType.simpleString()}"
+    return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(rows, f"fp long, u long, n long, {last}")
+
+
+def _confirmed(pairs: DataFrame, units: DataFrame, docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
+    """Those pairs (a, b) of units whose sets of shingles have a Jaccard similarity of 0.8 or more; only texts of pairs are shuffled."""
+    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    asked = checkpointed(units.join(ids, "id").select("id", "fp", "u", "least"))
+    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.xxhash64(key).alias("h"))
+    rows = with_maybe(rows, asked.select(F.xxhash64("least").alias("h")).distinct(), 256).where("maybe")
+    sets = _texts(rows, "key", "text", words, True).join(asked, ["fp", "u"]).select("id", "s").dropDuplicates(["id"])
+    sets = checkpointed(sets)
+    met = pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("s").alias("y")), "b")
+    return met.where(9 * F.size(F.array_intersect("x", "y")) >= 4 * (F.size("x") + F.size("y"))).select("a", "b")
+
+
+def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, budget: int = 14, parts: int = 10, block: int = 300) -> DataFrame:
+    """key and component_id of each row: the smallest key that links reach, itself included.
+
+    Texts link whose sets of shingles of `words` words have a Jaccard similarity of 0.8 or more, if their fingerprints
+    differ in at most `budget` bits and agree in two of `parts` parts (so up to parts - 2 bits surely). Equal words are
+    one unit. The nearest candidates of each unit are confirmed first, then all whose units these do not join, so that
+    large groups of near copies need not be compared throughout.
+    A null key never names a group, as in near_groups.
+    """
+    rows = checkpointed(_texts(docs, key, text, words, False))
+    units = rows.groupBy("fp", "u", "n").agg(F.min("key").alias("least")).withColumn("id", F.monotonically_increasing_id())
+    units = checkpointed(units)
+    dealt = _dealt(units.where(F.col("least").isNotNull()).select("fp", "id", "n"), parts, block)
+    pairs = checkpointed(dealt.mapInArrow(lambda it: _candidates(it, budget, parts), "a long, b long, first boolean"))
+    links = checkpointed(_confirmed(pairs.where("first").select("a", "b"), units, docs, key, text, words))
+    label = checkpointed(_labels(links))
+    rest = pairs.where("not first").join(label.select(F.col("id").alias("a"), F.col("label").alias("la")), "a", "left")
+    rest = rest.join(label.select(F.col("id").alias("b"), F.col("label").alias("lb")), "b", "left")
+    rest = checkpointed(rest.where(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b"))
+    links = links.unionByName(_confirmed(rest, units, docs, key, text, words))
+    joined = connected_components(links).select(F.col("node").alias("id"), "component")
+    units = checkpointed(units.join(joined, "id", "left").withColumn("c", F.coalesce("component", "id")))
+    least = units.groupBy("c").agg(F.min("least").alias("component_id"))
+    grouped = checkpointed(units.join(least, "c").select("fp", "u", "component_id"))
+    return rows.join(grouped, ["fp", "u"]).select(F.col("key").alias(key), "component_id")
 
 
 def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3, budget: int = 2) -> DataFrame:
@@ -178,6 +317,6 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of docs whose key is the smallest of its group, and those with a null key; columns as in docs."""
-    gone = near_groups(docs, key, text).where(f"`{key}` <> component_id").select(F.col(key).alias(f"{OWN}gone")).distinct()
+    """The rows of docs whose key is the smallest of its similar group, and those with a null key; columns as in docs."""
+    gone = similar_groups(docs, key, text).where(f"`{key}` <> component_id").select(F.col(key).alias(f"{OWN}gone")).distinct()
     return docs.join(gone, docs[key] == F.col(f"{OWN}gone"), "left_anti")

@@ -121,6 +121,35 @@ def test_simhash_edges(spark):
     assert simhash.near_groups(docs.limit(0)).count() == 0
 
 
+def shingle_set(text):
+    w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return {" ".join(w[i : i + 5]) for i in range(len(w) - 4)} or {" ".join(w)}
+
+
+def test_keep_one_drops_similar_texts(spark):
+    """A changed word in 200 leaves one document; of a base and copies with a word changed, only the base stays; others all stay."""
+    rng = random.Random(7)
+    texts = []
+    for _ in range(20):
+        w = [f"w{rng.randrange(5000)}" for _ in range(200)]
+        texts.append(" ".join(w))
+        for k in rng.sample(range(10, 190), 9):
+            texts.append(" ".join([*w[:k], "changed", *w[k + 1 :]]))
+        texts.append(" ".join([*w[:100], *(f"v{rng.randrange(5000)}" for _ in range(100))]))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets = [shingle_set(t) for t in texts]
+    links = [(i, j) for i in range(len(sets)) for j in range(i) if 9 * len(sets[i] & sets[j]) >= 4 * (len(sets[i]) + len(sets[j]))]
+    want = groups(len(sets), links)
+    assert {r.doc_id: r.component_id for r in simhash.similar_groups(docs, block=20).collect()} == dict(enumerate(want))
+    assert sorted(r.doc_id for r in simhash.keep_one(docs).collect()) == sorted(set(want)) and len(set(want)) == 40
+
+
+def test_trie_pairs_of_equal_values():
+    fp = np.array([5, 5, 5, 4, 1 << 40], np.uint64)
+    x, y = simhash.trie_pairs(fp, np.zeros(5, int), np.zeros(5, np.int8), 1)
+    assert sorted((max(p), min(p)) for p in zip(x.tolist(), y.tolist(), strict=True)) == [(1, 0), (2, 0), (2, 1), (3, 0), (3, 1), (3, 2)]
+
+
 def check_vectors(rows, given, threshold=0.93):
     known = [(i, np.array(v, float), lab) for i, v, lab in given if lab is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v)]
     known.sort(key=lambda r: r[0])
