@@ -1,12 +1,14 @@
 """Operator 10: license scans by conditional compression.
 
-A block of text is compressed alone and with each template as a zstandard raw dictionary. A template that
+A window of text around an anchor word is compressed alone and with each template as a zstandard raw dictionary. A template that
 shares its wording shrinks the block most; winners are confirmed by the exact differences in wording.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
@@ -44,9 +46,8 @@ TEMPLATES = {
     "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
     "Unlicense": ["This is free and unencumbered software released into the public domain."],
 }
-#: A line without any of these words holds no notice; each template has one.
-ANCHOR = r"(?i)licen[sc]|rights reserved|permission|redistribution|public domain|waived all copyright"
-_LINE = re.compile(r"[^\n]+")
+#: A text without any of these words holds no notice; each template has one.
+ANCHOR = r"(?i)licen[sc]|rights\W+reserved|permission|redistribution|public\W+domain|waived\W+all\W+copyright"
 _WORD = re.compile(r"[\w.+-]*\w")
 
 
@@ -109,19 +110,65 @@ class Scanner:
     def _telling(self, word: str) -> bool:
         return any(c.isdigit() for c in word) or word in {"mit", "gnu", "bsd", "apache", "mozilla", "affero", "lesser", "by", "by-nc", "by-sa", "noncommercial", "attribution", "attribution-noncommercial", "attribution-sharealike"}
 
-    def scan(self, text: str | None) -> list[tuple[str, int, int, float, int]]:
-        """(name, begin, end, reduction, differing words) of every line that is a notice, in order; whole text."""
-        out = []
-        for m in _LINE.finditer(text or ""):
-            if self.anchor.search(m[0]) and (got := self.confirm(m[0])):
-                out.append((got[0], m.start(), m.end(), round(got[1], 6), got[2]))
+    def windows(self, have: list[str], anchors: list[int]) -> Iterator[tuple[int, int, int, int]]:
+        """(template, differing words, first, last word) of every window around an anchor word whose wording holds up, by the rules of confirm."""
+        tried = set()
+        for k, (_, want, _) in enumerate(self.entries):
+            few, need = len(want) // 5, Counter(want)
+            joined = " ".join(want)
+            for at in {joined.count(" ", 0, m.start()) for m in self.anchor.finditer(joined)}:
+                for i in anchors:
+                    begin = max(0, i - at - few)
+                    end = i - at + len(want) + few
+                    if (k, begin, end) in tried:
+                        continue
+                    tried.add((k, begin, end))
+                    part = have[begin:end]
+                    if (need & Counter(part)).total() < len(want) - few:
+                        continue
+                    steps = SequenceMatcher(None, want, part, autojunk=False).get_opcodes()
+                    equal = [n for n, step in enumerate(steps) if step[0] == "equal"]
+                    missing = [w for op, a, b, _, _ in steps if op in ("delete", "replace") for w in want[a:b]]
+                    wrong = [w for op, _, _, c, d in steps[equal[0] : equal[-1]] if op in ("insert", "replace") for w in part[c:d]]
+                    if len(missing) + len(wrong) <= few and not any(self._telling(w) for w in missing + wrong):
+                        yield k, len(missing) + len(wrong), begin + steps[equal[0]][3], begin + steps[equal[-1]][4] - 1
+
+    def scan(self, text: str | None, at_least: float = 0.25) -> list[tuple[str, int, int, float, int]]:
+        """(name, begin, end, reduction, differing words) of every notice, in order; whole text, across line breaks.
+
+        Of windows that overlap, the one with the fewest differing words stays, the one with the larger reduction at
+        a tie. Begin and end then take in the rest of their lines if that is one word at most.
+        """
+        text = text or ""
+        found = list(_WORD.finditer(text))
+        starts = [m.start() for m in found]
+        anchors = sorted({bisect_right(starts, m.start()) - 1 for m in self.anchor.finditer(text)} - {-1})
+        fits = []
+        for k, n, first, last in self.windows([m[0].lower() for m in found], anchors) if anchors else ():
+            begin, end = found[first].start(), found[last].end()
+            data = " ".join(text[begin:end].lower().split()).encode("utf-8", "surrogatepass")
+            gain = 1 - len(self.entries[k][2].compress(data)) / max(1, len(self.plain.compress(data)))
+            if gain >= at_least:
+                fits.append((n, -gain, self.entries[k][0], begin, end))
+        chosen: list[tuple[int, float, str, int, int]] = []
+        for fit in sorted(fits):
+            if all(fit[4] <= c[3] or c[4] <= fit[3] for c in chosen):
+                chosen.append(fit)
+        chosen.sort(key=lambda c: c[3])
+        out: list[tuple[str, int, int, float, int]] = []
+        for i, (n, gain, name, begin, end) in enumerate(chosen):
+            left = max(text.rfind("\n", 0, begin) + 1, out[-1][2] if out else 0)
+            right = min(x for x in (text.find("\n", end), chosen[i + 1][3] if i + 1 < len(chosen) else -1, len(text)) if x >= 0)
+            begin = left if len(words(text[left:begin])) <= 1 else begin
+            end = right if len(words(text[end:right])) <= 1 else end
+            out.append((name, begin, end, round(-gain, 6), n))
         return out
 
 
 def find_notices(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key and notices: an array of (license, begin, end, reduction, changed) for each row, with character places in the text.
 
-    A line is a candidate if it holds one of the anchor words; texts without any are not sent to Python. Null
+    Windows of about a template's length around the anchor words are candidates, also across lines; texts without any are not sent to Python. Null
     and empty texts, and such without a notice, give an empty array. Repeated rows stay; an empty table gives
     no rows. No shuffle.
     """

@@ -192,6 +192,19 @@ def test_license_notices(spark):
     assert license_scan.find_notices(docs).count() == 5 and license_scan.find_notices(docs.limit(0)).count() == 0
 
 
+def test_notices_within_and_across_lines():
+    scan = license_scan.Scanner.shared().scan
+    other = "the harbour was quiet that morning and nobody spoke about the weather " * 6
+    for name, texts in license_scan.TEMPLATES.items():
+        for t in texts:
+            assert [x[0] for x in scan(other + t + " " + other)] == [name], t
+            w = t.split()
+            assert [x[0] for x in scan("\n".join("# " + " ".join(w[i : i + 5]) for i in range(0, len(w), 5)))] == [name], t
+    two = other + "Released under the MIT License. " + other + "Licensed under CC BY 4.0. " + other
+    assert [x[0] for x in scan(two)] == ["MIT", "CC-BY-4.0"]
+    assert [x[0] for x in scan("Released under the MIT License. Licensed under CC BY 4.0.")] == ["MIT", "CC-BY-4.0"]
+
+
 def test_op10_finds_every_notice_line(spark, small):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
     got = {r.doc_id: r for r in queries.op10_license_scan(spark, small).collect()}
