@@ -17,7 +17,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the folder named in spark.checkpoint.dir; set a temporary one only where none is set (tests, one machine)."""
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
+        context.setCheckpointDir(shared_folder(spark))
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named in spark.checkpoint.dir. Without one, a temporary folder if Spark runs on this machine alone; else an error."""
+    if folder := spark.conf.get("spark.checkpoint.dir", None):
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return tempfile.mkdtemp(prefix="spark-")
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from rollkeep.llm import components, embedding_dedup, exact_dedup, line_dedup, queries, simhash, url_filter
+from rollkeep.llm import components, embedding_dedup, exact_dedup, filters, line_dedup, queries, simhash, url_filter
 
 
 def groups(n, links):
@@ -39,23 +39,34 @@ def test_components(spark):
 
 def test_exact_edges(spark):
     rows = [(1, "Ab", 0), (2, "aB", 0), (3, None, 0), (4, "", 0), (5, "Éa", 0), (6, "éa", 0), (None, "ab", 0), (7, "x", 0), (7, "x", 0), (None, "n", 0), (8, "z" * 200_000, 0)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, kept int")
-    out = exact_dedup.mark_copies(docs)
+    docs = spark.createDataFrame([(*r, "y") for r in rows], "doc_id long, text string, kept int, maybe string")
+    out = exact_dedup.copies(docs)
     got = sorted(((r.doc_id is None, r.doc_id or 0, r.keep_id, r.group_size, r.kept) for r in out.collect()), key=str)
     assert (False, 1, 2, 3, False) in got and (False, 2, 2, 3, True) in got and (True, 0, 2, 3, False) in got
     assert (False, 3, 4, 2, False) in got and (False, 5, 5, 1, True) in got and (False, 6, 6, 1, True) in got
-    assert got.count((False, 7, 7, 2, True)) == 2 and (True, 0, None, 1, True) in got
+    assert got.count((False, 7, 7, 2, True)) == 2 and (True, 0, None, 1, True) in got and len(got) == len(rows)
     assert {r.text_sha256 for r in out.where("doc_id = 1").collect()} == {hashlib.sha256(b"ab").hexdigest()}
     kept = exact_dedup.drop_copies(docs)
-    assert kept.columns == docs.columns and {r.kept for r in kept.collect()} == {0}
-    assert exact_dedup.mark_copies(docs.limit(0)).count() == 0
+    assert kept.columns == docs.columns and {(r.kept, r.maybe) for r in kept.collect()} == {(0, "y")}
+    key = lambda x: (x is None, x or 0)
+    assert sorted((r.doc_id for r in kept.collect()), key=key) == sorted((r.doc_id for r in out.where("kept").collect()), key=key)
+    assert exact_dedup.copies(docs.limit(0)).count() == 0 and exact_dedup.drop_copies(docs.limit(0)).count() == 0
 
 
-def test_filter_has_no_false_negatives(spark):
+def test_filters(spark):
+    """No value that is in a filter, or that repeats, is missed; most others are told apart, also where blocks are full."""
     ids = spark.range(3000).select(F.xxhash64("id").alias("h"))
-    held = line_dedup.with_maybe(ids.unionByName(spark.range(9000, 12000).select(F.xxhash64("id").alias("h"))), ids, 4)
-    assert held.where("maybe").join(ids, "h").count() == 3000
-    assert held.where("not maybe").count() > 2000
+    rows = ids.unionByName(spark.range(9000, 12000).select(F.xxhash64("id").alias("h")))
+    for values in (3000, 300):
+        held = filters.member_filter(ids, values).mark(rows, "h")
+        assert held.where("maybe").join(ids, "h").count() == 3000
+        assert held.where("not maybe").count() > (2950 if values == 3000 else 0)
+    twice = rows.unionByName(ids.limit(500))
+    marked = filters.repeat_filter(twice, 6500).mark(twice, "h")
+    assert marked.where("maybe").join(ids.limit(500), "h").count() == 1000
+    assert marked.where("not maybe").count() > 5300
+    assert filters.member_filter(ids.limit(0), 0).mark(rows, "h").where("maybe").count() == 0
+    assert filters.blocks_for(10**12) == filters.MOST
 
 
 def slow_fingerprint(text):
@@ -199,6 +210,10 @@ def test_edit_distance(spark):
 
 
 def slow_distance(a, b):
+    while a and b and a[0] == b[0]:
+        a, b = a[1:], b[1:]
+    while a and b and a[-1] == b[-1]:
+        a, b = a[:-1], b[:-1]
     row = list(range(len(b) + 1))
     for i, x in enumerate(a):
         new = [i + 1]
@@ -208,42 +223,90 @@ def slow_distance(a, b):
     return row[-1]
 
 
+def lines_wanted(docs, edits=2, per=10):
+    """The fate of every line by place, by brute force over all pairs of lines."""
+    strip = lambda x: x.strip(" \t\r\x0b\x0c")
+    places = [((k is not None, k or 0, no), strip(line)) for k, t in docs if t is not None for no, line in enumerate(t.split("\n"))]
+    first = {}
+    for at, line in sorted(places):
+        if line:
+            first[line] = min(first.get(line, at), at)
+    names = list(first)
+    by_length = {}
+    for i, x in enumerate(names):
+        by_length.setdefault(len(x), []).append(i)
+    links = []
+    for n, short in by_length.items():
+        most = min(edits, n // per)
+        for d in range(most + 1 if most else 0):
+            for j in by_length.get(n + d, ()):
+                links += [(i, j) for i in short if (d or i < j) and slow_distance(names[i], names[j]) <= most]
+    class_of = groups(len(names), links)
+    head = {}
+    for i, line in enumerate(names):
+        head[class_of[i]] = min(head.get(class_of[i], first[line]), first[line])
+    place = {line: i for i, line in enumerate(names)}
+    return {at: "blank" if not line else "repeat" if first[line] != at else "near" if head[class_of[place[line]]] != at else "kept" for at, line in places}
+
+
+def check_report(rows, docs, want):
+    report = {r.doc_id: r for r in rows}
+    assert report.keys() == {k for k, _ in docs} and len(rows) == len(report)
+    by_key = {k: {} for k, _ in docs}
+    for (named, k, no), fate in want.items():
+        by_key[k if named else None][no] = fate
+    for k, fates in by_key.items():
+        n = lambda fate, fates=fates: sum(f == fate for f in fates.values())
+        gone = ",".join(str(no) for no in sorted(fates) if fates[no] in ("repeat", "near"))
+        assert (report[k].n_lines, report[k].n_kept, report[k].n_repeat, report[k].n_near, report[k].dropped_lines) == (len(fates) - n("blank"), n("kept"), n("repeat"), n("near"), gone)
+
+
 def test_lines(spark):
     rng = random.Random(3)
-    base = ["".join(rng.choice("abcdefgh ") for _ in range(rng.randint(15, 40))) for _ in range(40)]
+    base = ["".join(rng.choice("abcdefgh ") for _ in range(rng.randint(6, 40))) for _ in range(60)]
 
     def changed(s):
         b = list(s)
         for _ in range(rng.randint(0, 4)):
             k, i = rng.random(), rng.randint(0, len(b) - 1)
-            b[i : i + (k >= 0.33)] = [] if 0.33 <= k < 0.66 else [rng.choice("abc")]
+            b[i : i + (k >= 0.33)] = [] if 0.33 <= k < 0.66 and len(b) > 1 else [rng.choice("abc")]
         return "".join(b)
 
-    docs = [(i, "\n".join([changed(rng.choice(base)) for _ in range(rng.randint(0, 5))] + rng.choice([[], [""], ["x"], ["  x "]]))) for i in range(120)] + [(500, None), (501, ""), (None, base[0])]
-    df = spark.createDataFrame(docs, "doc_id long, text string")
-    places = [((k is not None, k or 0, no), line.strip(" ")) for k, t in docs if t is not None for no, line in enumerate(t.split("\n"))]
-    first = {}
-    for at, line in sorted(places):
-        if line:
-            first.setdefault(line, at)
-    names = list(first)
-    long = [i for i, x in enumerate(names) if len(x) >= 20]
-    class_of = groups(len(names), [(i, j) for i in long for j in long if j < i and abs(len(names[i]) - len(names[j])) <= 2 and slow_distance(names[i], names[j]) <= 2])
-    head = {}
-    for i, line in enumerate(names):
-        head[class_of[i]] = min(head.get(class_of[i], first[line]), first[line])
-    place = {line: i for i, line in enumerate(names)}
-    want = {at: "blank" if not line else "repeat" if first[line] != at else "near" if head[class_of[place[line]]] != at else "kept" for at, line in places}
+    docs = [(i, "\n".join([changed(rng.choice(base)) for _ in range(rng.randint(0, 5))] + rng.choice([[], [""], ["x"], ["  x "], ["x\r"], ["\tx"]]))) for i in range(150)] + [(500, None), (501, ""), (None, base[0]), (502, "w" * 60_000 + "\n" + "w" * 59_999 + "v")]
+    df = spark.createDataFrame([(*r, 1, "z") for r in docs], "doc_id long, text string, no int, line string")
+    want = lines_wanted(docs[:-1]) | {(True, 502, 0): "kept", (True, 502, 1): "near"}
     got = {(r.key_ is not None, r.key_ or 0, r.no): r.fate for r in line_dedup.mark_lines(df).where("no is not null").collect()}
     assert got == want and {"near", "repeat", "kept", "blank"} == set(want.values())
-    out = {r.doc_id: r.text for r in line_dedup.drop_lines(df).collect()}
+    dropped = line_dedup.drop_lines(df)
+    assert dropped.columns == df.columns
+    out = {r.doc_id: r.text for r in dropped.collect()}
     for k, t in docs:
         wanted = None if t is None else "\n".join(x for no, x in enumerate(t.split("\n")) if want[k is not None, k or 0, no] in ("kept", "blank"))
         assert out[k] == wanted
-    report = {r.doc_id: r for r in line_dedup.line_report(df).collect()}
-    assert report.keys() == {k for k, _ in docs} and report[500].n_lines == 0
-    assert sum(r.n_near for r in report.values()) == sum(v == "near" for v in want.values())
+    check_report(line_dedup.line_report(df).collect(), docs, want)
     assert line_dedup.line_report(df.limit(0)).count() == 0
+    twice = spark.createDataFrame([(1, "one line of text\nother"), (1, "one line of text\nother"), (2, "one line of text")], "doc_id long, text string")
+    assert sorted((r.doc_id, r.n_lines, r.n_kept, r.dropped_lines) for r in line_dedup.line_report(twice).collect()) == [(1, 4, 4, ""), (2, 1, 0, "0")]
+
+
+def test_op4(spark, folder):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    check_report(queries.op4_line_dedup(spark, folder).collect(), docs, lines_wanted(docs))
+
+
+def test_signatures_differ_in_two_bits_an_edit(spark):
+    rng = random.Random(8)
+    rows = []
+    for _ in range(500):
+        a = "".join(rng.choice("etaoin srhlx") for _ in range(40))
+        b = list(a)
+        for _ in range(2):
+            i = rng.randrange(len(b))
+            b[i : i + rng.randint(0, 1)] = rng.choice(["", "e", "t", "x"])
+        rows.append((a, "".join(b), slow_distance(a, "".join(b))))
+    df = spark.createDataFrame(rows, "a string, b string, d int")
+    bits = F.bit_count(line_dedup.signature(F.col("a")).bitwiseXOR(line_dedup.signature(F.col("b"))))
+    assert df.where(bits > 2 * F.col("d")).count() == 0
 
 
 def slow_verdict(url, rules):
