@@ -1,78 +1,51 @@
-"""Operator 6 [native]: exact dedup by two passes over the texts with a Bloom filter between them.
+"""Operator 6 [native]: exact dedup by two passes with a Bloom filter between them.
 
-Pass 1 counts hashes and puts those seen more than once into a Bloom filter of bounded size. Pass 2 reads
-the rows again; rows whose hash the filter lacks occur once and go straight through, and only the others
-are shuffled and grouped by the whole SHA-256 of their text.
+Pass 1 counts hashes in the cells of a counting Bloom filter; cells that were met twice make the filter. Pass 2 tests
+every row: rows that the filter lacks occur once and go straight through, and only the others are shuffled and grouped
+by the whole SHA-256 of their text. Texts are read and hashed once; what follows works on narrow rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollkeep.llm.common import OWN, ascii_lower, bring_back, checkpointed, set_aside
+from rollkeep.llm.common import OWN, ascii_lower, checkpointed
+from rollkeep.llm.filters import member_filter, repeat_filter
 
-#: Bits in a block of the filter: what bitmap_construct_agg gathers into one value of 4 KB.
-BLOCK = 32_768
 
-
-def _bits(key: Column, blocks: int) -> tuple[Column, list[Column]]:
-    """The block of a hash and its three places in that block, from disjoint parts of the hash."""
-    return F.pmod(F.xxhash64(key), F.lit(blocks)), [F.shiftrightunsigned(key, k).bitwiseAND(BLOCK - 1) for k in (0, 15, 30)]
-
-
-def filter_block(name: str, blocks: int) -> Column:
-    return _bits(F.col(name), blocks)[0]
-
-
-def member_filter(hashes: DataFrame, blocks: int) -> DataFrame:
-    """A blocked Bloom filter of the values of hashes (h: long): (block, bits), at most `blocks` rows of 4 KB."""
-    block, places = _bits(F.col("h"), blocks)
-    bits = F.call_function("bitmap_construct_agg", F.col("place")).alias("bits")
-    return hashes.select(block.alias("block"), F.explode(F.array(*places)).alias("place")).groupBy("block").agg(bits)
-
-
-def repeat_filter(hashes: DataFrame, blocks: int) -> DataFrame:
-    """The filter of those values that occur more than once."""
-    return member_filter(hashes.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), blocks)
-
-
-def in_filter(key: Column, bits: Column) -> Column:
-    """Whether all three places are set; false where the block is missing."""
-    _, places = _bits(key, 1)
-    held = F.lit(True)
-    for p in places:
-        byte = F.conv(F.hex(F.substring(bits, (F.shiftright(p, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-        held = held & (F.call_function("bit_get", byte, p.bitwiseAND(7).cast("int")) == 1)
-    return F.coalesce(held, F.lit(False))
-
-
-def mark_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", blocks: int = 256) -> DataFrame:
-    """docs with keep_id, group_size, kept and text_sha256: equal texts, A-Z lower-cased, form a group.
+def copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """key, keep_id, group_size, kept and text_sha256 of each row: equal texts, A-Z lower-cased, form a group.
 
     Of a group the row with the largest key stays; keep_id is that key, group_size the number of rows.
     Null text counts as empty. A null key loses against any other; a group of null keys only keeps all its
     rows, with a null keep_id. Rows that repeat the largest key stay together. An empty table gives no rows.
-    Other columns pass through; input columns of these names are replaced. blocks bounds the filter, which is broadcast, at 4 KB each (1 MB as set,
-    2**23 bits); a fuller filter only lets more rows be shuffled, and results stay the same.
+    The filter is sized by the number of rows and broadcast, at most 16 MB; a fuller one only lets more rows be
+    shuffled, results stay the same.
     """
-    h, sha = f"{OWN}h", "text_sha256"
-    docs = docs.drop("keep_id", "group_size", "kept", sha)
-    rows = docs.withColumn(sha, F.sha2(ascii_lower(F.col(text)), 256))
-    rows = rows.withColumn(h, F.conv(F.substring(sha, 1, 15), 16, 10).cast("long"))
-    bloom = checkpointed(repeat_filter(rows.select(F.col(h).alias("h")), blocks))
-    bloom = bloom.select(F.col("block").alias(f"{OWN}block"), F.col("bits").alias(f"{OWN}bits"))
-    rows = rows.withColumn(f"{OWN}block", filter_block(h, blocks)).join(F.broadcast(bloom), f"{OWN}block", "left")
-    rows = rows.withColumn(f"{OWN}maybe", in_filter(F.col(h), F.col(f"{OWN}bits"))).drop(h, f"{OWN}block", f"{OWN}bits")
-    once = rows.where(~F.col(f"{OWN}maybe")).drop(f"{OWN}maybe").withColumns({"keep_id": F.col(key), "group_size": F.lit(1).cast("long"), "kept": F.lit(True)})
-    maybe = rows.where(f"{OWN}maybe").drop(f"{OWN}maybe")
-    groups = maybe.groupBy(F.col(sha).alias(f"{OWN}sha")).agg(F.max(key).alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    sha = F.unhex(F.sha2(ascii_lower(F.col(text)), 256)).alias("sha")
+    rows = checkpointed(docs.select(F.col(key).alias("key"), sha)).withColumn("h", F.xxhash64("sha"))
+    marked = repeat_filter(rows, rows.count()).mark(rows, "h")
+    once = marked.where("not maybe").select("key", "sha", F.col("key").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"))
+    maybe = marked.where("maybe").select("key", "sha")
+    groups = maybe.groupBy(F.col("sha").alias("name")).agg(F.max("key").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
     groups = checkpointed(groups)  # both sides of the join are then dealt by the join alone, and adaptive execution splits hot groups
-    more = maybe.join(groups, maybe[sha] == F.col(f"{OWN}sha")).drop(f"{OWN}sha").withColumn("kept", F.col(key).eqNullSafe(F.col("keep_id")))
-    return once.unionByName(more)
+    more = maybe.join(groups, F.col("sha") == F.col("name")).select("key", "sha", "keep_id", "group_size", F.col("key").eqNullSafe(F.col("keep_id")).alias("kept"))
+    return once.unionByName(more).select(F.col("key").alias(key), "keep_id", "group_size", "kept", F.lower(F.hex("sha")).alias("text_sha256"))
 
 
 def drop_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of docs that mark_copies keeps, with the columns of docs."""
-    marked = mark_copies(set_aside(docs, ["keep_id", "group_size", "kept", "text_sha256"]), key, text)
-    return bring_back(marked.where("kept"), docs.columns)
+    """The rows of docs that copies keeps, with the columns of docs.
+
+    Rows whose key names no dropped row, by a Bloom filter, stay where they are; only the others are shuffled, to be
+    matched by key and text. Nulls, ties, repeated rows and empty tables as in copies.
+    """
+    gone = checkpointed(copies(docs, key, text).where("not kept").select(F.col(key).alias(f"{OWN}key"), F.unhex("text_sha256").alias(f"{OWN}sha")).distinct())
+    rows = docs.withColumn(f"{OWN}h", F.xxhash64(F.col(key)))
+    if "maybe" in docs.columns:
+        rows = rows.withColumnRenamed("maybe", f"{OWN}aside")
+    rows = member_filter(gone.select(F.xxhash64(f"{OWN}key").alias("h")), gone.count()).mark(rows, f"{OWN}h")
+    asked = rows.where("maybe").withColumn(f"{OWN}mine", F.unhex(F.sha2(ascii_lower(F.col(text)), 256)))
+    same = asked[key].eqNullSafe(gone[f"{OWN}key"]) & (asked[f"{OWN}mine"] == gone[f"{OWN}sha"])
+    out = rows.where("not maybe").unionByName(asked.join(gone, same, "left_anti").drop(f"{OWN}mine"))
+    return out.select([F.col(f"`{OWN}aside`").alias(c) if c == "maybe" else F.col(f"`{c}`") for c in docs.columns])

@@ -43,8 +43,7 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return exact_dedup.mark_copies(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+    return exact_dedup.copies(table(spark, sf_dir, "documents"))
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
