@@ -58,7 +58,7 @@ class Model:
         out = {}
         for a, b in combinations(names, 2):
             rows = (labels == a) | (labels == b)
-            out[a, b] = svm(x[rows].astype(np.float64), np.where(labels[rows] == a, 1.0, -1.0)).astype(np.float32)
+            out[a, b] = svm(x[rows], np.where(labels[rows] == a, 1.0, -1.0)).astype(np.float32)
         return out
 
     @staticmethod
@@ -92,22 +92,41 @@ class Model:
         return out, score
 
 
-def bounded_sample(rows: DataFrame, label: str, key: str, each: int) -> DataFrame:
-    """About `each` rows of every label, at most 1.5 times so many, chosen by a hash of the key; all of rarer labels."""
-    counts = {r[0]: r[1] for r in rows.groupBy(label).agg(F.count(F.lit(1))).collect()}  # one row for each label
+def bounded_sample(rows: DataFrame, label: str, key: str, each: int, labels: int = 64) -> DataFrame:
+    """About `each` rows of every label, at most 1.5 times so many, chosen by a hash of the key; all of rarer labels.
+
+    Of more than `labels` labels the most frequent ones (then the smallest) count; rows of others are left out.
+    """
+    most = rows.groupBy(label).agg(F.count(F.lit(1)).alias("n_")).orderBy(F.col("n_").desc(), label).limit(labels)
+    counts = {r[0]: r[1] for r in most.collect()}
     share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, each / n))]) if counts else F.lit(None)
     chance = F.pmod(F.xxhash64(F.col(key), F.lit("sample")), F.lit(1 << 20)) / float(1 << 20)
     return rows.where(chance < share[F.col(label)]) if counts else rows.limit(0)
 
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """lang, and the places (two bytes) and values (four bytes) of the features that are not zero, of texts with a letter."""
+    for batch in slices(batches):
+        kept = [(features(t), code) for t, code in zip(batch["text"].to_pylist(), batch["lang"].to_pylist(), strict=True) if any(c.isalpha() for c in t)]
+        at = [np.flatnonzero(x) for x, _ in kept]
+        columns = [[code for _, code in kept], [a.astype(np.uint16).tobytes() for a in at], [x[a].tobytes() for (x, _), a in zip(kept, at, strict=True)]]
+        yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), *(pa.array(c, pa.binary()) for c in columns[1:])], ["lang", "at", "value"])
+
+
 def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", each: int = 800) -> Model | None:
     """A model from a bounded sample: about `each` rows for every value of lang, of those that may be learned from.
 
-    Null or letterless texts and null languages are left out; no such rows give None.
+    At most the 64 most frequent values of lang are learned. The driver gets features only, at most 24 KB a row, whatever
+    the texts' length. Null or letterless texts and null languages are left out; no such rows give None.
     """
     rows = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & ~held_out(key)).select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang"))
-    got = [(r["text"], r["lang"]) for r in bounded_sample(rows, "lang", "key", each).collect() if any(c.isalpha() for c in r["text"])]
-    return Model(np.stack([features(t) for t, _ in got]), [code for _, code in got]) if got else None
+    got = bounded_sample(rows, "lang", "key", each).select("text", "lang").mapInArrow(_counted, "lang string, at binary, value binary").collect()
+    if not got:
+        return None
+    x = np.zeros((len(got), SIZE), np.float32)
+    for i, r in enumerate(got):
+        x[i, np.frombuffer(r["at"], np.uint16)] = np.frombuffer(r["value"], np.float32)
+    return Model(x, [r["lang"] for r in got])
 
 
 def identify(docs: DataFrame, model: Model | None, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -138,6 +157,12 @@ def identify(docs: DataFrame, model: Model | None, key: str = "doc_id", text: st
 
 
 def keep_known(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """The rows of docs whose language can be told; those of und go. The model learns from docs itself. Columns as in docs."""
-    rows = identify(set_aside(docs, ["held_out", "lang_pred", "score"]), train(docs, key, text, lang), key, text)
+    """The rows of docs whose language can be told; those of und go. The model learns from docs itself. Columns as in docs.
+
+    If no row has a language to learn from, nothing can be told apart, and all rows stay.
+    """
+    model = train(docs, key, text, lang)
+    if model is None:
+        return docs
+    rows = identify(set_aside(docs, ["held_out", "lang_pred", "score"]), model, key, text)
     return bring_back(rows.where(F.col("lang_pred") != UNKNOWN), docs.columns)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 
 
@@ -28,21 +30,44 @@ def svm(x: np.ndarray, y: np.ndarray, penalty: float = 1e-4, epochs: int = 30, s
     return mean / max(1.0, np.linalg.norm(mean)) * 20 if np.linalg.norm(mean) else mean
 
 
-def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, swaps: np.ndarray, pull: float, penalty: float = 1e-5, steps: int = 600, rate: float = 0.1) -> np.ndarray:
+class Sparse(NamedTuple):
+    """Rows of few values: the column, row and value of each, and the numbers of rows and columns."""
+
+    column: np.ndarray
+    row: np.ndarray
+    value: np.ndarray
+    rows: int
+    columns: int
+
+    @classmethod
+    def of(cls, columns: list[np.ndarray], values: list[np.ndarray], n: int) -> Sparse:
+        none = np.zeros(0, np.int32)
+        row = np.repeat(np.arange(len(columns), dtype=np.int32), [len(c) for c in columns])
+        return cls(np.concatenate([none, *columns]).astype(np.int32), row, np.concatenate([none, *values]).astype(np.float32), len(columns), n)
+
+    def dot(self, w: np.ndarray) -> np.ndarray:
+        return np.bincount(self.row, w[self.column] * self.value, self.rows)
+
+    def back(self, r: np.ndarray) -> np.ndarray:
+        """The transposed matrix times r."""
+        return np.bincount(self.column, r[self.row] * self.value, self.columns)
+
+
+def logistic(x: Sparse, y: np.ndarray, weight: np.ndarray, swaps: Sparse, pull: float, penalty: float = 5e-4, steps: int = 300, rate: float = 0.1) -> np.ndarray:
     """Weights (the last one for the constant) of a logistic regression with y in 0, 1.
 
     swaps: rows of feature changes that must not matter; the mean square of the score change that they cause is
     added to the loss, times `pull`.
     """
-    x = np.hstack([x, np.ones((len(x), 1), x.dtype)])
     weight = weight / weight.sum()
-    w = np.zeros(x.shape[1], np.float32)
+    w = np.zeros(x.columns + 1, np.float32)
     m, v = np.zeros_like(w), np.zeros_like(w)
     for t in range(1, steps + 1):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        g = (weight * (p - y)).astype(np.float32) @ x + penalty * np.r_[w[:-1], 0].astype(np.float32)
-        if len(swaps):
-            g[:-1] += 2 * pull * ((swaps @ w[:-1]) @ swaps) / len(swaps)
+        p = 1 / (1 + np.exp(-np.clip(x.dot(w[:-1]) + w[-1], -30, 30)))
+        r = (weight * (p - y)).astype(np.float32)
+        g = np.r_[x.back(r) + penalty * w[:-1], r.sum()].astype(np.float32)
+        if swaps.rows:
+            g[:-1] += (2 * pull * swaps.back(swaps.dot(w[:-1]).astype(np.float32)) / swaps.rows).astype(np.float32)
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w = w - rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
     return w

@@ -6,7 +6,8 @@ Under a key, node pairs of the fingerprints' binary trie are walked down togethe
 differing bits, and pruned once over budget. Keys with many fingerprints are dealt over several tasks.
 
 The pipeline stage keeps one of texts whose sets of five-word shingles are similar. There fingerprints are cut
-into ten parts and the trie join has a larger budget; what it finds is confirmed by the exact similarity.
+into ten parts and the trie join has a larger budget; only texts that it finds together bring their shingles, and
+pairs are confirmed by the exact similarity where they meet, so that no table of candidate pairs is ever made.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 from rollkeep.llm.common import OWN, checkpointed, slices
 from rollkeep.llm.components import connected_components
-from rollkeep.llm.line_dedup import with_maybe
+from rollkeep.llm.filters import member_filter
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
@@ -195,41 +196,87 @@ def near_links(fps: DataFrame, budget: int = 2, block: int = 1_000) -> DataFrame
     return _dealt(fps, 4, block).mapInArrow(lambda it: _join(it, budget), "a long, b long")
 
 
-def _candidates(batches: Iterator[pa.RecordBatch], budget: int, parts: int, at_once: int = 6_000) -> Iterator[pa.RecordBatch]:
-    """Pairs (a, b) of ids within budget bits whose sizes n can be similar; each under one key only.
-
-    first: whether, in its group, one is the nearest to the other or the one nearest to most others.
-    """
+def _fitting(rows: np.ndarray, budget: int, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows (key, lo, hi, salt, fp, id, n) within budget bits whose sizes n can be similar; each under the first key that both have only."""
     width = 64 // parts
     two = np.array(list(combinations(range(parts), 2)))
-    for rows in _whole(batches, ("key", "lo", "hi", "salt", "fp", "id", "n"), at_once):
-        x, y = _pairs(rows, budget)
-        n = rows[:, 6]
-        fit = 5 * np.minimum(n[x], n[y]) >= 4 * np.maximum(n[x], n[y])
-        x, y = x[fit], y[fit]
-        fp = rows[:, 4].view(np.uint64)
-        unlike = fp[x] ^ fp[y]
-        same = np.stack([(unlike >> np.uint64(width * k)) & np.uint64((1 << width) - 1) == 0 for k in range(parts)], axis=1)
-        one = same.argmax(axis=1)
-        same[np.arange(len(x)), one] = False
-        here = (np.stack([one, same.argmax(axis=1)], axis=1) == two[rows[x, 0] >> 32]).all(axis=1)
-        x, y, far = x[here], y[here], np.bitwise_count(unlike[here]).astype(np.int64)
-        near = budget + 1 - far
-        score = (np.bincount(x, near, len(rows)) + np.bincount(y, near, len(rows))).astype(np.int64)
-        a, b, d = np.r_[x, y], np.r_[y, x], np.r_[far, far]
-        first = np.zeros(len(x), bool)
-        for rank in (d, -score[b]):
-            order = np.lexsort((b, rank, a))
-            first[order[np.flatnonzero(np.diff(a[order], prepend=-1))] % max(1, len(x))] = True
-        p, q = rows[x, 5], rows[y, 5]
-        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(p, q)), pa.array(np.maximum(p, q)), pa.array(first)], ["a", "b", "first"])
-
-
-def _labels(links: DataFrame) -> DataFrame:
-    """(id, label) for every id of links (a, b): ids of equal label are connected; other connected ones may have unequal labels."""
-    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    own = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label"))
-    return both.join(own.withColumnRenamed("a", "b"), "b").groupBy(F.col("a").alias("id")).agg(F.min("label").alias("label"))
+    x, y = _pairs(rows, budget)
+    n, fp = rows[:, 6], rows[:, 4].view(np.uint64)
+    fit = 5 * np.minimum(n[x], n[y]) >= 4 * np.maximum(n[x], n[y])
+    x, y = x[fit], y[fit]
+    unlike = fp[x] ^ fp[y]
+    same = np.stack([(unlike >> np.uint64(width * k)) & np.uint64((1 << width) - 1) == 0 for k in range(parts)], axis=1)
+    one = same.argmax(axis=1)
+    same[np.arange(len(x)), one] = False
+    here = (np.stack([one, same.argmax(axis=1)], axis=1) == two[rows[x, 0] >> 32]).all(axis=1)
+    return x[here], y[here]
+
+
+_GROUP = ("key", "lo", "hi", "salt", "fp", "id", "n")
+
+
+def _members(batches: Iterator[pa.RecordBatch], budget: int, parts: int, at_once: int = 6_000) -> Iterator[pa.RecordBatch]:
+    """The rows of each group that have a fitting row there."""
+    for rows in _whole(batches, _GROUP, at_once):
+        x, y = _fitting(rows, budget, parts)
+        rows = rows[np.unique(np.r_[x, y])]
+        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(rows[:, k])) for k in range(len(_GROUP))], list(_GROUP))
+
+
+def shared_shingles(x: np.ndarray, y: np.ndarray, flat: np.ndarray, ends: np.ndarray, at_once: int = 2_000_000) -> np.ndarray:
+    """How many values the sets x[i] and y[i] share; set k is flat[ends[k]:ends[k + 1]], its values distinct."""
+    _, value = np.unique(flat, return_inverse=True)
+    span = int(value.max(initial=0)) + 1
+    size = np.diff(ends)
+    held = np.sort(np.repeat(np.arange(len(size)), size) * span + value)
+    swap = size[x] > size[y]
+    x, y = np.where(swap, y, x), np.where(swap, x, y)
+    out = np.zeros(len(x), np.int64)
+    cuts = np.searchsorted(np.cumsum(size[x]), np.arange(at_once, int(size[x].sum()) + at_once, at_once)) + 1
+    begin = 0
+    for end in np.minimum(cuts, len(x)):
+        if end > begin:
+            p, q = x[begin:end], y[begin:end]
+            of = np.repeat(np.arange(len(p)), size[p])
+            off = np.arange(len(of)) - np.repeat(np.cumsum(size[p]) - size[p], size[p])
+            asked = q[of] * span + value[ends[p][of] + off]
+            at = np.minimum(np.searchsorted(held, asked), len(held) - 1)
+            out[begin:end] = np.bincount(of, held[at] == asked, len(p))
+            begin = end
+    return out
+
+
+def _linked(batches: Iterator[pa.RecordBatch], budget: int, parts: int, at_once: int = 3_000) -> Iterator[pa.RecordBatch]:
+    """Links (a, b) of ids whose sets s are similar: in each group, every id with the smallest one that it reaches there."""
+
+    def links(table: pa.Table) -> pa.RecordBatch:
+        rows = np.stack([table[c].to_numpy().astype(np.int64) for c in _GROUP], axis=1)
+        sets = table["s"].combine_chunks()
+        flat, ends = sets.flatten().to_numpy(), np.r_[0, np.cumsum(sets.value_lengths().to_numpy())].astype(np.int64)
+        x, y = _fitting(rows, budget, parts)
+        n = np.diff(ends)
+        close = 9 * shared_shingles(x, y, flat, ends) >= 4 * (n[x] + n[y])
+        ids = rows[:, 5]
+        order = np.argsort(ids, kind="stable")
+        place = np.empty(len(ids), np.int64)
+        place[order] = np.arange(len(ids))
+        root = ids[order][smallest_linked(len(ids), place[x[close]], place[y[close]])][place]
+        out = np.flatnonzero(root != ids)
+        return pa.RecordBatch.from_arrays([pa.array(ids[out]), pa.array(root[out])], ["a", "b"])
+
+    held: pa.Table | None = None
+    for batch in batches:
+        for k in range(0, batch.num_rows, at_once):
+            got = pa.Table.from_batches([batch.slice(k, at_once)])
+            held = got if held is None or not len(held) else pa.concat_tables([held, got])
+            if len(held) >= at_once:
+                name = np.stack([held[c].to_numpy() for c in _GROUP[:3]], axis=1)
+                last = np.flatnonzero((name[1:] != name[:-1]).any(axis=1))
+                if len(last):  # the last group may go on in the next batch
+                    yield links(held.slice(0, last[-1] + 1))
+                    held = held.slice(last[-1] + 1)
+    if held is not None and len(held):
+        yield links(held)
 
 
 def _texts(docs: DataFrame, key: str, text: str, words: int, whole: bool) -> DataFrame:
@@ -257,38 +304,24 @@ def _texts(docs: DataFrame, key: str, text: str, words: int, whole: bool) -> Dat
     return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(rows, f"fp long, u long, n long, {last}")
 
 
-def _confirmed(pairs: DataFrame, units: DataFrame, docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
-    """Those pairs (a, b) of units whose sets of shingles have a Jaccard similarity of 0.8 or more; only texts of pairs are shuffled."""
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    asked = checkpointed(units.join(ids, "id").select("id", "fp", "u", "least"))
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.xxhash64(key).alias("h"))
-    rows = with_maybe(rows, asked.select(F.xxhash64("least").alias("h")).distinct(), 256).where("maybe")
-    sets = _texts(rows, "key", "text", words, True).join(asked, ["fp", "u"]).select("id", "s").dropDuplicates(["id"])
-    sets = checkpointed(sets)
-    met = pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("s").alias("y")), "b")
-    return met.where(9 * F.size(F.array_intersect("x", "y")) >= 4 * (F.size("x") + F.size("y"))).select("a", "b")
-
-
 def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, budget: int = 14, parts: int = 10, block: int = 300) -> DataFrame:
     """key and component_id of each row: the smallest key that links reach, itself included.
 
     Texts link whose sets of shingles of `words` words have a Jaccard similarity of 0.8 or more, if their fingerprints
     differ in at most `budget` bits and agree in two of `parts` parts (so up to parts - 2 bits surely). Equal words are
-    one unit. The nearest candidates of each unit are confirmed first, then all whose units these do not join, so that
-    large groups of near copies need not be compared throughout.
-    A null key never names a group, as in near_groups.
+    one unit. A row of a group is there once, with its shingles if a fitting row is there too; links leave a group as
+    one row for each member at most. A null key never names a group, as in near_groups.
     """
     rows = checkpointed(_texts(docs, key, text, words, False))
     units = rows.groupBy("fp", "u", "n").agg(F.min("key").alias("least")).withColumn("id", F.monotonically_increasing_id())
     units = checkpointed(units)
     dealt = _dealt(units.where(F.col("least").isNotNull()).select("fp", "id", "n"), parts, block)
-    pairs = checkpointed(dealt.mapInArrow(lambda it: _candidates(it, budget, parts), "a long, b long, first boolean"))
-    links = checkpointed(_confirmed(pairs.where("first").select("a", "b"), units, docs, key, text, words))
-    label = checkpointed(_labels(links))
-    rest = pairs.where("not first").join(label.select(F.col("id").alias("a"), F.col("label").alias("la")), "a", "left")
-    rest = rest.join(label.select(F.col("id").alias("b"), F.col("label").alias("lb")), "b", "left")
-    rest = checkpointed(rest.where(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b"))
-    links = links.unionByName(_confirmed(rest, units, docs, key, text, words))
+    kind = ", ".join(f"{c} long" for c in _GROUP)
+    members = checkpointed(dealt.mapInArrow(lambda it: _members(it, budget, parts), kind))
+    sets = _sets(units.join(members.select("id").distinct(), "id"), docs, key, text, words)
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = members.join(sets, "id").repartition(n, *_GROUP[:3]).sortWithinPartitions(*_GROUP[:3])
+    links = checkpointed(met.select(*_GROUP, "s").mapInArrow(lambda it: _linked(it, budget, parts), "a long, b long"))
     joined = connected_components(links).select(F.col("node").alias("id"), "component")
     units = checkpointed(units.join(joined, "id", "left").withColumn("c", F.coalesce("component", "id")))
     least = units.groupBy("c").agg(F.min("least").alias("component_id"))
@@ -296,6 +329,14 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", wor
     return rows.join(grouped, ["fp", "u"]).select(F.col("key").alias(key), "component_id")
 
 
+def _sets(units: DataFrame, docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
+    """(id, s): the distinct shingles of each unit (id, fp, u, least). Texts are read once more, and only those of units go to Python."""
+    asked = checkpointed(units.select("id", "fp", "u", "least"))
+    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.xxhash64(key).alias("h"))
+    rows = member_filter(asked.select(F.xxhash64("least").alias("h")).distinct(), asked.count()).mark(rows, "h").where("maybe")
+    return checkpointed(_texts(rows, "key", "text", words, True).join(asked, ["fp", "u"]).select("id", "s").dropDuplicates(["id"]))
+
+
 def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3, budget: int = 2) -> DataFrame:
     """key, fingerprint (16 hex digits) and component_id of each row: the smallest key that links reach, itself included.
 
