@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from rollkeep.llm import exact_dedup, language_id, packing, simhash, toxicity
+from rollkeep.llm.common import shared_folder
 from rollkeep.llm.queries import vocabulary
 
 
@@ -44,11 +44,11 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to documents in turn; each one's rows are written as Parquet and read again."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")
+    folder = shared_folder(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     name = uuid.uuid4().hex
     for step, stage in STAGES:
-        out = f"{folder.rstrip('/')}/pipeline-{name}/{step}"
+        out = f"{folder}/pipeline-{name}/{step}"
         stage(spark, docs, sf_dir).write.parquet(out)
         docs = spark.read.parquet(out)
     return docs
