@@ -18,21 +18,38 @@ from pyspark.sql import functions as F
 from rollkeep.llm.chunks import ChunkEncoder
 from rollkeep.llm.common import checkpointed, slices
 
-_encoders: dict[str, ChunkEncoder] = {}
+_encoders: dict[str, Encoder] = {}
 
 
-def _encoder(path: str) -> ChunkEncoder:
-    """Each worker opens the vocabulary once."""
-    if path not in _encoders:
+class Encoder:
+    """Ids of texts as the tokenizers library gives them from this file, without adding special tokens of its own.
+
+    A text that holds the string of one of the vocabulary's added tokens, as <|endoftext|>, is encoded whole, as only the
+    library finds these; all others go chunk by chunk.
+    """
+
+    def __init__(self, path: str) -> None:
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        model = Tokenizer.from_file(path)
-        model.encode_special_tokens = True
-        _encoders[path] = ChunkEncoder(_ids_of(model))
-    return _encoders[path]
+        self.model = Tokenizer.from_file(path)
+        self.added = [t.content for t in self.model.get_added_tokens_decoder().values()]
+        self.chunks = ChunkEncoder(_ids_of(self.model))
+
+    @classmethod
+    def of(cls, path: str) -> Encoder:
+        """Each worker opens the vocabulary once."""
+        if path not in _encoders:
+            _encoders[path] = cls(path)
+        return _encoders[path]
+
+    def encode(self, texts: Sequence[str | None]) -> Iterator[bytes]:
+        """Little-endian unsigned 32-bit ids of each text, in order; null counts as empty."""
+        whole = [bool(t) and any(a in t for a in self.added) for t in texts]
+        for text, alone, ids in zip(texts, whole, self.chunks.encode(None if w else t for t, w in zip(texts, whole, strict=True)), strict=True):
+            yield np.array(self.model.encode(text, add_special_tokens=False).ids, "<u4").tobytes() if alone else ids
 
 
 def _ids_of(model) -> Callable[[Sequence[str]], list[bytes]]:
@@ -78,7 +95,7 @@ def cut(df: DataFrame, path: str, size: int = 2048, end: int = 0, key: str = "do
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, tail = _encoder(path), np.array([end], "<u4").tobytes()
+        encoder, tail = Encoder.of(path), np.array([end], "<u4").tobytes()
         for batch in slices(batches):
             at, number, start, ids = [], [], [], []
             for i, one in enumerate(encoder.encode(batch["text"].to_pylist())):
