@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from rollkeep.llm.chunks import ChunkEncoder, joined
 from rollkeep.llm.common import slices
 
-#: Pieces of at most this many bytes go through the plain query, longer ones through the one below.
+#: Longer pieces are first cut where no token of the vocabulary can cross; what is still longer goes through LONG below.
 SHORT = 64
 
 _PAIRS = """
@@ -93,6 +93,9 @@ class Merges:
         self._load("early", {"new": np.concatenate([a[early], b[early]]), "other": np.concatenate([b[early], a[early]]).astype(np.int32)})
         self._load("vocabulary", {"id": np.array(list(ranks.values()), np.int32), "hex": [x.hex() for x in ranks]})
         self.byte = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
+        self.two, self.three = np.zeros(1 << 16, bool), np.zeros(1 << 24, bool)
+        self.two[[x[0] << 8 | x[1] for x in ranks if len(x) == 2]] = True
+        self.three[[x[i] << 16 | x[i + 1] << 8 | x[i + 2] for x in ranks for i in range(len(x) - 2)]] = True
 
     @classmethod
     def of(cls, path: str) -> Merges:
@@ -105,16 +108,38 @@ class Merges:
         self.db.execute(f"create or replace temp table {name} as select * from given")
         self.db.unregister("given")
 
-    def encode(self, pieces: Sequence[str], at_once: int = 20_000) -> list[bytes]:
+    def cuts(self, piece: bytes) -> list[bytes]:
+        """The piece cut wherever no token of the vocabulary can cross, so that each part contracts by itself.
+
+        A token across two bytes is these two, or has them with the byte before or with the one after.
+        """
+        b = np.frombuffer(piece, np.uint8).astype(np.int32)
+        pair = b[:-1] << 8 | b[1:]
+        crossed = self.two[pair]
+        triple = self.three[b[:-2] << 16 | pair[1:]]
+        crossed[:-1] |= triple
+        crossed[1:] |= triple
+        ends = np.flatnonzero(~crossed) + 1
+        return [piece[i:j] for i, j in zip([0, *ends.tolist()], [*ends.tolist(), len(piece)], strict=True)]
+
+    def encode(self, pieces: Sequence[str], at_once: int = 20_000, long_bytes: int = 100_000) -> list[bytes]:
         """The ids of each piece, as the merges of the whole piece give them."""
         data = [x.encode("utf-8", "surrogatepass") for x in pieces]
-        out: list[bytes] = [b""] * len(data)
-        short = [i for i, x in enumerate(data) if 0 < len(x) <= SHORT]
+        parts = {i: self.cuts(x) for i, x in enumerate(data) if len(x) > SHORT}
+        units = list({x for i, x in enumerate(data) if x and i not in parts} | {x for cut in parts.values() for x in cut})
+        out: list[bytes] = [b""] * len(units)
+        short = [i for i, x in enumerate(units) if len(x) <= SHORT]
         for k in range(0, len(short), at_once):
-            self._turns(data, short[k : k + at_once], out, False)
-        for i in (i for i, x in enumerate(data) if len(x) > SHORT):
-            self._turns(data, [i], out, True)
-        return out
+            self._turns(units, short[k : k + at_once], out, False)
+        group: list[int] = []
+        for i in [*(i for i, x in enumerate(units) if len(x) > SHORT), None]:  # long ones together, as far as memory is bounded
+            if group and (i is None or sum(len(units[j]) for j in group) + len(units[i]) > long_bytes):
+                self._turns(units, group, out, True)
+                group = []
+            if i is not None:
+                group.append(i)
+        known = dict(zip(units, out, strict=True))
+        return [b"".join([known[x] for x in parts[i]]) if i in parts else known.get(x, b"") for i, x in enumerate(data)]
 
     def _turns(self, data: list[bytes], which: list[int], out: list[bytes], long: bool) -> None:
         sizes = np.array([len(data[i]) for i in which])
@@ -142,7 +167,7 @@ class Merges:
         sizes = np.array([len(x) // 4 for x in ids], np.int64)
         t = np.frombuffer(b"".join(ids), "<u4").astype(np.int64)
         self._load("tokens", {"g": np.repeat(np.arange(len(ids), dtype=np.int32), sizes), "p": np.arange(len(t), dtype=np.int32), "t": t})
-        if self.db.execute("select count(*) from tokens anti join vocabulary v on v.id = tokens.t").fetchone()[0]:
+        if self.db.execute("select count(*) from tokens anti join vocabulary v on v.id = tokens.t").fetchall()[0][0]:
             raise ValueError("an id is not in the vocabulary")
         out = [b""] * len(ids)
         for i, text in self.db.execute(DECODE).fetchall():
