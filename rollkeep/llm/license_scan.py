@@ -1,7 +1,10 @@
 """Operator 10: license scans by conditional compression.
 
-A window of text around an anchor word is compressed alone and with each template as a zstandard raw dictionary. A template that
-shares its wording shrinks the block most; winners are confirmed by the exact differences in wording.
+A notice that differs from a template in at most a fifth of its words, f, holds one of f + 1 parts of the template word by
+word. Texts are searched for all these parts at once, across lines, punctuation and comment signs; where parts are
+found, the words around them, by the templates' lengths, are a candidate block. Each block is compressed alone and with
+every template as a zstandard raw dictionary; down the ranking of the size reductions, templates are confirmed by the exact
+differences in wording.
 """
 
 from __future__ import annotations
@@ -11,6 +14,7 @@ from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -18,41 +22,94 @@ from pyspark.sql import functions as F
 
 from rollkeep.llm.common import slices
 
+_AS_IS = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, '
+    "THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED."
+)
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
+    "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+    "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer "
+    "in the documentation and/or other materials provided with the distribution. "
+)
+_GNU = (
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {name} as published by the Free Software Foundation, "
+    "either version {version} of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, "
+    "but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {name} for more details."
+)
 #: License notices by SPDX identifier or a like name.
 TEMPLATES = {
-    "AGPL-3.0": ["This work is licensed under the GNU Affero General Public License, version 3."],
+    "AGPL-3.0": ["This work is licensed under the GNU Affero General Public License, version 3.", _GNU.format(name="Affero General Public License", version=3)],
     "All-Rights-Reserved": ["All rights reserved."],
     "Apache-2.0": [
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.",
+        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at "
+        "http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, "
+        "WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.",
     ],
-    "BSD-2-Clause": ["Released under the BSD 2-Clause License."],
+    "BSD-2-Clause": ["Released under the BSD 2-Clause License.", _BSD + _AS_IS],
     "BSD-3-Clause": [
         "Released under the BSD 3-Clause License.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
+        _BSD + "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. " + _AS_IS,
     ],
     "CC-BY-4.0": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."],
     "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
     "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
     "CC0-1.0": ["To the extent possible under law, the author has waived all copyright and related rights to this work."],
-    "GPL-2.0": ["This work is licensed under the GNU General Public License, version 2."],
-    "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3."],
+    "GPL-2.0": ["This work is licensed under the GNU General Public License, version 2.", _GNU.format(name="General Public License", version=2)],
+    "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3.", _GNU.format(name="General Public License", version=3)],
     "ISC": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."],
-    "LGPL-3.0": ["This work is licensed under the GNU Lesser General Public License, version 3."],
+    "LGPL-3.0": ["This work is licensed under the GNU Lesser General Public License, version 3.", _GNU.format(name="Lesser General Public License", version=3)],
     "MIT": [
         "Released under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction.",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, "
+        "including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, "
+        "subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+    ],
+    "MPL-2.0": [
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
     ],
-    "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
     "Unlicense": ["This is free and unencumbered software released into the public domain."],
 }
-#: A text without any of these words holds no notice; each template has one.
-ANCHOR = r"(?i)licen[sc]|rights\W+reserved|permission|redistribution|public\W+domain|waived\W+all\W+copyright"
-_WORD = re.compile(r"[\w.+-]*\w")
+#: Identifiers that may follow "SPDX-License-Identifier:", by the name above.
+SPDX = {
+    "AGPL-3.0": ["AGPL-3.0", "AGPL-3.0-only", "AGPL-3.0-or-later"],
+    "Apache-2.0": ["Apache-2.0"],
+    "BSD-2-Clause": ["BSD-2-Clause"],
+    "BSD-3-Clause": ["BSD-3-Clause"],
+    "CC-BY-4.0": ["CC-BY-4.0"],
+    "CC-BY-NC-4.0": ["CC-BY-NC-4.0"],
+    "CC-BY-SA-4.0": ["CC-BY-SA-4.0"],
+    "CC0-1.0": ["CC0-1.0"],
+    "GPL-2.0": ["GPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-2.0+"],
+    "GPL-3.0": ["GPL-3.0", "GPL-3.0-only", "GPL-3.0-or-later", "GPL-3.0+"],
+    "ISC": ["ISC"],
+    "LGPL-3.0": ["LGPL-3.0", "LGPL-3.0-only", "LGPL-3.0-or-later"],
+    "MIT": ["MIT"],
+    "MPL-2.0": ["MPL-2.0"],
+    "Unlicense": ["Unlicense"],
+}
+_WORD = re.compile(r"[\w.+-]*[\w+]")
 
 
 def words(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    return " ".join(_WORD.findall(text)).lower().split(" ")
+
+
+def few(want: list[str]) -> int:
+    """The words of a template that a notice may differ in: a fifth."""
+    return len(want) // 5
+
+
+def parts(want: list[str]) -> list[tuple[int, list[str]]]:
+    """few + 1 parts of a template, one after another: that many differences leave one of them whole."""
+    m = few(want) + 1
+    cuts = [len(want) * k // m for k in range(m + 1)]
+    return [(a, want[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
 class Scanner:
@@ -60,107 +117,139 @@ class Scanner:
 
     _open: Scanner | None = None
 
-    def __init__(self, templates: dict[str, list[str]] = TEMPLATES, level: int = 3) -> None:
+    def __init__(self, templates: dict[str, list[str]] = TEMPLATES, spdx: dict[str, list[str]] = SPDX, level: int = 3) -> None:
+        import ahocorasick
         import zstandard
 
         self.plain = zstandard.ZstdCompressor(level=level, write_content_size=False)
-        self.anchor = re.compile(ANCHOR)
-        self.entries = []
-        for name, texts in templates.items():
-            for text in texts:
-                folded = " ".join(text.lower().split())
-                # repeated, as a raw dictionary must hold eight bytes at least
-                data = zstandard.ZstdCompressionDict((folded + "\n").encode() * 2, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-                self.entries.append((name, words(text), zstandard.ZstdCompressor(level=level, dict_data=data, write_content_size=False, write_dict_id=False)))
+        self.entries: list[tuple[str, list[str], zstandard.ZstdCompressor]] = []
+        texts = [(name, t) for name, all_ in templates.items() for t in all_] + [(name, f"SPDX-License-Identifier: {i}") for name, ids in spdx.items() for i in ids]
+        for name, text in texts:
+            want = words(text)
+            # repeated, as a raw dictionary must hold eight bytes at least
+            data = zstandard.ZstdCompressionDict((" ".join(want) + "\n").encode() * 2, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            self.entries.append((name, want, zstandard.ZstdCompressor(level=level, dict_data=data, write_content_size=False, write_dict_id=False)))
+        self.telling = self._telling_words()
+        places: dict[str, list[tuple[int, int]]] = {}
+        for k, (_, want, _) in enumerate(self.entries):
+            for at, part in parts(want):
+                places.setdefault(f" {' '.join(part)} ", []).append((k, at))
+        self.parts = ahocorasick.Automaton()
+        for part, where in places.items():
+            self.parts.add_word(part, (len(part), where))
+        self.parts.make_automaton()
 
     @classmethod
     def shared(cls) -> Scanner:
         cls._open = cls._open or cls()
         return cls._open
 
-    def ranked(self, block: str) -> list[tuple[float, int]]:
-        """Size reduction, from 0 to 1, that each template's dictionary brings, the largest first; with the template's place."""
-        data = " ".join(block.lower().split()).encode("utf-8", "surrogatepass")
-        alone = max(1, len(self.plain.compress(data)))
-        return sorted(((1 - len(c.compress(data)) / alone, -k) for k, (_, _, c) in enumerate(self.entries)), reverse=True)
+    def _telling_words(self) -> set[str]:
+        """Words that tell licenses apart: in which templates of two licenses differ that could else be taken for each other."""
+        out: set[str] = set()
+        for k, (name, want, _) in enumerate(self.entries):
+            for other, have, _ in self.entries[:k]:
+                if other != name and abs(len(want) - len(have)) <= max(few(want), few(have)):
+                    steps = [s for s in SequenceMatcher(None, want, have, autojunk=False).get_opcodes() if s[0] != "equal"]
+                    differ = [w for _, a, b, c, d in steps for w in want[a:b] + have[c:d]]
+                    if len(differ) <= 2 * max(few(want), few(have)) + 4 and len(differ) < len(want):
+                        out.update(differ)
+        return out
 
-    def confirm(self, block: str, at_least: float = 0.25, best: int = 4) -> tuple[str, float, int] | None:
-        """Name, reduction and number of differing words of the winning template, if the wording holds up.
+    def differences(self, k: int, part: list[str]) -> tuple[int, int, int] | None:
+        """Differing words, and the first and last place in part, of template k, if the wording holds up.
 
-        Among the `best` reductions of at_least, the template whose words differ least wins, the larger
-        reduction at a tie. At most a fifth of its words may differ, and none that tells licenses apart: digits
-        and what another template has in that place.
+        At most a fifth of its words may be missing, replaced or come in between, and none that has a digit or tells
+        licenses apart.
         """
-        found = []
-        have = words(block)
-        for gain, k in self.ranked(block)[:best]:
-            if gain < at_least:
-                continue
-            name, want, _ = self.entries[-k]
-            steps = SequenceMatcher(None, want, have, autojunk=False).get_opcodes()
-            missing = [w for op, a, b, _, _ in steps if op in ("delete", "replace") for w in want[a:b]]
-            wrong = [w for op, _, _, c, d in steps[1:-1] if op in ("insert", "replace") for w in have[c:d]]
-            if len(missing) + len(wrong) <= len(want) // 5 and not any(self._telling(w) for w in missing + wrong):
-                found.append((len(missing) + len(wrong), -gain, name))
-        if not found:
+        want = self.entries[k][1]
+        if (Counter(want) & Counter(part)).total() < len(want) - few(want):
+            return None
+        steps = SequenceMatcher(None, want, part, autojunk=False).get_opcodes()
+        equal = [n for n, step in enumerate(steps) if step[0] == "equal"]
+        if not equal:
             return None
-        n, gain, name = min(found)
-        return name, -gain, n
+        missing = [w for op, a, b, _, _ in steps if op in ("delete", "replace") for w in want[a:b]]
+        wrong = [w for op, _, _, c, d in steps[equal[0] : equal[-1]] if op in ("insert", "replace") for w in part[c:d]]
+        n = len(missing) + len(wrong)
+        if n > few(want) or any(w in self.telling or any(c.isdigit() for c in w) for w in missing + wrong):
+            return None
+        return n, steps[equal[0]][3], steps[equal[-1]][4] - 1
 
-    def _telling(self, word: str) -> bool:
-        return any(c.isdigit() for c in word) or word in {"mit", "gnu", "bsd", "apache", "mozilla", "affero", "lesser", "by", "by-nc", "by-sa", "noncommercial", "attribution", "attribution-noncommercial", "attribution-sharealike"}
+    def ranked(self, block: list[str]) -> list[tuple[float, int]]:
+        """Size reduction, from 0 to 1, that each template's dictionary brings, the largest first; with the template's number."""
+        data = " ".join(block).encode("utf-8", "surrogatepass")
+        alone = max(1, len(self.plain.compress(data)))
+        return sorted(((1 - len(c.compress(data)) / alone, k) for k, (_, _, c) in enumerate(self.entries)), key=lambda x: (-x[0], x[1]))
 
-    def windows(self, have: list[str], anchors: list[int]) -> Iterator[tuple[int, int, int, int]]:
-        """(template, differing words, first, last word) of every window around an anchor word whose wording holds up, by the rules of confirm."""
-        tried = set()
-        for k, (_, want, _) in enumerate(self.entries):
-            few, need = len(want) // 5, Counter(want)
-            joined = " ".join(want)
-            for at in {joined.count(" ", 0, m.start()) for m in self.anchor.finditer(joined)}:
-                for i in anchors:
-                    begin = max(0, i - at - few)
-                    end = i - at + len(want) + few
-                    if (k, begin, end) in tried:
-                        continue
-                    tried.add((k, begin, end))
-                    part = have[begin:end]
-                    if (need & Counter(part)).total() < len(want) - few:
-                        continue
-                    steps = SequenceMatcher(None, want, part, autojunk=False).get_opcodes()
-                    equal = [n for n, step in enumerate(steps) if step[0] == "equal"]
-                    missing = [w for op, a, b, _, _ in steps if op in ("delete", "replace") for w in want[a:b]]
-                    wrong = [w for op, _, _, c, d in steps[equal[0] : equal[-1]] if op in ("insert", "replace") for w in part[c:d]]
-                    if len(missing) + len(wrong) <= few and not any(self._telling(w) for w in missing + wrong):
-                        yield k, len(missing) + len(wrong), begin + steps[equal[0]][3], begin + steps[equal[-1]][4] - 1
-
-    def scan(self, text: str | None, at_least: float = 0.25) -> list[tuple[str, int, int, float, int]]:
+    def windows(self, have: list[str], joined: str) -> list[tuple[int, int, int]]:
+        """(begin, end, template): words around every place where a part of the template stands; places that may be one notice together."""
+        starts: list[int] | None = None
+        at: dict[int, set[int]] = {}
+        for end, (size, where) in self.parts.iter(joined):
+            starts = starts or list(accumulate((len(w) + 1 for w in have), initial=1))
+            i = bisect_right(starts, end - size + 2) - 1
+            for k, offset in where:
+                at.setdefault(k, set()).add(i - offset)
+        out = []
+        for k, found in at.items():
+            want = self.entries[k][1]
+            run: list[int] = []
+            for i in [*sorted(found), None]:
+                if run and (i is None or i - run[-1] > few(want)):
+                    out.append((max(0, run[0] - few(want)), min(len(have), run[-1] + len(want) + few(want)), k))
+                    run = []
+                run.append(i)
+        return sorted(out)
+
+    def scan(self, text: str | None) -> list[tuple[str, int, int, float, int]]:
         """(name, begin, end, reduction, differing words) of every notice, in order; whole text, across line breaks.
 
-        Of windows that overlap, the one with the fewest differing words stays, the one with the larger reduction at
-        a tie. Begin and end then take in the rest of their lines if that is one word at most.
+        Of notices that overlap, the one with the most words that are as in its template, less the differing ones, stays,
+        the one with the larger reduction at a tie. Begin and end take in the rest of their lines if that is one word at
+        most.
         """
         text = text or ""
-        found = list(_WORD.finditer(text))
-        starts = [m.start() for m in found]
-        anchors = sorted({bisect_right(starts, m.start()) - 1 for m in self.anchor.finditer(text)} - {-1})
+        have = _WORD.findall(text)
+        joined = f" {' '.join(have)} ".lower()
+        windows = self.windows(have, joined)
+        if not windows:
+            return []
+        have = joined[1:-1].split(" ")
+        blocks: list[list[tuple[int, int, int]]] = []
+        reach = -1
+        for window in windows:
+            if window[0] >= reach:
+                blocks.append([])
+            blocks[-1].append(window)
+            reach = max(reach, window[1])
         fits = []
-        for k, n, first, last in self.windows([m[0].lower() for m in found], anchors) if anchors else ():
-            begin, end = found[first].start(), found[last].end()
-            data = " ".join(text[begin:end].lower().split()).encode("utf-8", "surrogatepass")
-            gain = 1 - len(self.entries[k][2].compress(data)) / max(1, len(self.plain.compress(data)))
-            if gain >= at_least:
-                fits.append((n, -gain, self.entries[k][0], begin, end))
-        chosen: list[tuple[int, float, str, int, int]] = []
+        for block in blocks:
+            begin, end = block[0][0], max(w[1] for w in block)
+            by_template: dict[int, list[tuple[int, int, int]]] = {}
+            for w in block:
+                by_template.setdefault(w[2], []).append(w)
+            for gain, k in self.ranked(have[begin:end]):
+                for a, b, _ in by_template.get(k, ()):
+                    if met := self.differences(k, have[a:b]):
+                        fits.append((2 * met[0] - len(self.entries[k][1]), -gain, self.entries[k][0], a + met[1], a + met[2], met[0]))
+        chosen: list[tuple] = []
         for fit in sorted(fits):
-            if all(fit[4] <= c[3] or c[4] <= fit[3] for c in chosen):
+            if all(fit[4] < c[3] or c[4] < fit[3] for c in chosen):
                 chosen.append(fit)
-        chosen.sort(key=lambda c: c[3])
+        return self._placed(text, sorted(chosen, key=lambda c: c[3])) if chosen else []
+
+    @staticmethod
+    def _placed(text: str, chosen: list[tuple]) -> list[tuple[str, int, int, float, int]]:
+        spans = [m.span() for m in _WORD.finditer(text)]
         out: list[tuple[str, int, int, float, int]] = []
-        for i, (n, gain, name, begin, end) in enumerate(chosen):
+        for i, (_, gain, name, first, last, n) in enumerate(chosen):
+            begin, end = spans[first][0], spans[last][1]
             left = max(text.rfind("\n", 0, begin) + 1, out[-1][2] if out else 0)
-            right = min(x for x in (text.find("\n", end), chosen[i + 1][3] if i + 1 < len(chosen) else -1, len(text)) if x >= 0)
-            begin = left if len(words(text[left:begin])) <= 1 else begin
-            end = right if len(words(text[end:right])) <= 1 else end
+            after = spans[chosen[i + 1][3]][0] if i + 1 < len(chosen) else len(text)
+            right = min(x for x in (text.find("\n", end), after) if x >= 0)
+            begin = left if len(_WORD.findall(text, left, begin)) <= 1 else begin
+            end = right if len(_WORD.findall(text, end, right)) <= 1 else end
             out.append((name, begin, end, round(-gain, 6), n))
         return out
 
@@ -168,9 +257,9 @@ class Scanner:
 def find_notices(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key and notices: an array of (license, begin, end, reduction, changed) for each row, with character places in the text.
 
-    Windows of about a template's length around the anchor words are candidates, also across lines; texts without any are not sent to Python. Null
-    and empty texts, and such without a notice, give an empty array. Repeated rows stay; an empty table gives
-    no rows. No shuffle.
+    The whole of every text is searched; reduction is that of the notice's block. Null and empty texts, and such without a
+    notice, give an empty array. Repeated rows and null keys stay; an empty table gives no rows; other columns are not
+    looked at. No shuffle.
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,5 +270,4 @@ def find_notices(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
             yield pa.RecordBatch.from_arrays([batch["key"], pa.array(found, kind)], [key, "notices"])
 
     kind = docs.schema[key].dataType.simpleString()
-    near = docs.select(F.col(key).alias("key"), F.when(F.col(text).rlike(ANCHOR), F.col(text)).alias("text"))
-    return near.mapInArrow(rows, f"`{key}` {kind}, notices array<struct<license:string,begin:int,end:int,reduction:double,changed:int>>")
+    return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(rows, f"`{key}` {kind}, notices array<struct<license:string,begin:int,end:int,reduction:double,changed:int>>")
