@@ -37,7 +37,10 @@ def _labels(host: Column) -> Column:
 
 def rules_table(spark, rules: Sequence[tuple[str, str, str]]) -> DataFrame:
     """(host, path, verdict) of written rules."""
-    return spark.createDataFrame(list(rules), "host string, path string, verdict string")
+    if not rules:
+        return spark.range(0).select(*[F.lit("").alias(c) for c in ("host", "path", "verdict")])
+    written = F.array(*[F.struct(*[F.lit(v).alias(c) for c, v in zip(("host", "path", "verdict"), rule, strict=True)]) for rule in rules])
+    return spark.range(1).select(F.explode(written).alias("rule")).select("rule.*")
 
 
 def breakpoints(rules: DataFrame) -> DataFrame:
