@@ -185,6 +185,10 @@ def test_vectors_edges(spark):
     given = [(r.vec_id, r.embedding, r.label) for r in df.collect()]
     for block in (3, 1000):
         check_vectors(embedding_dedup.near_vectors(df, block=block).collect(), given)
+    # keys and labels of text, components near the ends of double precision, lengths mixed in one label
+    extreme = [("a", [1e200, 1e200], "x"), ("b", [1e200, 1.01e200], "x"), ("c", [1e-200, 1e-200], "x"), ("d", [-1e-300, 1e-300], "x"), ("e", [1.0, 1.0, 0.0], "x"), ("f", [2.0, 2.0, 0.1], "x"), ("g", [1.0, 1.0], "y")]
+    rows = embedding_dedup.near_vectors(spark.createDataFrame(extreme, "vec_id string, embedding array<double>, label string")).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in rows} == {"a": (2, "a"), "b": (2, "a"), "c": (2, "a"), "d": (0, "d"), "e": (1, "e"), "f": (1, "e"), "g": (0, "g")}
     assert embedding_dedup.near_vectors(df.limit(0)).count() == 0
 
 
