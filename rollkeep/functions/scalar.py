@@ -72,7 +72,8 @@ def partial_date(start: Column, end: Column) -> Column:
 def clamped_date(year: Column, month: Column, day: Column, strict: bool = False) -> Column:
     """A date of parts: month into 1..12, day into 1..28, both 1 if missing; strict keeps real days and gives null for impossible ones."""
     if strict:
-        return F.try_make_date(year, F.coalesce(month, F.lit(1)), F.coalesce(day, F.lit(1))) if hasattr(F, "try_make_date") else F.expr("null")
+        written = F.format_string("%04d-%02d-%02d", year, F.coalesce(month, F.lit(1)), F.coalesce(day, F.lit(1)))
+        return F.when(year.isNotNull(), F.try_to_date(written, "yyyy-MM-dd"))
     clamp = lambda c, top: F.coalesce(F.least(F.greatest(c, F.lit(1)), F.lit(top)), F.lit(1))
     return F.when(year.isNotNull(), F.make_date(year, clamp(month, 12), clamp(day, 28)))
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollkeep.functions.scalar import complete_download, normalise_digest
+from rollkeep.operators.versions import VERSION, cold_versions
 
 
 def expected_count(counts: DataFrame) -> DataFrame:
@@ -57,6 +58,11 @@ def integrity(versions: DataFrame, stored: DataFrame) -> DataFrame:
     return versions.join(now, key, "left").withColumn("ok", F.coalesce(F.col("now") == F.col("digest"), F.lit(False))).drop("now")
 
 
+def cold_checks(versions: DataFrame, activations: DataFrame, stored: DataFrame, version: list[str] | None = None) -> DataFrame:
+    """COLD versions with ok: whether their stored bytes still have the recorded digest. To be appended to the integrity checks; the record itself stays."""
+    return integrity(cold_versions(versions, activations, version or VERSION).drop("state"), stored)
+
+
 def latest_checks(checks: DataFrame) -> DataFrame:
     """The latest integrity result of each version."""
     key = ["source_list", "publish_date", "digest"]

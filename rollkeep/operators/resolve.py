@@ -82,11 +82,14 @@ def address_value(inline: Column, location_id: Column, country: Column, joined:
 
 
 def resolve_features(parties: DataFrame, labels: DataFrame, locations: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Feature values by party, and diagnostics of features that could not be told.
-
-    Routed by label; of title, place of birth and gender the first value is promoted and later ones become features.
-    """
+    """Feature values by party, and diagnostics of features that could not be told."""
     long = parties.select(*PARTY, "fixed_ref", F.posexplode("features").alias("at", "f")).select(*PARTY, "fixed_ref", "at", "f.*")
+    routed, diagnostics = routed_features(long, labels, locations)
+    return nested_features(routed), diagnostics
+
+
+def routed_features(long: DataFrame, labels: DataFrame, locations: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Features, one row each with its place `at` in the party, with their route (by label) and values; and diagnostics."""
     long = with_label(long, labels, "FeatureType", "feature_type_id", "label")
     long = with_label(long, labels, "DetailReference", "detail_reference_id", "detail_label")
     long = long.join(resolve_locations(locations, labels), ["snapshot_id", "location_id"], "left")
@@ -113,7 +116,14 @@ def resolve_features(parties: DataFrame, labels: DataFrame, locations: DataFrame
         .when((F.col("route") == BIRTH) & F.col("birth").isNull(), "DROPPED_VALUE|birth date without a year")
     )
     diagnostics = long.withColumn("reason", reason).where("reason is not null").select("snapshot_id", "fixed_ref", F.substring_index("reason", "|", 1).alias("kind"), F.expr("substring(reason, locate('|', reason) + 1)").alias("detail"))
+    return long, diagnostics
+
+
+def nested_features(long: DataFrame) -> DataFrame:
+    """Routed features gathered by party: of title, place of birth and gender the first value is promoted and later ones become features."""
     is_ = lambda r: F.col("route") == r
+    scalar_route = F.col("route").isin("generic", *SCALARS)
+    lost_place = F.col("location_id").isNotNull() & F.col("found").isNull()
     gathered = long.groupBy(*PARTY).agg(
         in_order(F.col("birth"), where=is_(BIRTH) & F.col("birth").isNotNull()).alias("births"),
         in_order(F.col("nation"), where=is_(NATIONALITY) & F.col("nation").isNotNull()).alias("nationalities"),
@@ -122,14 +132,14 @@ def resolve_features(parties: DataFrame, labels: DataFrame, locations: DataFrame
         # maps have no order: the place alone sorts addresses
         F.collect_list(F.when(is_(LOCATION) & F.col("address").isNotNull() & ~lost_place, F.struct("at", "address"))).alias("addresses"),
     )
-    by_place = F.array_sort("addresses", lambda x, y: x["at"] - y["at"])
+    by_place = F.array_sort("addresses", lambda x, y: F.signum(x["at"] - y["at"]).cast("int"))
 
     def first_named(name: str) -> Column:
         return F.try_element_at(F.filter("scalars", lambda x: x.type == name), F.lit(1))
 
     first = {s: first_named(s) for s in SCALARS}
     later = F.filter("scalars", lambda x: ~x.type.isin(*SCALARS) | ~F.array_contains(F.array(*[F.coalesce(first[s]["at"], F.lit(-1)) for s in SCALARS]), x["at"]))
-    out = gathered.select(
+    return gathered.select(
         *PARTY,
         F.transform("births", lambda x: x.birth).alias("birth_dates"),
         F.transform("nationalities", lambda x: x.nation).alias("nationalities"),
@@ -140,7 +150,6 @@ def resolve_features(parties: DataFrame, labels: DataFrame, locations: DataFrame
         first[GENDER].scalar.alias("gender"),
         F.transform(later, lambda x: F.struct(x.type.alias("type"), x.scalar.alias("value"))).alias("features"),
     )
-    return out, diagnostics
 
 
 def resolve_documents(parties: DataFrame, documents: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:

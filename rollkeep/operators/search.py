@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollkeep.functions.scalar import alias_search, name_matches
@@ -28,9 +28,15 @@ def with_search_columns(records: DataFrame) -> DataFrame:
 
 
 def current(records: DataFrame, activations: DataFrame, source_list: str) -> DataFrame:
-    """The records of a list's CURRENT version; a semi join with one row, which prunes partitions."""
-    now = pointer(activations.where(F.col("source_list") == source_list), "CURRENT")
-    return records.join(F.broadcast(now), ["source_list", "publish_date", "digest"], "left_semi")  # one row
+    """The records of a list's CURRENT version, as it is at the time of the call.
+
+    The pointer is looked up once and becomes literals, so that all that is read from the result, however late and
+    often, belongs to that one version, and only its partition is read.
+    """
+    now = pointer(activations.where(F.col("source_list") == source_list), "CURRENT").first()
+    if now is None:
+        return records.limit(0)
+    return records.where((F.col("source_list") == source_list) & (F.col("publish_date") == F.lit(now.publish_date)) & (F.col("digest") == now.digest))
 
 
 def page(rows: DataFrame, offset: int = 0, limit: int = 50, key: str = "fixed_ref") -> DataFrame:
@@ -57,21 +63,37 @@ def search(rows: DataFrame, query: str) -> DataFrame:
 
 
 def screen(texts: DataFrame, text_id: str, text: str, needles: DataFrame, needle: str, grams: int = 3) -> DataFrame:
-    """(text_id, needle), each pair once: every text that contains a needle, whatever the case; null ids match nothing.
+    """(text_id, needle), each pair once: every text that contains a needle, whatever the case.
 
-    A needle is looked up by its rarest gram among the needles: each text's distinct grams join the needles' grams by
-    equality, and matches are verified. Only needles shorter than a gram are compared with every text.
+    Null texts contain nothing; null needles and such of white space only are left out; null ids match nothing. Texts and
+    needles are cut at white space. A text that contains a needle has a word that contains the needle's longest word, so
+    the distinct words of all texts are looked up by a gram of that word, the rarest one among them, or by the whole word
+    where it is shorter than a gram. Only texts that have such a word are compared with the needle. All joins are
+    by equality; nothing is broadcast but what Spark measures as small.
     """
-    wanted = needles.select(F.lower(needle).alias("needle_")).where("needle_ <> ''").distinct()
-    # overlapping grams in one walk over the text
-    cut = lambda c: F.regexp_extract_all(c, F.lit(f"(?s)(?=(.{{{grams}}}))"), F.lit(1))
-    long = wanted.where(F.length("needle_") >= grams)
-    pairs = long.select("needle_", F.explode(cut(F.col("needle_"))).alias("gram")).distinct()
-    common = pairs.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
-    rare = pairs.join(common, "gram").groupBy("needle_").agg(F.min_by("gram", F.struct("n", "gram")).alias("gram"))
+    space = r"\s+"
+    wanted = needles.select(F.lower(needle).alias("needle_")).where(F.col("needle_").rlike(r"\S")).distinct()
+    parts = F.array_sort(F.filter(F.split("needle_", space), lambda w: w != ""), lambda x, y: F.coalesce(F.nullif(F.length(y) - F.length(x), F.lit(0)), F.when(x < y, -1).when(x > y, 1).otherwise(0)))
+    wanted = wanted.withColumn("part", parts[0])
+    words = texts.select(F.col(text_id), F.explode(F.array_distinct(F.split(F.lower(text), space))).alias("word")).where("word <> ''")
+    known = words.select("word").distinct()
+
+    def cut(column: str, size: int) -> Column:
+        """The distinct grams of this size of a word; none if it is shorter."""
+        n = F.length(column)
+        return F.array_distinct(F.transform(F.when(n >= size, F.sequence(F.lit(1), n - size + 1)).otherwise(F.array().cast("array<int>")), lambda i: F.substring(column, i, F.lit(size))))
+
+    every = F.concat(*[cut("word", size) for size in range(1, grams + 1)])
+    by_gram = known.select("word", F.explode(every).alias("gram"))
+    asked = wanted.select("part").distinct()
+    size = F.least(F.length("part"), F.lit(grams))
+    tried = asked.select("part", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("part") - size + 1), lambda i: F.substring("part", i, size)))).alias("gram"))
+    common = by_gram.join(tried.select("gram").distinct(), "gram", "left_semi").groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    rare = tried.join(common, "gram").groupBy("part").agg(F.min_by("gram", F.struct("n", "gram")).alias("gram"), F.count(F.lit(1)).alias("met"))
+    # a part one of whose grams no word has is in no text
+    rare = rare.join(tried.groupBy("part").agg(F.count(F.lit(1)).alias("has")), "part").where("met = has").select("part", "gram")
+    holding = by_gram.join(rare, "gram").where(F.contains("word", "part")).select("word", "part")
+    met = words.join(holding, "word").join(wanted, "part").select(text_id, "needle_").distinct()
     low = texts.select(F.col(text_id), F.lower(text).alias("text_"))
-    by_gram = low.select(text_id, F.explode(cut(F.col("text_"))).alias("gram"))
-    asked = by_gram.join(rare, "gram").select(text_id, "needle_").distinct()  # whole texts join only where a gram is met
-    hits = asked.join(low, text_id).where(F.contains("text_", "needle_")).select(text_id, "needle_")
-    short = low.join(wanted.where(F.length("needle_") < grams), F.contains("text_", "needle_")).select(text_id, "needle_")
-    return hits.unionByName(short).distinct().withColumnRenamed("needle_", "needle")
+    hits = met.join(low, text_id).where(F.contains("text_", "needle_"))
+    return hits.select(text_id, F.col("needle_").alias("needle")).distinct()

@@ -13,13 +13,19 @@ POINTERS = ("CURRENT", "PREVIOUS", "N_MINUS_2")
 def trio(activations: DataFrame, version: list[str] = VERSION) -> DataFrame:
     """(source_list, pointer, version): the last three activations of each list; repeated ones count again, as after a rollback.
 
-    Only three rows of a list are ever gathered: the window limit is pushed below its shuffle.
+    Only three rows of a list are ever gathered: the window limit is pushed below its shuffle. Rows of two writers that
+    chose the same seq are ordered by version, so every reader sees the same pointers; seq_conflicts tells them.
     """
-    w = Window.partitionBy("source_list").orderBy(F.col("seq").desc())
+    w = Window.partitionBy("source_list").orderBy(F.col("seq").desc(), *[F.col(c).desc() for c in version])
     rows = activations.withColumn("rn_", F.row_number().over(w)).where("rn_ <= 3")
     return rows.select("source_list", F.element_at(F.array(*[F.lit(p) for p in POINTERS]), F.col("rn_")).alias("pointer"), *version)
 
 
+def seq_conflicts(activations: DataFrame) -> DataFrame:
+    """(source_list, seq, n) of sequence numbers that more than one activation of a list has: writers that ran at once."""
+    return activations.groupBy("source_list", "seq").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
 def pointer(activations: DataFrame, name: str, version: list[str] = VERSION) -> DataFrame:
     """The version each list's pointer names; lists without it have no row."""
     return trio(activations, version).where(F.col("pointer") == name).drop("pointer")

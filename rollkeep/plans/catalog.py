@@ -5,6 +5,8 @@ QUERIES maps a name to its function, SQL to text that gives the same rows in ANS
 
 from __future__ import annotations
 
+import datetime
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,7 +16,9 @@ from rollkeep import schemas
 from rollkeep.functions import scalar
 from rollkeep.operators import compare, counts, dedup, resolve, scope, search, shape, versions
 from rollkeep.plans import cycle
-from rollkeep.sources import xml
+from rollkeep.sources import files, xml
+from rollkeep.sources.scratch import shared_folder, stored
+from rollkeep.sources.store import Store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -92,7 +96,8 @@ def one_name(*parts: Column) -> Column:
     return element("DocumentedName", {}, *inner)
 
 
-def party_rows(read) -> DataFrame:
+def party_fragments(read) -> DataFrame:
+    """(pos, fragment): customers as party elements."""
     c = read("customer").join(read("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     key = text("c_custkey")
     name = F.split("c_name", "#")
@@ -103,8 +108,11 @@ def party_rows(read) -> DataFrame:
     ]
     identity = element("Identity", {"ID": F.concat(F.lit("i"), key)}, *aliases)
     profile = element("Profile", {"ID": F.concat(F.lit("p"), key), "PartySubTypeID": (F.col("c_nationkey") % 6).cast("string")}, identity)
-    fragment = element("DistinctParty", {"FixedRef": key}, "<Comment/>", profile)
-    rows = c.select(F.col("c_custkey").alias("pos"), xml.parse(fragment, xml.PARTY).alias("x"))
+    return c.select(F.col("c_custkey").alias("pos"), element("DistinctParty", {"FixedRef": key}, "<Comment/>", profile).alias("fragment"))
+
+
+def party_rows(read) -> DataFrame:
+    rows = party_fragments(read).select("pos", xml.parse(F.col("fragment"), xml.PARTY).alias("x"))
     return rows.select(F.lit("s").alias("snapshot_id"), "pos", *xml.party_columns(F.col("x")))
 
 
@@ -180,14 +188,35 @@ def label_last_wins(read, spark):
 @query("select doc_id, length(text) as n from documents where doc_id % 3 = 0")
 def record_count_text(read, spark):
     line = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("<Record_Count>"), F.length("text"), F.lit("</Record_Count>"))).otherwise("<Other>1</Other>")
-    n = F.regexp_extract(line, r"<Record_Count>\s*(\d+)\s*</Record_Count>", 1).try_cast("int")
-    return read("documents").select("doc_id", n.alias("n")).where("n is not null")
+    return read("documents").select("doc_id", xml.record_count_in(line).alias("n")).where("n is not null")
 
 
 @query("select source, count(*) as record_count from documents where doc_id % 4 <> 0 group by 1")
 def csv_record_count(read, spark):
     line = F.concat(F.when(F.col("doc_id") % 4 == 0, " remarks, go on").otherwise(F.concat("doc_id", F.lit(',"x",-0- '))))
-    return read("documents").where(line.rlike(r"^\d+,")).groupBy("source").agg(F.count(F.lit(1)).alias("record_count"))
+    return read("documents").where(files.starts_record(line)).groupBy("source").agg(F.count(F.lit(1)).alias("record_count"))
+
+
+@query("select cast(c_custkey as varchar) as fixed_ref, 'p' || c_custkey as profile_id, 'i' || c_custkey as identity_id, cast(c_nationkey % 6 as varchar) as party_sub_type_id, 2 as n_aliases from customer")
+def xml_files(read, spark):
+    """As xml_roundtrip, but through text files and the reader that splits them."""
+    folder = f"{shared_folder(spark)}/xml-{uuid.uuid4().hex}"
+    party_fragments(read).select("fragment").write.text(folder)
+    return xml.read_parties(spark, folder).select("fixed_ref", "profile_id", "identity_id", "party_sub_type_id", F.size("aliases").alias("n_aliases"))
+
+
+@query("""select cast(n_nationkey as varchar) as location_id, n_name as country, 'l' || r_regionkey as list_id, r_name as list from nation join region on n_regionkey = r_regionkey""")
+def xml_sections(read, spark):
+    """Labels, locations and entries through text files, one scan and the stored sections."""
+    folder = f"{shared_folder(spark)}/xml-{uuid.uuid4().hex}"
+    n = read("nation").join(read("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    key = text("n_nationkey")
+    line = F.concat(element("Country", {"ID": key}, F.col("n_name")), element("List", {"ID": F.concat(F.lit("l"), "r_regionkey")}, F.lit(" "), F.col("r_name")), element("Location", {"ID": key}, element("LocationCountry", {"CountryID": key})), element("SanctionsEntry", {"ID": key, "ProfileID": key, "ListID": F.concat(F.lit("l"), "r_regionkey")}))
+    n.select(line).write.text(folder)
+    parts = xml.read_sections(spark, folder)
+    named = resolve.with_label(parts["locations"], parts["labels"], "Country", "country_id", "country").select("location_id", "country")
+    listed = resolve.with_label(parts["entries"], parts["labels"], "List", "list_id", "list").select(F.col("id").alias("location_id"), "list_id", "list")
+    return named.join(listed, "location_id").select("location_id", "country", "list_id", "list")
 
 
 # --- references ---------------------------------------------------------------------------------
@@ -204,12 +233,11 @@ def label_lookup(read, spark):
     return out.select("s_suppkey", F.coalesce("label", F.lit(scalar.UNKNOWN)).alias("type"))
 
 
-@query("""select cast(c_custkey as varchar) as fixed_ref, row_number() over (partition by c_custkey order by s_suppkey) - 1 as at, coalesce(n_name, 'Unknown') as type, s_name as number
-from customer join supplier on c_nationkey = s_nationkey left join nation on n_nationkey = s_nationkey + case when s_suppkey % 5 = 0 then 100 else 0 end""")
+@query("""select cast(c_custkey as varchar) as fixed_ref, row_number() over (partition by c_custkey order by o_orderkey) - 1 as at, coalesce(n_name, 'Unknown') as type, o_orderpriority as number
+from customer join orders on c_custkey = o_custkey left join nation on n_nationkey = o_orderkey % 30""")
 def documents_resolved(read, spark):
-    people = read("customer").select(F.lit("s").alias("snapshot_id"), F.col("c_custkey").alias("pos"), text("c_custkey").alias("fixed_ref"), text("c_nationkey").alias("identity_id"))
-    kind = (F.col("s_nationkey") + F.when(F.col("s_suppkey") % 5 == 0, 100).otherwise(0)).cast("string")
-    docs = read("supplier").select(F.lit("s").alias("snapshot_id"), F.col("s_suppkey").alias("pos"), text("s_nationkey").alias("identity_id"), kind.alias("type_id"), F.col("s_name").alias("number"), F.lit(None).cast("string").alias("issuer"))
+    people = read("customer").select(F.lit("s").alias("snapshot_id"), F.col("c_custkey").alias("pos"), text("c_custkey").alias("fixed_ref"), text("c_custkey").alias("identity_id"))
+    docs = read("orders").select(F.lit("s").alias("snapshot_id"), F.col("o_orderkey").alias("pos"), text("o_custkey").alias("identity_id"), (F.col("o_orderkey") % 30).cast("string").alias("type_id"), F.col("o_orderpriority").alias("number"), F.lit(None).cast("string").alias("issuer"))
     out, _ = resolve.resolve_documents(people, docs, nation_labels(read, "IDRegDocType"))
     return out.select(F.col("pos").cast("string").alias("fixed_ref"), F.posexplode("documents").alias("at", "d")).select("fixed_ref", F.col("at").cast("long").alias("at"), F.col("d.type").alias("type"), F.col("d.number").alias("number"))
 
@@ -226,24 +254,22 @@ def event_features(read, spark) -> tuple[DataFrame, DataFrame]:
     inline = F.when(F.col("event_id") % 7 == 0, " ").otherwise(F.concat("event_type", text("event_id")))
     reference = F.when(F.col("event_id") % 7 == 0, F.when(F.col("event_id") % 2 == 0, "1").otherwise("9"))
     none = F.lit(None).cast(schemas.DATE)
-    f = F.struct(F.col("event_id"), F.col("event_type").alias("feature_type_id"), inline.alias("detail_value"), none.alias("start"), none.alias("end"), F.lit(None).cast("string").alias("location_id"), reference.alias("detail_reference_id"))
-    people = e.groupBy("user_id").agg(F.array_sort(F.collect_list(f)).alias("features"))
-    people = people.select(F.lit("s").alias("snapshot_id"), F.col("user_id").alias("pos"), text("user_id").alias("fixed_ref"), "features")
+    rows = e.select(F.lit("s").alias("snapshot_id"), F.col("user_id").alias("pos"), text("user_id").alias("fixed_ref"), F.col("event_id").alias("at"), F.col("event_type").alias("feature_type_id"), inline.alias("detail_value"), none.alias("start"), none.alias("end"), F.lit(None).cast("string").alias("location_id"), reference.alias("detail_reference_id"))
     labels = [("s", "FeatureType", "view", "Title"), ("s", "FeatureType", "click", "Gender"), ("s", "FeatureType", "error", "Place of Birth"), ("s", "FeatureType", "purchase", "Website"), ("s", "DetailReference", "1", "detail")]
     locations = spark.createDataFrame([], schemas.LOCATION)
-    return resolve.resolve_features(people, spark.createDataFrame(labels, "snapshot_id string, kind string, id string, label string"), locations)
+    return resolve.routed_features(rows, spark.createDataFrame(labels, "snapshot_id string, kind string, id string, label string"), locations)
 
 
 @query(f"""with {FEATURES_SQL} select user_id, max(case when label = 'Title' and rn = 1 then v end) as title, max(case when label = 'Place of Birth' and rn = 1 then v end) as place_of_birth,
   max(case when label = 'Gender' and rn = 1 then v end) as gender from (select distinct user_id from events) left join g using (user_id) group by 1""")
 def feature_promotion(read, spark):
-    return event_features(read, spark)[0].select(F.col("pos").alias("user_id"), "title", "place_of_birth", "gender")
+    return resolve.nested_features(event_features(read, spark)[0]).select(F.col("pos").alias("user_id"), "title", "place_of_birth", "gender")
 
 
 @query(f"""with {FEATURES_SQL}, rest as (select * from g where coalesce(label, event_type) not in ('Title', 'Gender', 'Place of Birth') or rn > 1)
 select user_id, row_number() over (partition by user_id order by "at") - 1 as at, coalesce(label, event_type) as type, v as value from rest""")
 def feature_routing(read, spark):
-    out = event_features(read, spark)[0].select(F.col("pos").alias("user_id"), F.posexplode("features").alias("at", "f"))
+    out = resolve.nested_features(event_features(read, spark)[0]).select(F.col("pos").alias("user_id"), F.posexplode("features").alias("at", "f"))
     return out.select("user_id", F.col("at").cast("long").alias("at"), F.col("f.type").alias("type"), F.col("f.value").alias("value"))
 
 
@@ -324,11 +350,19 @@ def record_counts(read, spark):
     return read("orders").select("o_orderkey", scalar.record_count(given).cast("long").alias("n"))
 
 
-@query("select doc_id, case doc_id % 5 when 4 then null else sha256(text) end as digest from documents where text is not null")
+@query("select doc_id, case doc_id % 5 when 4 then null else sha256(coalesce(text, '')) end as digest from documents")
 def digest_normalise(read, spark):
-    sha, k = F.sha2("text", 256), F.col("doc_id") % 5
+    sha, k = F.sha2(F.coalesce("text", F.lit("")), 256), F.col("doc_id") % 5
     given = F.when(k == 0, sha).when(k == 1, F.concat(F.lit("sha-256="), F.base64(F.unhex(sha)))).when(k == 2, F.concat(F.lit("SHA256: "), F.upper(sha))).when(k == 3, F.concat(F.lit("sha-256"), sha)).otherwise(F.concat(F.lit("md5="), sha))
-    return read("documents").where("text is not null").select("doc_id", scalar.normalise_digest(given).alias("digest"))
+    return read("documents").select("doc_id", scalar.normalise_digest(given).alias("digest"))
+
+
+@query("""select o_orderkey, case when o_orderkey % 3 = 0 then null else make_date(year(o_orderdate), month(o_orderdate), case when o_orderkey % 5 = 0 then 1 else day(o_orderdate) end)::varchar end as day from orders""")
+def strict_dates(read, spark):
+    k = F.col("o_orderkey")
+    day = F.when(k % 3 == 0, 31).when(k % 5 == 0, None).otherwise(F.day("o_orderdate"))
+    month = F.when(k % 3 == 0, 2).otherwise(F.month("o_orderdate"))
+    return read("orders").select("o_orderkey", scalar.clamped_date(F.year("o_orderdate"), month, day, strict=True).cast("string").alias("day"))
 
 
 PROGRAMS_SQL = """
@@ -538,10 +572,10 @@ def cycle_outcomes(read, spark):
     return cycle.outcomes(rows.drop("status"), last).select("doc_id", "status", "failed_stage", "cause")
 
 
-@query("select doc_id, case when doc_id % 9 = 0 then false when doc_id % 7 = 0 then false else true end as ok from documents where text is not null")
+@query("select doc_id, case when doc_id % 9 = 0 then false when doc_id % 7 = 0 then false else true end as ok from documents")
 def digest_verify(read, spark):
     key = [F.lit("SDN").alias("source_list"), F.lit("2026-01-01").cast("date").alias("publish_date")]
-    docs = read("documents").where("text is not null")
+    docs = read("documents").withColumn("text", F.coalesce("text", F.lit("")))
     recorded = docs.select("doc_id", *key, F.concat(F.sha2("text", 256), F.lit(":"), "doc_id").alias("digest"))
     stored = docs.where("doc_id % 9 <> 0").select("doc_id", F.when(F.col("doc_id") % 7 == 0, F.concat("text", F.lit("x"))).otherwise(F.col("text")).alias("content"))
     now = stored.select("doc_id", F.sha2("content", 256).alias("digest"), "content")
@@ -558,10 +592,8 @@ def latest_integrity(read, spark):
 
 @query("select doc_id from documents where doc_id % 3 <> 0")
 def landing_new(read, spark):
-    from rollkeep.sources.files import new_files
-
     rows = read("documents").select("doc_id", F.lit("SDN").alias("source_list"), F.lit("2026-01-01").cast("date").alias("publish_date"), text("doc_id").alias("digest"))
-    return new_files(rows, rows.where("doc_id % 3 = 0").drop("doc_id")).select("doc_id")
+    return files.new_files(rows, rows.where("doc_id % 3 = 0").drop("doc_id")).select("doc_id")
 
 
 # --- versions -----------------------------------------------------------------------------------
@@ -624,17 +656,89 @@ def version_stamp(read, spark):
     return versions.stamp(read("customer").select("c_custkey"), "SDN", "2026-08-20", "abc").withColumn("publish_date", text("publish_date"))
 
 
+STORED = {"source_list": "SDN", "publish_date": datetime.date(2026, 1, 1)}
+
+
+def records_of(read) -> DataFrame:
+    """Customers as records with one alias each."""
+    rows = read("customer").select(text("c_custkey").alias("fixed_ref"), F.lit("Entity").alias("entity_type"), F.col("c_name").alias("primary_name"), F.array(F.struct(F.col("c_mktsegment").alias("name"), F.lit(None).cast("string").alias("type"), F.lit(False).alias("is_primary"), F.lit("STRONG").alias("category"))).alias("aliases"))
+    empty = {f.split(" ")[0]: f.split(" ", 1)[1] for f in schemas.top_level(schemas.RECORD_FIELDS)}
+    return rows.withColumns({c: F.lit(None).cast(kind) for c, kind in empty.items() if c not in rows.columns})
+
+
+@query("select cast(c_custkey as varchar) as fixed_ref, lower(c_name) as primary_name_lower, lower(c_mktsegment) as alias_search, 'b' as digest from customer where c_custkey % 2 = 0")
+def store_current(read, spark):
+    """Two versions written, the second one active, a third not activated: the records that readers see."""
+    store = Store(spark, f"{shared_folder(spark)}/store-{uuid.uuid4().hex}")
+    rows = records_of(read)
+    for digest, kept in (("a", rows), ("b", rows.where("fixed_ref % 2 = 0")), ("c", rows.where("fixed_ref % 2 = 1"))):
+        store.put_isolated(kept, **STORED, digest=digest, counts={"record_count": 0, "out_of_scope_count": 0, "expected_count": 0}, raw_path="-")
+        if digest != "c":
+            store.activate(**STORED, digest=digest)
+    return store.current("SDN").select("fixed_ref", "primary_name_lower", "alias_search", "digest")
+
+
+@query("""select digest, record_count, persisted_count from (select 'a' as digest, count(*) as record_count, count(*) as persisted_count from customer union all
+select 'b', count(*), count(*) filter (c_custkey % 2 = 0) from customer)""")
+def store_versions(read, spark):
+    store = Store(spark, f"{shared_folder(spark)}/store-{uuid.uuid4().hex}")
+    rows = records_of(read)
+    n = rows.count()
+    for digest, kept in (("a", rows), ("b", rows.where("fixed_ref % 2 = 0"))):
+        store.put_isolated(kept, **STORED, digest=digest, counts={"record_count": n, "out_of_scope_count": 0, "expected_count": n}, raw_path="-")
+    return store.versions().select("digest", "record_count", "persisted_count")
+
+
+@query("""with d as (select doc_id % 50 as v, doc_id, text from documents where text is not null), f as (select v, min_by(text, doc_id) as text from d group by 1)
+select cast(v as varchar) as digest, v % 7 <> 0 as ok from f where v >= 3""")
+def cold_integrity(read, spark):
+    """Stored texts hashed again: versions that are not among the last three activated, every seventh one tampered with."""
+    docs = read("documents").where("text is not null").groupBy((F.col("doc_id") % 50).alias("v")).agg(F.min_by("text", "doc_id").alias("text")).withColumn("text", F.concat("v", F.lit(" "), "text"))
+    key = [F.lit("SDN").alias("source_list"), F.lit("2026-01-01").cast("date").alias("publish_date"), F.sha2("text", 256).alias("digest")]
+    known = stored(docs.select(*key, "v", "text"))
+    bytes_ = known.select("source_list", "publish_date", "digest", F.when(F.col("v") % 7 == 0, F.concat("text", F.lit("x"))).otherwise(F.col("text")).alias("content"))
+    active = known.where("v < 3").select("source_list", (-F.col("v")).alias("seq"), "publish_date", "digest")
+    found = counts.cold_checks(known.drop("text"), active, bytes_)
+    return found.select(text("v").alias("digest"), "ok")
+
+
+@query("select doc_id, sha256(coalesce(text, '')) as digest, sha256(coalesce(text, '')) as stored from documents")
+def raw_landing(read, spark):
+    """Texts landed as raw bytes and read back; a second landing writes nothing."""
+    folder = f"{shared_folder(spark)}/raw-{uuid.uuid4().hex}"
+    content = F.coalesce("text", F.lit("")).cast("binary")
+    rows = read("documents").select(F.lit("SDN").alias("source_list"), F.date_add(F.lit("2026-01-01").cast("date"), (F.col("doc_id") % 5).cast("int")).alias("publish_date"), F.concat("doc_id", F.lit("-"), F.sha2(content, 256)).alias("digest"), text("doc_id").alias("path"), content.alias("content"))
+    # few partitions: one for each day
+    rows.write.partitionBy("source_list", "publish_date").parquet(folder)
+    landed = spark.read.parquet(folder)
+    again = files.new_files(rows, landed.select("source_list", "publish_date", "digest"))
+    return landed.unionByName(again).select(F.substring_index("digest", "-", 1).cast("long").alias("doc_id"), F.substring_index("digest", "-", -1).alias("digest"), F.sha2("content", 256).alias("stored"))
+
+
+@query("select cast(c_custkey as varchar) as uid, 'Entity' as type, c_name as name, c_mktsegment as alias from customer")
+def json_lines(read, spark):
+    folder = f"{shared_folder(spark)}/json-{uuid.uuid4().hex}"
+    files.write_json_lines(records_of(read), folder)
+    return spark.read.schema("uid string, type string, name string, aliases array<string>").json(folder).select("uid", "type", "name", F.explode("aliases").alias("alias"))
+
+
+@query("select event_type as source_list, event_id as seq, count(*) as n from (select event_type, event_id from events union all select event_type, event_id from events where event_id % 10 = 0) group by 1, 2 having count(*) > 1")
+def activation_conflicts(read, spark):
+    rows = activations(read)
+    return versions.seq_conflicts(rows.unionByName(rows.where("seq % 10 = 0")))
+
+
 # --- pages, search, screening -------------------------------------------------------------------
 
 
 def searchable(read) -> DataFrame:
-    talk = read("conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", F.substring("text", 1, 60).alias("name")))).alias("a"))
+    talk = read("conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", F.col("text").alias("name")))).alias("a"))
     rows = read("customer").join(talk, F.col("c_custkey") == F.col("conv_id"), "left")
     rows = rows.select(text("c_custkey").alias("fixed_ref"), F.col("c_name").alias("primary_name"), F.coalesce(F.transform("a", lambda x: F.struct(x["name"].alias("name"))), F.array().cast("array<struct<name:string>>")).alias("aliases"))
     return search.with_search_columns(rows)
 
 
-TALK_SQL = "t as (select conv_id, string_agg(left(text, 60), chr(10) order by turn) as names from conversations group by 1), r as (select cast(c_custkey as varchar) as fixed_ref, c_name as primary_name, lower(coalesce(names, '')) as a from customer left join t on c_custkey = conv_id)"
+TALK_SQL = "t as (select conv_id, string_agg(text, chr(10) order by turn) as names from conversations group by 1), r as (select cast(c_custkey as varchar) as fixed_ref, c_name as primary_name, lower(coalesce(names, '')) as a from customer left join t on c_custkey = conv_id)"
 
 
 @query(f"with {TALK_SQL} select fixed_ref, lower(primary_name) as primary_name_lower, a as alias_search from r")
@@ -662,17 +766,15 @@ def page_total(read, spark):
     return search.total(search.search(searchable(read), "the"))
 
 
-@query("select d.doc_id, w.needle from documents d join (select distinct lower(left(text, 12)) as needle from benchmark union select 'ea') w on contains(lower(d.text), w.needle)")
+@query("select d.doc_id, w.needle from documents d join (select lower(text) as needle from benchmark where trim(text) <> '' union select lower(n_name) from nation union select lower(r_name) from region) w on contains(lower(d.text), w.needle)")
 def screen_batch(read, spark):
-    names = read("benchmark").select(F.substring("text", 1, 12).alias("name")).unionByName(spark.createDataFrame([("EA",)], "name string"))
+    names = read("benchmark").select(F.col("text").alias("name")).union(read("nation").select("n_name")).union(read("region").select("r_name"))
     return search.screen(read("documents"), "doc_id", "text", names, "name")
 
 
-@query("select c_custkey, n_name, 'match' as hit from customer join nation on contains(lower(c_mktsegment), lower(right(n_name, 1)))")
+@query("select c_custkey, lower(s) as needle from customer join (select distinct o_orderstatus as s from orders) on contains(lower(c_mktsegment), lower(s))")
 def screen_short(read, spark):
-    names = read("nation").select(F.expr("right(n_name, 1)").alias("last"), "n_name")
-    hits = search.screen(read("customer"), "c_custkey", "c_mktsegment", names, "last")
-    return hits.join(names.select(F.lower("last").alias("needle"), "n_name"), "needle").select("c_custkey", "n_name", F.lit("match").alias("hit"))
+    return search.screen(read("customer"), "c_custkey", "c_mktsegment", read("orders").select("o_orderstatus"), "o_orderstatus")
 
 
 # --- comparison and statistics ------------------------------------------------------------------
@@ -727,11 +829,9 @@ def record_api_shape(read, spark):
 
 @query("select event_id, case when event_id % 4 = 0 then 0 when event_id % 4 = 1 then 0 else 2 end as n from events")
 def json_arrays(read, spark):
-    from rollkeep.sources.files import read_json_arrays
-
     k = F.col("event_id") % 4
     given = F.when(k == 0, None).when(k == 1, " ").otherwise(F.concat(F.lit('[{"k":1},'), "props", F.lit("]")))
-    return read_json_arrays(read("events").select("event_id", given.alias("a")), {"a": "array<struct<k:int>>"}).select("event_id", F.size("a").cast("long").alias("n"))
+    return files.read_json_arrays(read("events").select("event_id", given.alias("a")), {"a": "array<struct<k:int>>"}).select("event_id", F.size("a").cast("long").alias("n"))
 
 
 def flagship(spark: SparkSession, folder: str) -> DataFrame:

@@ -8,15 +8,17 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollkeep.functions.scalar import publish_date
+from rollkeep.functions.scalar import complete_download, publish_date
 from rollkeep.operators.counts import changed, validated
 from rollkeep.operators.dedup import dedup_within
 from rollkeep.operators.resolve import first_failure, resolve
 from rollkeep.operators.scope import scope_counts
 from rollkeep.operators.versions import pointer
+from rollkeep.schemas import OUTCOME
 from rollkeep.sources.files import read_raw
+from rollkeep.sources.mapping import XML_MAPPING, Mapping, check_sections
+from rollkeep.sources.scratch import stored
 from rollkeep.sources.store import Store
-from rollkeep.sources.xml import read_sections, well_formed
 
 
 class Outcome(NamedTuple):
@@ -30,31 +32,48 @@ class Outcome(NamedTuple):
     digest: str | None = None
 
 
-def run_cycle(spark: SparkSession, store: Store, source_list: str, path: str, digest_header: str | None, last_modified: str | None = None, split: bool = False) -> Outcome:
-    """Take one landed snapshot through all stages. Only counts and one-row results reach the driver.
+def run_cycle(
+    spark: SparkSession, store: Store, source_list: str, path: str, digest_header: str | None, last_modified: str | None = None,
+    status: int = 200, redirects: int | None = None, content_length: int | None = None, mapping: Mapping = XML_MAPPING,
+) -> Outcome:
+    """Take one downloaded snapshot through all stages. Only counts and one-row results reach the driver.
 
-    Every failure is an outcome and leaves the pointers as they are; nothing is raised for what data holds.
+    digest_header, last_modified, status, redirects and content_length are what the publisher said of the download. The
+    snapshot is parsed once; records are resolved once. Its bytes are kept first, read again and hashed; only if they still
+    have the digest are records written, the check recorded and the version activated. Every failure is an outcome and
+    leaves the pointers as they are; nothing is raised for what data holds.
     """
-    raw = read_raw(spark, path).select("path", "length", F.col("digest").alias("actual_digest"), well_formed(F.col("content")).alias("well_formed"))
-    checked = validated(raw.withColumn("digest_header", F.lit(digest_header).cast("string"))).select("path", "actual_digest", "claimed_digest", "verdict").first()
+    content = F.col("content").cast("string")
+    raw = read_raw(spark, path).select("path", "length", F.col("digest").alias("actual_digest"), mapping.prefix(content).alias("prefix"), mapping.ends_well(content).alias("well_formed"))
+    said = {"digest_header": F.lit(digest_header).cast("string"), "complete": complete_download(F.lit(status), F.lit(redirects).cast("int"), F.lit(content_length).cast("long"), F.col("length"))}
+    checked = validated(raw.withColumns(said)).select("path", "actual_digest", "claimed_digest", "verdict", "complete", "prefix").first()
     if checked is None:
         return Outcome(source_list, "FAILED", "OBTAIN", "NOTHING_LANDED")
     digest = checked.actual_digest
     now = pointer(store.activations().where(F.col("source_list") == source_list), "CURRENT").first()
     if now is not None and checked.claimed_digest == now.digest:
         return Outcome(source_list, "SKIPPED", None, None, now.publish_date, now.digest)
+    if not checked.complete:
+        return Outcome(source_list, "FAILED", "OBTAIN", "INCOMPLETE_DOWNLOAD")
     if checked.verdict != "OK":
         return Outcome(source_list, "FAILED", "VALIDATE", checked.verdict)
-    sections = read_sections(spark, path, split)
+    sections, intact = mapping.read(spark, path, checked.prefix)
+    if not intact:
+        return Outcome(source_list, "FAILED", "VALIDATE", "MALFORMED_XML")
+    check_sections(sections)
     issued = spark.range(1).join(sections["issued"].drop("snapshot_id"), F.lit(True), "left")  # one row
     day = issued.select(publish_date(F.col("year"), F.col("month"), F.col("day"), F.lit(last_modified).cast("string"), F.lit(datetime.now(UTC).date())).alias("d")).first().d
-    records, _ = resolve(sections)
+    records = stored(resolve(sections)[0])
     bad = first_failure(records).where("status = 'FAILED'").first()
     if bad is not None:
         return Outcome(source_list, "FAILED", "TRANSFORM", f"{bad.reject_reason} {bad.fixed_ref}", day, digest)
     counts = scope_counts(sections["profiles"]).first()
     total, out = (counts.record_count, counts.out_of_scope_count) if counts else (0, 0)
     plan = {"record_count": total, "out_of_scope_count": out, "overlap_count": 0, "expected_count": total - out}
+    store.land(read_raw(spark, path), source_list, day)
+    if not store.stored_bytes_ok(source_list, day, digest):
+        store.record_check(source_list, day, digest, False)
+        return Outcome(source_list, "FAILED", "PERSIST", "RAW_INTEGRITY", day, digest)
     if not store.put_isolated(dedup_within(records), source_list, day, digest, plan, checked.path) and now is not None and now.digest == digest:
         return Outcome(source_list, "SKIPPED", None, None, day, digest)
     store.record_check(source_list, day, digest, True)
@@ -63,14 +82,14 @@ def run_cycle(spark: SparkSession, store: Store, source_list: str, path: str, di
 
 
 def tick(spark: SparkSession, store: Store, manifest: list[dict]) -> DataFrame:
-    """Run the cycle for each list of a manifest (one row a list); a list that fails does not stop the others."""
+    """Run the cycle for each row of a manifest (arguments of run_cycle); one that fails does not stop the others."""
     out = []
     for row in manifest:
         try:
             out.append(run_cycle(spark, store, **row))
         except Exception as error:  # a broken file or store is that list's failure
             out.append(Outcome(row["source_list"], "FAILED", "CYCLE", str(error).split("\n")[0][:300]))
-    return spark.createDataFrame([tuple(o) for o in out], "source_list string, status string, failed_stage string, cause string, publish_date date, digest string")
+    return spark.createDataFrame([tuple(o) for o in out], OUTCOME)
 
 
 def outcomes(snapshots: DataFrame, last: DataFrame) -> DataFrame:

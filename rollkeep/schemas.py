@@ -32,9 +32,23 @@ VERSION = (
 )
 ACTIVATION = "source_list string, seq long, publish_date date, digest string, activated_at timestamp"
 INTEGRITY = "source_list string, publish_date date, digest string, ok boolean, checked_at timestamp"
-MANIFEST = "source_list string, path string, status int, redirects int, content_length long, digest_header string, last_modified string"
+MANIFEST = "path string, status int, redirects int, content_length long, digest_header string, last_modified string"
+RAW = "path string, length long, content binary, source_list string, publish_date date, digest string"
+OUTCOME = "source_list string, status string, failed_stage string, cause string, publish_date date, digest string"
 DIAGNOSTIC = "snapshot_id string, fixed_ref string, kind string, detail string"
 
+
+def top_level(schema: str) -> list[str]:
+    """The fields of a schema string, split at commas outside brackets."""
+    out, depth, start = [], 0, 0
+    for i, c in enumerate(schema + ","):
+        depth += (c == "<") - (c == ">")
+        if c == "," and depth == 0:
+            out.append(schema[start:i].strip())
+            start = i + 1
+    return out
+
+
 #: The lists, in order of precedence.
 SOURCE_LISTS = ("SDN", "CONSOLIDATED")
 #: The reference tables of a snapshot.

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: The columns of the delimited party file, and its mark for an empty field.
@@ -15,9 +15,14 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", "length", F.sha2("content", 256).alias("digest"), "content")
 
 
+def starts_record(line: Column) -> Column:
+    """Whether a line begins a delimited record: with a number and a comma; other lines go on the record before."""
+    return line.rlike(r"^\d+,")
+
+
 def csv_count(spark: SparkSession, path: str) -> DataFrame:
-    """(snapshot_id, record_count): lines that begin with a number and a comma; other lines go on the record before."""
-    rows = spark.read.text(path).where(F.col("value").rlike(r"^\d+,"))
+    """(snapshot_id, record_count) of delimited files."""
+    rows = spark.read.text(path).where(starts_record(F.col("value")))
     return rows.groupBy(F.input_file_name().alias("snapshot_id")).agg(F.count(F.lit(1)).alias("record_count"))
 
 
@@ -33,8 +38,12 @@ def new_files(manifest: DataFrame, landed: DataFrame) -> DataFrame:
 
 
 def land(files: DataFrame, landed: DataFrame, folder: str) -> DataFrame:
-    """Write the content of new files to partitions of folder; returns what was new. Existing ones are never overwritten."""
-    new = new_files(files, landed).dropDuplicates(["source_list", "publish_date", "digest"])
+    """Write the content of new files to partitions of folder; returns what was new. Existing ones are never overwritten.
+
+    Of files of the same version, the one with the smallest path is landed.
+    """
+    first = files.groupBy("source_list", "publish_date", "digest").agg(F.min("path").alias("path"))
+    new = new_files(files.join(first, ["source_list", "publish_date", "digest", "path"], "left_semi"), landed).dropDuplicates(["source_list", "publish_date", "digest", "path"])
     new.write.partitionBy("source_list", "publish_date", "digest").mode("append").parquet(folder)
     return new.drop("content")
 

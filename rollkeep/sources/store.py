@@ -1,7 +1,7 @@
 """A folder of Parquet tables that holds every version of every list; activation is one appended row.
 
-Records of a version are written to a partition of their own and never changed. Readers only look at versions
-that activations name, so they see the old CURRENT or the new one, never a mix.
+Raw bytes and records of a version are written to partitions of their own and never changed. Readers only look at
+versions that activations name, so they see the old CURRENT or the new one, never a mix.
 """
 
 from __future__ import annotations
@@ -13,8 +13,11 @@ from pyspark.sql import functions as F
 
 from rollkeep import schemas
 from rollkeep.operators import versions as v
+from rollkeep.operators.counts import cold_checks, integrity, latest_checks
 from rollkeep.operators.scope import check_source_list
 from rollkeep.operators.search import current, with_search_columns
+from rollkeep.sources.files import land
+from rollkeep.sources.scratch import stored
 
 KEY = ["source_list", "publish_date", "digest"]
 
@@ -49,12 +52,41 @@ class Store:
     def has(self, source_list: str, publish_date: date, digest: str) -> bool:
         return not self.versions().where((F.col("source_list") == source_list) & (F.col("publish_date") == F.lit(publish_date)) & (F.col("digest") == digest)).isEmpty()
 
+    def raw(self) -> DataFrame:
+        """The landed bytes of all versions, as they were written."""
+        return self._read("raw", schemas.RAW)
+
+    def land(self, files: DataFrame, source_list: str, publish_date: date) -> None:
+        """Keep the bytes of files (path, length, digest, content); what is there already is never overwritten."""
+        check_source_list(source_list)
+        files = files.select(F.lit(source_list).alias("source_list"), F.lit(publish_date).alias("publish_date"), "digest", "path", "length", "content")
+        land(files, self.raw().select(*KEY).distinct(), f"{self.folder}/raw")
+
+    def stored_bytes_ok(self, source_list: str, publish_date: date, digest: str) -> bool:
+        """Whether the landed bytes of a version, read again, have its digest; False if there are none."""
+        one = self.spark.createDataFrame([(source_list, publish_date, digest)], "source_list string, publish_date date, digest string")
+        kept = self.raw().where((F.col("source_list") == source_list) & (F.col("publish_date") == F.lit(publish_date)) & (F.col("digest") == digest))
+        return integrity(one, kept).agg(F.min("ok")).first()[0]
+
+    def check_cold(self, source_list: str, now: datetime | None = None) -> DataFrame:
+        """Hash the landed bytes of the list's COLD versions again and append the results to the integrity checks; returns them."""
+        own = lambda rows: rows.where(F.col("source_list") == check_source_list(source_list))
+        found = cold_checks(own(self.versions()).select(*KEY), own(self.activations()), own(self.raw()))
+        at = F.lit(now or datetime.now(UTC).replace(tzinfo=None)).cast("timestamp")
+        found = stored(found.select(*KEY, "ok", at.alias("checked_at")))
+        found.write.mode("append").parquet(f"{self.folder}/integrity_checks")
+        return found
+
+    def unusable(self) -> DataFrame:
+        """Versions whose latest integrity check failed; their recorded digests stay as they are."""
+        return latest_checks(self.integrity_checks()).where("not ok").select(*KEY)
+
     def put_isolated(self, records: DataFrame, source_list: str, publish_date: date, digest: str, counts: dict[str, int], raw_path: str, now: datetime | None = None) -> bool:
         """Write a version that no reader sees yet; False, and nothing written, if it exists already."""
         check_source_list(source_list)
         if self.has(source_list, publish_date, digest):
             return False
-        fields = [f.split(" ")[0] for f in _top_level(schemas.RECORD_FIELDS)]
+        fields = [f.split(" ")[0] for f in schemas.top_level(schemas.RECORD_FIELDS)]
         rows = v.stamp(with_search_columns(records.select(*fields)), source_list, str(publish_date), digest)
         # a partition that an earlier, failed attempt left behind is replaced; no version row names it
         rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*KEY).parquet(f"{self.folder}/records")
@@ -66,9 +98,12 @@ class Store:
         return self.records().where((F.col("source_list") == source_list) & (F.col("publish_date") == F.lit(publish_date)) & (F.col("digest") == digest)).count()
 
     def activate(self, source_list: str, publish_date: date, digest: str, now: datetime | None = None) -> bool:
-        """Append an activation; False, and nothing changed, unless the version exists in that list."""
+        """Append an activation; False, and nothing changed, unless the version exists in that list and its last integrity check did not fail."""
         if not self.has(source_list, publish_date, digest):
             return False
+        bad = self.unusable().where((F.col("source_list") == source_list) & (F.col("publish_date") == F.lit(publish_date)) & (F.col("digest") == digest))
+        if not bad.isEmpty():
+            return False
         last = self.activations().where(F.col("source_list") == source_list).agg(F.max("seq")).first()[0]
         self._append("activations", [Row(source_list, (last or 0) + 1, publish_date, digest, now or datetime.now(UTC).replace(tzinfo=None))], schemas.ACTIVATION)
         return True
@@ -99,13 +134,3 @@ class Store:
     def record_check(self, source_list: str, publish_date: date, digest: str, ok: bool, now: datetime | None = None) -> None:
         self._append("integrity_checks", [Row(source_list, publish_date, digest, ok, now or datetime.now(UTC).replace(tzinfo=None))], schemas.INTEGRITY)
 
-
-def _top_level(schema: str) -> list[str]:
-    """The fields of a schema string, split at commas outside brackets."""
-    out, depth, start = [], 0, 0
-    for i, c in enumerate(schema + ","):
-        depth += (c == "<") - (c == ">")
-        if c == "," and depth == 0:
-            out.append(schema[start:i].strip())
-            start = i + 1
-    return out

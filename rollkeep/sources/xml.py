@@ -1,7 +1,8 @@
 """Read the sections of XML snapshots, in any order and with any namespace prefix.
 
-A section is read by its row tag; parsed fragments may also come from a text column. For files too large for
-one task, parties are read as text split at their closing tag, which Spark deals over many tasks.
+A snapshot is read once: as text split at the closing tags of parties, which Spark deals over many tasks. Elements of the
+other sections are cut out of what stands between parties and dealt over all tasks too. Every element is parsed by itself,
+and what remains of the text when all are taken out must be well-formed as well.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from rollkeep import schemas
 from rollkeep.functions.scalar import assemble_name, first_of, last_of, not_blank, whole_number
+from rollkeep.sources.scratch import stored
 
 OPTIONS = {"ignoreNamespace": "true", "ignoreSurroundingSpaces": "false"}
 _YMD = "struct<Year:string,Month:string,Day:string>"
@@ -104,96 +106,128 @@ def entry_columns(x: Column) -> list[Column]:
     return [x._ID.alias("id"), x._ProfileID.alias("profile_id"), x._ListID.alias("list_id"), programs.alias("programs")]
 
 
-def _rows(spark: SparkSession, path: str, tag: str, schema: str) -> DataFrame:
-    """The elements of one tag, as column x, with the file as snapshot_id and their order in it as pos."""
-    rows = spark.read.format("xml").options(rowTag=tag, **OPTIONS).schema(schema).load(path)
-    return rows.select(F.input_file_name().alias("snapshot_id"), F.monotonically_increasing_id().alias("pos"), F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("x"))
+#: The elements that are read, with the fields of each.
+ELEMENTS = {"DistinctParty": PARTY, "Location": LOCATION, "IDRegDocument": DOCUMENT, "ProfileRelationship": RELATIONSHIP, "SanctionsEntry": ENTRY, "DateOfIssue": "Year string, Month string, Day string"} | dict.fromkeys(schemas.LABEL_KINDS, LABEL)
+PARTY_TAG = "DistinctParty"
 
 
-def read_parties(spark: SparkSession, path: str) -> DataFrame:
-    """Raw profiles, one task a file."""
-    return _rows(spark, path, "DistinctParty", PARTY).select("snapshot_id", "pos", *party_columns(F.col("x")))
+_COLUMNS = {
+    "x_DistinctParty": party_columns,
+    "x_Location": location_columns,
+    "x_IDRegDocument": document_columns,
+    "x_ProfileRelationship": relationship_columns,
+    "x_SanctionsEntry": entry_columns,
+    "x_DateOfIssue": lambda x: [whole_number(x[p]).alias(p.lower()) for p in ("Year", "Month", "Day")],
+    "x_label": lambda x: [x._ID.alias("id"), F.trim(x._VALUE).alias("label")],
+}
 
 
-def read_parties_split(spark: SparkSession, path: str) -> DataFrame:
-    """Raw profiles of large files: text split at the closing tag, parsed one by one, over many tasks.
+def prefix_of(content: Column) -> Column:
+    """The namespace prefix, with its colon, that a snapshot's party elements have; empty without one."""
+    return F.regexp_extract(content, r"<([\w.-]+:)?DistinctParty[\s>]", 1)
 
-    Needs element names without a prefix, and no closing tag inside comments; see corrupt_fragments.
-    """
-    rows = _fragments(spark, path)
-    return rows.select("snapshot_id", "pos", parse(F.col("fragment"), PARTY).alias("x")).select("snapshot_id", "pos", *party_columns(F.col("x")))
-
-
-def _fragments(spark: SparkSession, path: str) -> DataFrame:
-    text = spark.read.option("lineSep", "</DistinctParty>").text(path)
-    text = text.select(F.input_file_name().alias("snapshot_id"), F.monotonically_increasing_id().alias("pos"), F.regexp_extract("value", r"(?s)(<DistinctParty[ >].*)$", 1).alias("fragment"))
-    return text.where("fragment <> ''").withColumn("fragment", F.concat("fragment", F.lit("</DistinctParty>")))
-
-
-def corrupt_fragments(spark: SparkSession, path: str) -> DataFrame:
-    """(snapshot_id, fragment) of split parties that do not parse; must be empty before a split read counts."""
-    rows = _fragments(spark, path).select("snapshot_id", "fragment", parse(F.col("fragment"), PARTY + ", _corrupt_record string").alias("x"))
-    return rows.where("x._corrupt_record is not null").select("snapshot_id", "fragment")
 
+def _texts(spark: SparkSession, path: str, prefix: str) -> DataFrame:
+    """(snapshot_id, row, other, party): the text before each party and the party; the last row of a file has no party."""
+    closing = f"</{prefix}{PARTY_TAG}>"
+    text = spark.read.option("lineSep", closing).text(path).select(F.input_file_name().alias("snapshot_id"), F.monotonically_increasing_id().alias("row"), "value")
+    at = F.regexp_instr("value", F.lit(rf"<{prefix}{PARTY_TAG}[\s>]"))
+    party = F.when(F.col("at") > 0, F.concat(F.substring("value", F.col("at"), F.length("value")), F.lit(closing)))
+    return text.withColumn("at", at).select("snapshot_id", "row", F.when(F.col("at") > 0, F.substring("value", F.lit(1), F.col("at") - 1)).otherwise(F.col("value")).alias("other"), party.alias("party"))
 
-def read_labels(spark: SparkSession, path: str) -> DataFrame:
-    """ref_label of all kinds: trimmed text, without empty text or id; the last of a kind and id wins."""
-    parts = [_rows(spark, path, kind, LABEL).select("snapshot_id", "pos", F.lit(kind).alias("kind"), F.col("x._ID").alias("id"), F.trim("x._VALUE").alias("label")) for kind in schemas.LABEL_KINDS]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return last_labels(out)
-
-
-def last_labels(rows: DataFrame) -> DataFrame:
-    rows = rows.where(F.col("id").isNotNull() & (F.trim("label") != ""))
-    return rows.groupBy("snapshot_id", "kind", "id").agg(F.max_by("label", "pos").alias("label"))
 
+def _element_pattern() -> str:
+    """Any of the elements but parties, whole, with any prefix; longest names first."""
+    names = "|".join(sorted((e for e in ELEMENTS if e != PARTY_TAG), key=len, reverse=True))
+    return rf"(?s)<((?:[\w.-]+:)?(?:{names}))(?:\s[^>]*)?(?:(?<=/)>|(?<!/)>.*?</\1\s*>)"
 
-def read_locations(spark: SparkSession, path: str) -> DataFrame:
-    """Locations; without an id they are skipped, the last of an id wins."""
-    rows = _rows(spark, path, "Location", LOCATION).select("snapshot_id", "pos", *location_columns(F.col("x"))).where("location_id is not null")
-    return rows.groupBy("snapshot_id", "location_id").agg(F.max_by(F.struct("country_id", "parts"), "pos").alias("last")).select("snapshot_id", "location_id", "last.*")
 
+def read_fragments(spark: SparkSession, path: str, prefix: str = "") -> DataFrame:
+    """(snapshot_id, pos, element, fragment): the text of every element, in one scan; element is null for what remains between them.
 
-def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    return _rows(spark, path, "IDRegDocument", DOCUMENT).select("snapshot_id", "pos", *document_columns(F.col("x")))
+    pos gives the order within a file. Comments are dropped first; a closing tag of a party must not stand in one.
+    """
+    rows = _texts(spark, path, prefix).withColumn("other", F.regexp_replace("other", r"(?s)<!--.*?-->", ""))
+    blank = F.trim(F.regexp_replace("other", r"\s+", " ")) == ""
+    pattern = _element_pattern()
+    rest = F.when(~blank, F.regexp_replace("other", pattern, ""))
+    one = lambda name, fragment: F.struct(name.alias("element"), fragment.alias("fragment"))
+    cut = F.when(blank, F.array().cast("array<string>")).otherwise(F.regexp_extract_all("other", F.lit(pattern), F.lit(0)))
+    named = F.transform(cut, lambda x: one(F.regexp_extract(x, r"^<(?:[\w.-]+:)?([\w.-]+)", 1), x))
+    pieces = F.concat(named, F.array(one(F.lit(PARTY_TAG), F.col("party"))), F.array(one(F.lit(None).cast("string"), rest)))
+    rows = rows.select("snapshot_id", F.explode(pieces).alias("x")).where("x.fragment is not null")
+    return rows.select("snapshot_id", F.monotonically_increasing_id().alias("pos"), "x.element", "x.fragment")
+
+
+def read_parsed(spark: SparkSession, path: str, prefix: str = "") -> DataFrame:
+    """(snapshot_id, pos, element, broken, rest, x_...): every element as a struct in the column of its kind, from one scan of the files.
+
+    broken: whether the element is not well-formed; rest: the text that remains between elements.
+    """
+    rows = read_fragments(spark, path, prefix)
+    n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    rows = rows.repartition(n, "pos")  # what stands between parties came from few rows
+    groups = {"x_label": schemas.LABEL_KINDS} | {f"x_{e}": (e,) for e in ELEMENTS if e not in schemas.LABEL_KINDS}
+    parsed = {c: F.when(F.col("element").isin(*names), parse(F.col("fragment"), f"{ELEMENTS[names[0]]}, _corrupt_record string")) for c, names in groups.items()}
+    rows = rows.withColumns(parsed)
+    broken = F.coalesce(*[F.col(f"{c}._corrupt_record") for c in groups]).isNotNull()
+    made = [F.when(F.col(c).isNotNull(), F.struct(*_COLUMNS[c](F.col(c)))).alias(c) for c in groups]
+    return rows.select("snapshot_id", "pos", F.coalesce("element", F.lit("")).alias("element"), broken.alias("broken"), F.when(F.col("element").isNull(), F.col("fragment")).alias("rest"), *made)
+
+
+def malformed(parsed: DataFrame) -> DataFrame:
+    """(snapshot_id, elements, rest): the number of elements that do not parse, and whether what remains without elements is not well-formed."""
+    rows = parsed.groupBy("snapshot_id").agg(F.count_if("broken").alias("elements"), F.array_sort(F.collect_list(F.when(F.col("rest").isNotNull(), F.struct("pos", "rest")))).alias("rests"))
+    return rows.select("snapshot_id", "elements", (~well_formed(F.array_join(F.transform("rests", lambda x: x.rest), ""))).alias("rest"))
+
+
+def sections_of(parsed: DataFrame) -> dict[str, DataFrame]:
+    """The sections of parsed elements, each keyed by snapshot_id."""
+    rows = lambda element: parsed.where(F.col("element") == element).select("snapshot_id", "pos", f"x_{element}.*")
+    labels = parsed.where(F.col("element").isin(*schemas.LABEL_KINDS)).select("snapshot_id", "pos", F.col("element").alias("kind"), "x_label.*")
+    locations = rows("Location").where("location_id is not null")
+    locations = locations.groupBy("snapshot_id", "location_id").agg(F.max_by(F.struct("country_id", "parts"), "pos").alias("last")).select("snapshot_id", "location_id", "last.*")
+    issued = parsed.where("element = 'DateOfIssue'").groupBy("snapshot_id").agg(F.max_by("x_DateOfIssue", "pos").alias("x"))
+    return {
+        "profiles": rows("DistinctParty"),
+        "labels": last_labels(labels),
+        "locations": locations,
+        "documents": rows("IDRegDocument"),
+        "entries": rows("SanctionsEntry"),
+        "relationships": rows("ProfileRelationship"),
+        "issued": issued.select("snapshot_id", "x.*"),
+    }
 
 
-def read_relationships(spark: SparkSession, path: str) -> DataFrame:
-    return _rows(spark, path, "ProfileRelationship", RELATIONSHIP).select("snapshot_id", "pos", *relationship_columns(F.col("x")))
+def read_sections(spark: SparkSession, path: str, prefix: str = "") -> dict[str, DataFrame]:
+    """All sections of the snapshots at path: parsed once, stored by element, and read from there."""
+    return sections_of(stored(read_parsed(spark, path, prefix), "element"))
 
 
-def read_entries(spark: SparkSession, path: str) -> DataFrame:
-    return _rows(spark, path, "SanctionsEntry", ENTRY).select("snapshot_id", "pos", *entry_columns(F.col("x")))
+def read_parties(spark: SparkSession, path: str, prefix: str = "") -> DataFrame:
+    """Raw profiles alone."""
+    rows = _texts(spark, path, prefix).where("party is not null")
+    return rows.select("snapshot_id", F.col("row").alias("pos"), *party_columns(parse(F.col("party"), PARTY)))
 
 
-def read_issue_date(spark: SparkSession, path: str) -> DataFrame:
-    """(snapshot_id, year, month, day) of the date of issue; parts that are no whole numbers are null."""
-    rows = _rows(spark, path, "DateOfIssue", "Year string, Month string, Day string")
-    return rows.groupBy("snapshot_id").agg(F.max_by("x", "pos").alias("x")).select("snapshot_id", *[whole_number(F.col(f"x.{p}")).alias(p.lower()) for p in ("Year", "Month", "Day")])
+def last_labels(rows: DataFrame) -> DataFrame:
+    """ref_label of all kinds: without empty text or id; the last of a kind and id wins."""
+    rows = rows.where(F.col("id").isNotNull() & (F.trim("label") != ""))
+    return rows.groupBy("snapshot_id", "kind", "id").agg(F.max_by("label", "pos").alias("label"))
 
 
-def read_sections(spark: SparkSession, path: str, split: bool = False) -> dict[str, DataFrame]:
-    """All sections of the snapshots at path, each keyed by snapshot_id; split reads parties over many tasks."""
-    return {
-        "profiles": (read_parties_split if split else read_parties)(spark, path),
-        "labels": read_labels(spark, path),
-        "locations": read_locations(spark, path),
-        "documents": read_documents(spark, path),
-        "entries": read_entries(spark, path),
-        "relationships": read_relationships(spark, path),
-        "issued": read_issue_date(spark, path),
-    }
+def record_count_in(text: Column) -> Column:
+    """The count that a line of an older XML file names, else null."""
+    return F.regexp_extract(text, r"<Record_Count>\s*(\d+)\s*</Record_Count>", 1).try_cast("long")
 
 
 def legacy_count(spark: SparkSession, path: str) -> DataFrame:
     """(snapshot_id, record_count) of older XML files that name their count."""
-    rows = spark.read.text(path).select(F.input_file_name().alias("snapshot_id"), F.regexp_extract("value", r"<Record_Count>\s*(\d+)\s*</Record_Count>", 1).try_cast("long").alias("n"))
+    rows = spark.read.text(path).select(F.input_file_name().alias("snapshot_id"), record_count_in(F.col("value")).alias("n"))
     return rows.groupBy("snapshot_id").agg(F.first("n", True).alias("record_count"))
 
 
-def well_formed(content: Column) -> Column:
-    """Whether the bytes are one well-formed XML document."""
-    x = F.from_xml(content.cast("string"), "DateOfIssue string, _corrupt_record string", {**OPTIONS, "mode": "PERMISSIVE"})
-    return content.isNotNull() & x._corrupt_record.isNull() & F.coalesce(content.cast("string").rlike(r"(?s)^\s*<.*>\s*$"), F.lit(False))
+def well_formed(text: Column) -> Column:
+    """Whether the text is one well-formed XML document."""
+    x = F.from_xml(text, "DateOfIssue string, _corrupt_record string", {**OPTIONS, "mode": "PERMISSIVE"})
+    return text.isNotNull() & x._corrupt_record.isNull() & F.coalesce(text.rlike(r"(?s)^\s*<.*>\s*$"), F.lit(False))

@@ -8,22 +8,37 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rollkeep.operators.compare import diff
 from rollkeep.operators.search import screen
-from rollkeep.plans.cycle import run_cycle
+from rollkeep.plans.cycle import tick
+from rollkeep.schemas import MANIFEST
 from rollkeep.sources.store import Store
 
 BINARY = "path string, modificationTime timestamp, length long, content binary"
 
 
-def ingest(spark: SparkSession, store: Store, landing: str, checkpoint: str, source_list: str = "SDN", **trigger) -> StreamingQuery:
+def _exists(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
+def ingest(spark: SparkSession, store: Store, landing: str, checkpoint: str, manifest: str, source_list: str = "SDN", **trigger) -> StreamingQuery:
     """Take each file that lands through the cycle once; a replayed batch finds its version there and changes nothing.
 
-    The driver sees the paths and digests of new files only. trigger: availableNow=True as set, or processingTime="6 hours".
+    manifest: a folder of JSON lines that say what the publisher advertised of each file (path or file name, digest_header,
+    last_modified, status, redirects, content_length), written before the file itself lands. A file that no manifest row
+    names has no digest and fails. Of several rows for a file, the one with the largest digest_header counts. A
+    file that fails in any way does not stop the others. Outcomes are appended to the store. The driver sees the paths
+    and manifest rows of new files only. trigger: availableNow=True as set, or processingTime="6 hours".
     """
-
-    def batch(files: DataFrame, _: int) -> None:
-        rows = files.select("path", "modificationTime", F.sha2("content", 256).alias("digest")).orderBy("modificationTime", "path")
-        for row in rows.toLocalIterator():  # a batch holds the few snapshots that are new
-            run_cycle(spark, store, source_list, row.path, row.digest)
+    name = lambda path: F.substring_index(path, "/", -1)
+
+    def batch(files: DataFrame, number: int) -> None:
+        said = spark.read.schema(MANIFEST).json(manifest) if _exists(spark, manifest) else spark.createDataFrame([], MANIFEST)
+        said = said.groupBy(name(F.col("path")).alias("name")).agg(F.max(F.struct("digest_header", "last_modified", "status", "redirects", "content_length")).alias("said"))
+        rows = files.select("path", "modificationTime", name(F.col("path")).alias("name")).join(said, "name", "left").orderBy("modificationTime", "path").select("path", "said.*")
+        # a batch holds the few snapshots that are new
+        asked = [{"source_list": source_list} | r.asDict() | ({"status": 200} if r.status is None else {}) for r in rows.toLocalIterator()]
+        if asked:
+            tick(spark, store, asked).withColumn("batch", F.lit(number)).write.mode("append").parquet(f"{store.folder}/outcomes")
 
     stream = spark.readStream.format("binaryFile").schema(BINARY).load(landing)
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
