@@ -19,34 +19,41 @@ def vocabulary(name: str) -> str:
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every document; null texts count as empty."""
     import public_tokenizers
 
     return bpe.digests(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, lang_pred and score of every document; und where the text is null or has no letter."""
     docs = table(spark, sf_dir, "documents")
     return language_id.identify(docs.select("doc_id", "text"), language_id.train(docs)).drop("text")
 
 
 def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """vec_id, n_links, component_id and kept of every vector; vectors that cannot be compared link with nothing."""
     return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of lines by fate and the dropped line numbers of every document."""
     return line_dedup.line_report(table(spark, sf_dir, "documents"))
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its sequence and offset; null texts count as empty."""
     pieces = packing.cut(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json")).drop("ids")
     return packing.pack(pieces)
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, keep_id, group_size, kept and text_sha256 of every document; null texts count as empty."""
     return exact_dedup.copies(table(spark, sf_dir, "documents"))
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, score and predicted of every document, empty ones too."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels"))).drop("text")
 
@@ -62,10 +69,12 @@ URL_RULES = [
 
 
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, host, path, rule and verdict of every page; null urls have an empty host and path."""
     return url_filter.judge(table(spark, sf_dir, "pages"), url_filter.rules_table(spark, URL_RULES))
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, fingerprint and component_id of every document; texts without a word have fingerprint zero."""
     return simhash.near_groups(table(spark, sf_dir, "documents"))
 
 
