@@ -227,6 +227,17 @@ def slow_distance(a, b):
     return row[-1]
 
 
+def within(a, b, most):
+    """Whether a and b are at most so many edits apart: every edit is tried where they first differ."""
+    i, n = 0, min(len(a), len(b))
+    while i < n and a[i] == b[i]:
+        i += 1
+    a, b = a[i:], b[i:]
+    if not a or not b or not most:
+        return len(a) + len(b) <= most
+    return within(a[1:], b[1:], most - 1) or within(a[1:], b, most - 1) or within(a, b[1:], most - 1)
+
+
 def lines_wanted(docs, edits=2, per=10):
     """The fate of every line by place, by brute force over all pairs of lines."""
     strip = lambda x: x.strip(" \t\r\x0b\x0c")
@@ -244,7 +255,7 @@ def lines_wanted(docs, edits=2, per=10):
         most = min(edits, n // per)
         for d in range(most + 1 if most else 0):
             for j in by_length.get(n + d, ()):
-                links += [(i, j) for i in short if (d or i < j) and slow_distance(names[i], names[j]) <= most]
+                links += [(i, j) for i in short if (d or i < j) and within(names[i], names[j], most)]
     class_of = groups(len(names), links)
     head = {}
     for i, line in enumerate(names):
