@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rollkeep.functions.scalar import alias_search, name_matches
 from rollkeep.operators.versions import pointer
+from rollkeep.sources.scratch import stored
 
 MOST = 1_000
 
@@ -83,15 +84,17 @@ def screen(texts: DataFrame, text_id: str, text: str, needles: DataFrame, needle
         n = F.length(column)
         return F.array_distinct(F.transform(F.when(n >= size, F.sequence(F.lit(1), n - size + 1)).otherwise(F.array().cast("array<int>")), lambda i: F.substring(column, i, F.lit(size))))
 
-    every = F.concat(*[cut("word", size) for size in range(1, grams + 1)])
-    by_gram = known.select("word", F.explode(every).alias("gram"))
     asked = wanted.select("part").distinct()
     size = F.least(F.length("part"), F.lit(grams))
     tried = asked.select("part", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("part") - size + 1), lambda i: F.substring("part", i, size)))).alias("gram"))
+    tried = stored(tried)  # its size is then known: where it is small, Spark sends it to the words' grams instead of shuffling these
+    sizes = sorted(r[0] for r in tried.select(F.length("gram")).distinct().collect())  # from 1 to grams
+    by_gram = known.select("word", F.explode(F.concat(F.array().cast("array<string>"), *[cut("word", n) for n in sizes])).alias("gram"))
     common = by_gram.join(tried.select("gram").distinct(), "gram", "left_semi").groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
     rare = tried.join(common, "gram").groupBy("part").agg(F.min_by("gram", F.struct("n", "gram")).alias("gram"), F.count(F.lit(1)).alias("met"))
     # a part one of whose grams no word has is in no text
     rare = rare.join(tried.groupBy("part").agg(F.count(F.lit(1)).alias("has")), "part").where("met = has").select("part", "gram")
+    rare = stored(rare)
     holding = by_gram.join(rare, "gram").where(F.contains("word", "part")).select("word", "part")
     met = words.join(holding, "word").join(wanted, "part").select(text_id, "needle_").distinct()
     low = texts.select(F.col(text_id), F.lower(text).alias("text_"))
