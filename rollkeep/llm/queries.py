@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollkeep.llm import bpe, embedding_dedup, exact_dedup, language_id, license_scan, line_dedup, packing, simhash, toxicity, url_filter
-from rollkeep.llm.common import table
+from rollkeep.llm import bpe, embedding_dedup, exact_dedup, language_id, license_scan, line_dedup, merkle, packing, sharding, simhash, toxicity, url_filter
+from rollkeep.llm.common import ascii_lower, table
 
 
 def vocabulary(name: str) -> str:
@@ -86,6 +86,24 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.size("notices").alias("n_notices"), names.alias("licenses"), first.begin.alias("first_begin"), first.end.alias("first_end"))
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, leaf, subroot, root, proof_sha256, folded_root and verified of every document; a fifth of them, by CRC-32 of doc_id, is tampered with."""
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    lower = F.when(F.col("text").isNotNull(), ascii_lower(F.col("text")))
+    found = merkle.proofs(table(spark, sf_dir, "documents"), ["doc_id", "source", "lang", "n_chars", "text"], "source", "doc_id", ("text", lower, tampered))
+    return found.select("doc_id", "leaf", "subroot", "root", F.sha2("others", 256).alias("proof_sha256"), "folded_root", "verified")
+
+
+#: Fixed value: the number of shards of the query.
+SHARDS = 24
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, size, text_crc32, law, shard, slot and grown_shard of every document; the counts of shards are at most one apart."""
+    found = sharding.shuffled(table(spark, sf_dir, "documents"), SHARDS)
+    return found.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bpe": op1_bpe,
@@ -98,6 +116,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_url_filter": op8_url_filter,
         "op9_simhash": op9_simhash,
         "op10_license_scan": op10_license_scan,
+        "op12_merkle": op12_merkle,
+        "op13_sharding": op13_sharding,
     }
 
 
