@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollkeep.llm import bpe, embedding_dedup, exact_dedup, language_id, license_scan, line_dedup, merkle, packing, sharding, simhash, toxicity, url_filter
+from rollkeep.llm import bpe, embedding_dedup, exact_dedup, language_id, license_scan, line_dedup, merkle, packing, periodic_runs, sharding, simhash, toxicity, url_filter
 from rollkeep.llm.common import ascii_lower, table
 
 
@@ -86,6 +86,29 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.size("notices").alias("n_notices"), names.alias("licenses"), first.begin.alias("first_begin"), first.end.alias("first_end"))
 
 
+def planted(docs: DataFrame) -> DataFrame:
+    """doc_id and text, where a tenth of the texts, by CRC-32 of doc_id, repeat from some word on with some period."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    rows = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(h % 10 == 0, words).alias("words"))
+    a = F.col("g") % F.size("words")
+    p = 1 + F.floor((F.size("words") - a) / (3 + F.col("g") % 8))
+    moved = F.transform("words", lambda w, i: F.when(i < a, w).otherwise(F.get("words", (a + (i - a) % p).cast("int"))))
+    return rows.select("doc_id", F.when(F.size("words") > 0, F.array_join(moved, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_runs, the longest run and digests of all runs and of the collapsed text of every document."""
+    found = periodic_runs.find_runs(planted(table(spark, sf_dir, "documents")))
+    longest = F.array_min(F.transform("runs", lambda r: F.struct((-r.length).alias("less"), r.start.alias("start"), r.period.alias("period"))))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(r.start, F.lit(","), r.length, F.lit(","), r.period, F.lit("\n"))), "")
+    out = found.withColumns({"x": longest, "length": -longest.less})
+    return out.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("x.start").alias("start"), "length", F.col("x.period").alias("period"),
+        F.floor(F.col("length") * 1000 / F.col("x.period")).alias("exponent_milli"), F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, leaf, subroot, root, proof_sha256, folded_root and verified of every document; a fifth of them, by CRC-32 of doc_id, is tampered with."""
     tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
@@ -116,6 +139,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_url_filter": op8_url_filter,
         "op9_simhash": op9_simhash,
         "op10_license_scan": op10_license_scan,
+        "op11_periodic_runs": op11_periodic_runs,
         "op12_merkle": op12_merkle,
         "op13_sharding": op13_sharding,
     }
@@ -138,5 +162,61 @@ select page_id, host, path, best.rule as rule, coalesce(best.verdict, 'allow') a
   group by page_id, host, path)""".format(rules=", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES))
 
 
+def crc32_sql(codes: str) -> str:
+    """The unsigned CRC-32 of a list of byte values."""
+    return f"xor(list_reduce([4294967295::bigint] || {codes}, lambda c, b: list_reduce([xor(c, b)] || [0, 0, 0, 0, 0, 0, 0, 0], lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"
+
+
+def part_sql(value: str) -> str:
+    return f"coalesce(octet_length(encode({value}::varchar)) || ':' || {value}::varchar, '-')"
+
+
+MERKLE_SQL = """
+with recursive hashed as (
+  select doc_id, source, sha256({parts} || {text}) as leaf, case when {crc} % 5 = 0 then sha256({parts} || {lower}) end as other from documents),
+leaf as (
+  select *, dense_rank() over (order by source nulls first) - 1 as tree, row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as place, count(*) over (partition by source) as n
+  from hashed),
+nodes(tree, level, place, digest, n) as (
+  select tree, 0, place, leaf, n from leaf
+  union all select tree, level + 1, place // 16, sha256(string_agg(digest, '' order by place)), (n + 15) // 16 from nodes where n > 1 group by tree, level, place // 16, n),
+tops(level, place, digest, n) as (
+  select 0, tree, digest, count(*) over () from nodes where n = 1
+  union all select level + 1, place // 16, sha256(string_agg(digest, '' order by place)), (n + 15) // 16 from tops where n > 1 group by level, place // 16, n),
+met as (
+  select l.tree, l.place, 0 as above, k.level, k.place as spot, l.place >> 4 * k.level as own, k.digest
+  from leaf l join nodes k on k.tree = l.tree and k.n > 1 and k.place // 16 = l.place >> 4 * k.level + 4
+  union all select l.tree, l.place, 1, k.level, k.place, l.tree >> 4 * k.level, k.digest from leaf l join tops k on k.n > 1 and k.place // 16 = l.tree >> 4 * k.level + 4),
+steps as (
+  select tree, place, above, level, coalesce(string_agg(digest, '' order by spot) filter (spot < own), '') as before, coalesce(string_agg(digest, '' order by spot) filter (spot > own), '') as after
+  from met group by tree, place, above, level),
+paths as (select tree, place, string_agg(before || after, '' order by above, level) as others, list(before || '|' || after order by above, level) as path from steps group by tree, place),
+found as (
+  select doc_id, leaf, s.digest as subroot, r.digest as root, sha256(coalesce(others, '')) as proof_sha256,
+         list_reduce([coalesce(other, leaf)] || coalesce(path, []), lambda now, s: sha256(split_part(s, '|', 1) || now || split_part(s, '|', 2))) as folded_root
+  from leaf l left join paths p using (tree, place) join nodes s on s.tree = l.tree and s.n = 1, tops r where r.n = 1)
+select *, folded_root = root as verified from found""".format(
+    parts=" || ".join(map(part_sql, ("doc_id", "source", "lang", "n_chars"))), text=part_sql("text"), lower=part_sql("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"), crc=crc32_sql("list_transform(string_split(doc_id::varchar, ''), lambda c: ascii(c))")
+)
+
+SHARD_SQL = """
+with recursive sized as (select doc_id, coalesce(text, '') as text, octet_length(encode(coalesce(text, ''))) + 8 as size from documents),
+t as (select list(c order by i) as t from (select i, list_reduce([i::bigint, 0, 0, 0, 0, 0, 0, 0, 0], lambda x, k: xor(x >> 1, 3988292384 * (x & 1))) as c from range(256) r(i))),
+summed as (
+  select doc_id, size, xor(list_reduce([4294967295::bigint] || list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda h: ('0x' || h)::bigint), lambda c, b: xor(t[xor(c, b) % 256 + 1], c >> 8)), 4294967295) as text_crc32
+  from sized, t),
+placed as (select *, row_number() over (order by doc_id nulls first, size, text_crc32) - 1 as place, count(*) over () as n, greatest(1, (length(bin(greatest(count(*) over () - 1, 1))) + 1) // 2) as bits from summed),
+walk as (
+  select doc_id, size, text_crc32, n, bits, place as x, false as moved from placed
+  union all
+  select doc_id, size, text_crc32, n, bits,
+         list_reduce([x] || {keys}, lambda s, k: ((s % (1 << bits)) << bits) | xor(s >> bits, list_transform([list_transform([(s % (1 << bits) + k) % 4294967296], lambda u: (u::hugeint * {a} % 4294967296)::bigint)[1]],
+           lambda u: list_transform([(xor(u, u >> 15)::hugeint * {b} % 4294967296)::bigint], lambda v: xor(v, v >> 13) % (1 << bits))[1])[1])), true
+  from walk where not moved or x >= n)
+select doc_id, size, text_crc32, 'rows' as law, (x % {shards})::int as shard, x // {shards} as slot, null::int as grown_shard from walk where moved and x < n""".format(
+    keys=[*sharding.round_keys(0)], a=sharding.MIX[1], b=sharding.MIX[2], shards=SHARDS
+)
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op6_exact_dedup": EXACT_SQL, "op8_url_filter": URL_SQL}
+    return {"op6_exact_dedup": EXACT_SQL, "op8_url_filter": URL_SQL, "op12_merkle": MERKLE_SQL, "op13_sharding": SHARD_SQL}
