@@ -43,10 +43,9 @@ def run_cycle(
     have the digest are records written, the check recorded and the version activated. Every failure is an outcome and
     leaves the pointers as they are; nothing is raised for what data holds.
     """
-    content = F.col("content").cast("string")
-    raw = read_raw(spark, path).select("path", "length", F.col("digest").alias("actual_digest"), mapping.prefix(content).alias("prefix"), mapping.ends_well(content).alias("well_formed"))
+    raw = read_raw(spark, path).select("path", "length", F.col("digest").alias("actual_digest"), F.lit(True).alias("well_formed"))
     said = {"digest_header": F.lit(digest_header).cast("string"), "complete": complete_download(F.lit(status), F.lit(redirects).cast("int"), F.lit(content_length).cast("long"), F.col("length"))}
-    checked = validated(raw.withColumns(said)).select("path", "actual_digest", "claimed_digest", "verdict", "complete", "prefix").first()
+    checked = validated(raw.withColumns(said)).select("path", "actual_digest", "claimed_digest", "verdict", "complete").first()
     if checked is None:
         return Outcome(source_list, "FAILED", "OBTAIN", "NOTHING_LANDED")
     digest = checked.actual_digest
@@ -57,9 +56,9 @@ def run_cycle(
         return Outcome(source_list, "FAILED", "OBTAIN", "INCOMPLETE_DOWNLOAD")
     if checked.verdict != "OK":
         return Outcome(source_list, "FAILED", "VALIDATE", checked.verdict)
-    sections, intact = mapping.read(spark, path, checked.prefix)
-    if not intact:
-        return Outcome(source_list, "FAILED", "VALIDATE", "MALFORMED_XML")
+    sections, wrong = mapping.read(spark, path)
+    if wrong:
+        return Outcome(source_list, "FAILED", "VALIDATE", wrong)
     check_sections(sections)
     issued = spark.range(1).join(sections["issued"].drop("snapshot_id"), F.lit(True), "left")  # one row
     day = issued.select(publish_date(F.col("year"), F.col("month"), F.col("day"), F.lit(last_modified).cast("string"), F.lit(datetime.now(UTC).date())).alias("d")).first().d

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -17,7 +17,6 @@ from rollkeep import schemas
 from rollkeep.functions.scalar import not_blank
 from rollkeep.sources import xml
 from rollkeep.sources.files import read_csv
-from rollkeep.sources.scratch import stored
 
 #: The columns that every mapping must give, by section; more may follow.
 CONTRACT = {
@@ -32,11 +31,9 @@ CONTRACT = {
 
 
 class Mapping(NamedTuple):
-    """prefix and ends_well look at a whole file's text; read gives its sections and whether all of it is intact."""
+    """read gives the sections of a file, and what is wrong with it or None."""
 
-    prefix: Callable[[Column], Column]
-    ends_well: Callable[[Column], Column]
-    read: Callable[[SparkSession, str, str], tuple[dict[str, DataFrame], bool]]
+    read: Callable[[SparkSession, str], tuple[dict[str, DataFrame], str | None]]
 
 
 def contract_errors(sections: dict[str, DataFrame]) -> list[str]:
@@ -58,13 +55,13 @@ def check_sections(sections: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return sections
 
 
-def _read_xml(spark: SparkSession, path: str, prefix: str) -> tuple[dict[str, DataFrame], bool]:
-    parsed = stored(xml.read_parsed(spark, path, prefix), "element")
-    bad = xml.malformed(parsed).where("elements > 0 or rest").limit(1).count()
-    return xml.sections_of(parsed), not bad
+def _read_xml(spark: SparkSession, path: str) -> tuple[dict[str, DataFrame], str | None]:
+    parsed, files = xml.read_parsed(spark, path)
+    wrong = set(xml.faults(parsed, files).values()) if files else {"MALFORMED"}
+    return xml.sections_of(parsed), None if not wrong else "RECORDS_LOST" if wrong == {"LOST"} else "MALFORMED_XML"
 
 
-XML_MAPPING = Mapping(xml.prefix_of, lambda text: F.coalesce(text.rlike(r"(?s)^\s*<.*>\s*$"), F.lit(False)), _read_xml)
+XML_MAPPING = Mapping(_read_xml)
 
 #: The delimited file's party kinds by sub-type id; a party without a kind is an entity.
 CSV_KINDS = {"individual": "4", "vessel": "1", "aircraft": "2"}
@@ -88,8 +85,4 @@ def csv_sections(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     return {"profiles": profiles, "labels": labels, "entries": entries, **empty}
 
 
-def _read_csv(spark: SparkSession, path: str, _: str) -> tuple[dict[str, DataFrame], bool]:
-    return csv_sections(spark, path), True
-
-
-CSV_MAPPING = Mapping(lambda text: F.lit(""), lambda text: text.isNotNull(), _read_csv)
+CSV_MAPPING = Mapping(lambda spark, path: (csv_sections(spark, path), None))

@@ -1,17 +1,24 @@
 """Read the sections of XML snapshots, in any order and with any namespace prefix.
 
-A snapshot is read once: as text split at the closing tags of parties, which Spark deals over many tasks. Elements of the
-other sections are cut out of what stands between parties and dealt over all tasks too. Every element is parsed by itself,
-and what remains of the text when all are taken out must be well-formed as well.
+A snapshot is read as text split at `>`, in byte ranges that Spark deals over many tasks, twice. The first walk takes a
+summary of each range; joined, these tell whether the file is well-formed and in which state each range begins. The
+second cuts the elements out, and each is parsed by itself. Elements that go over the end of a range are put together.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import groupby
+from typing import NamedTuple
+
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollkeep import schemas
 from rollkeep.functions.scalar import assemble_name, first_of, last_of, not_blank, whole_number
+from rollkeep.sources import tokens
 from rollkeep.sources.scratch import stored
 
 OPTIONS = {"ignoreNamespace": "true", "ignoreSurroundingSpaces": "false"}
@@ -122,63 +129,155 @@ _COLUMNS = {
 }
 
 
-def prefix_of(content: Column) -> Column:
-    """The namespace prefix, with its colon, that a snapshot's party elements have; empty without one."""
-    return F.regexp_extract(content, r"<([\w.-]+:)?DistinctParty[\s>]", 1)
+class Snapshots(NamedTuple):
+    """The files of a path (snapshot_id, well_formed, the number of opening tags of parties), and what each byte range begins with."""
 
+    paths: str
+    files: list[tuple[str, bool, int]]
+    starts: dict[tuple[str, int], dict]
 
-def _texts(spark: SparkSession, path: str, prefix: str) -> DataFrame:
-    """(snapshot_id, row, other, party): the text before each party and the party; the last row of a file has no party."""
-    closing = f"</{prefix}{PARTY_TAG}>"
-    text = spark.read.option("lineSep", closing).text(path).select(F.input_file_name().alias("snapshot_id"), F.monotonically_increasing_id().alias("row"), "value")
-    at = F.regexp_instr("value", F.lit(rf"<{prefix}{PARTY_TAG}[\s>]"))
-    party = F.when(F.col("at") > 0, F.concat(F.substring("value", F.col("at"), F.length("value")), F.lit(closing)))
-    return text.withColumn("at", at).select("snapshot_id", "row", F.when(F.col("at") > 0, F.substring("value", F.lit(1), F.col("at") - 1)).otherwise(F.col("value")).alias("other"), party.alias("party"))
 
+def _pieces(spark: SparkSession, path: str) -> DataFrame:
+    """(file, place, piece): the bytes before each `>`, in order within each byte range of a file; place is where the range begins."""
+    text = spark.read.option("lineSep", ">").text(path)
+    return text.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("place"), F.col("value").cast("binary").alias("piece"))
 
-def _element_pattern() -> str:
-    """Any of the elements but parties, whole, with any prefix; longest names first."""
-    names = "|".join(sorted((e for e in ELEMENTS if e != PARTY_TAG), key=len, reverse=True))
-    return rf"(?s)<((?:[\w.-]+:)?(?:{names}))(?:\s[^>]*)?(?:(?<=/)>|(?<!/)>.*?</\1\s*>)"
 
+def _ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[str, int], Iterator[list[bytes]]]]:
+    """Each (file, place) with its pieces, in lists of some thousand."""
 
-def read_fragments(spark: SparkSession, path: str, prefix: str = "") -> DataFrame:
-    """(snapshot_id, pos, element, fragment): the text of every element, in one scan; element is null for what remains between them.
+    def lists() -> Iterator[tuple[tuple[str, int], list[bytes]]]:
+        for batch in batches:
+            at = 0
+            while at < batch.num_rows:
+                key = (batch.column(0)[at].as_py(), batch.column(1)[at].as_py())
+                end = batch.num_rows
+                if (batch.column(0)[end - 1].as_py(), batch.column(1)[end - 1].as_py()) != key:  # another range begins in this batch
+                    files, places = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+                    end = next(i for i in range(at, end) if (files[i], places[i]) != key)
+                yield key, batch.column(2).slice(at, end - at).to_pylist()
+                at = end
 
-    pos gives the order within a file. Comments are dropped first; a closing tag of a party must not stand in one.
-    """
-    rows = _texts(spark, path, prefix).withColumn("other", F.regexp_replace("other", r"(?s)<!--.*?-->", ""))
-    blank = F.trim(F.regexp_replace("other", r"\s+", " ")) == ""
-    pattern = _element_pattern()
-    rest = F.when(~blank, F.regexp_replace("other", pattern, ""))
-    one = lambda name, fragment: F.struct(name.alias("element"), fragment.alias("fragment"))
-    cut = F.when(blank, F.array().cast("array<string>")).otherwise(F.regexp_extract_all("other", F.lit(pattern), F.lit(0)))
-    named = F.transform(cut, lambda x: one(F.regexp_extract(x, r"^<(?:[\w.-]+:)?([\w.-]+)", 1), x))
-    pieces = F.concat(named, F.array(one(F.lit(PARTY_TAG), F.col("party"))), F.array(one(F.lit(None).cast("string"), rest)))
-    rows = rows.select("snapshot_id", F.explode(pieces).alias("x")).where("x.fragment is not null")
-    return rows.select("snapshot_id", F.monotonically_increasing_id().alias("pos"), "x.element", "x.fragment")
-
-
-def read_parsed(spark: SparkSession, path: str, prefix: str = "") -> DataFrame:
-    """(snapshot_id, pos, element, broken, rest, x_...): every element as a struct in the column of its kind, from one scan of the files.
-
-    broken: whether the element is not well-formed; rest: the text that remains between elements.
+    for key, group in groupby(lists(), key=lambda x: x[0]):
+        yield key, (pieces for _, pieces in group)
+
+
+def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for (file, place), lists in _ranges(batches):
+        tail: list[bytes] = []
+
+        def but_last(lists: Iterator[list[bytes]] = lists, tail: list[bytes] = tail) -> Iterator[bytes]:
+            for pieces in lists:
+                pieces = tail + pieces
+                tail[:] = [pieces.pop()]
+                if pieces:
+                    yield b">".join(pieces) + b">"
+
+        told = tokens.summed_up(but_last(), PARTY_TAG.encode())
+        yield pa.RecordBatch.from_arrays([pa.array([file]), pa.array([place], pa.int64()), pa.array([told]), pa.array(tail, pa.binary())], ["file", "place", "told", "tail"])
+
+
+def _joined(rows: pd.DataFrame) -> pd.DataFrame:
+    """The verdict and the range starts of one file."""
+    rows = rows.sort_values("place")
+    blocks = [(int(p), t, bytes(x)) for p, t, x in zip(rows["place"], rows["told"], rows["tail"], strict=True) if t is not None] if rows["told"].notna().any() else []
+    starts, fine, count = tokens.joined(blocks, int(rows["length"].iloc[0]), PARTY_TAG, set(ELEMENTS))
+    return pd.DataFrame({"file": [rows["file"].iloc[0]], "well_formed": [fine and bool(blocks)], "parties": [count], "starts": [[tokens.json.dumps(s) for s in starts]]})
+
+
+def look_through(spark: SparkSession, path: str) -> Snapshots:
+    """The first walk over the files of a path. The driver sees one small row for each byte range.
+
+    A file is well-formed if its tags nest under one root, its text holds no stray `<` or `&`, and it is UTF-8. A document
+    type may be named but not defined. Prefixes need not be declared, and attributes may repeat outside elements that are
+    parsed. Files without a byte are not listed.
     """
-    rows = read_fragments(spark, path, prefix)
-    n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    rows = rows.repartition(n, "pos")  # what stands between parties came from few rows
+    found = _pieces(spark, path).mapInArrow(_summaries, "file string, place long, told string, tail binary")
+    listed = spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("length"))
+    rows = listed.join(found, "file", "left").groupBy("file").applyInPandas(_joined, "file string, well_formed boolean, parties long, starts array<string>").collect()
+    starts = {(r.file, x["place"]): x for r in rows for x in map(tokens.json.loads, r.starts)}
+    return Snapshots(path, [(r.file, r.well_formed, r.parties) for r in rows], starts)
+
+
+def _cuttings(spark: SparkSession, seen: Snapshots) -> DataFrame:
+    """(snapshot_id, pos, element, place, origin, fragment) of elements and, with origin, of parts of elements."""
+    starts, pattern = seen.starts, tokens.marks(list(ELEMENTS))
+
+    def cuttings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (file, place), lists in _ranges(batches):
+            start = starts.get((file, place)) or {"place": place, "state": tokens.TEXT, "rest": "", "offset": place, "target": None}
+            made = tokens.cut((b">".join(pieces) + b">" for pieces in lists), start, pattern)
+            while part := [x for _, x in zip(range(1000), made)]:  # noqa: B905  the first iterator ends first
+                pos, element, origin, fragment = zip(*part, strict=True)
+                n = len(part)
+                yield pa.RecordBatch.from_arrays([pa.array([file] * n), pa.array(pos, pa.int64()), pa.array(element), pa.array([place] * n, pa.int64()), pa.array(origin, pa.int64()), pa.array([f.decode("utf-8", "replace") for f in fragment])], ["snapshot_id", "pos", "element", "place", "origin", "fragment"])
+
+    return _pieces(spark, seen.paths).mapInArrow(cuttings, "snapshot_id string, pos long, element string, place long, origin long, fragment string")
+
+
+def _put_together(parts: DataFrame) -> DataFrame:
+    """Whole elements of parts: two for an element that goes over the end of a range, and one more for each range within it."""
+    rows = parts.groupBy("snapshot_id", "origin").agg(F.min("pos").alias("pos"), F.min("element").alias("element"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "pos", "fragment"))), lambda x: x.fragment), "").alias("fragment"))
+    return rows.select("snapshot_id", "pos", "element", "fragment")
+
+
+def read_fragments(spark: SparkSession, path: str) -> DataFrame:
+    """(snapshot_id, pos, element, fragment): the text of every element that is not within another; pos is its byte offset."""
+    seen = look_through(spark, path)
+    rows = _cuttings(spark, seen)
+    whole = rows.where("origin is null").select("snapshot_id", "pos", "element", "fragment")
+    if not any(s["target"] for s in seen.starts.values()):
+        return whole
+    rows = stored(rows)
+    return rows.where("origin is null").select("snapshot_id", "pos", "element", "fragment").unionByName(_put_together(rows.where("origin is not null")))
+
+
+def _parsed(rows: DataFrame) -> DataFrame:
+    """rows (snapshot_id, pos, element, fragment) with each fragment as a struct in the column of its kind, and whether it is broken."""
     groups = {"x_label": schemas.LABEL_KINDS} | {f"x_{e}": (e,) for e in ELEMENTS if e not in schemas.LABEL_KINDS}
     parsed = {c: F.when(F.col("element").isin(*names), parse(F.col("fragment"), f"{ELEMENTS[names[0]]}, _corrupt_record string")) for c, names in groups.items()}
     rows = rows.withColumns(parsed)
     broken = F.coalesce(*[F.col(f"{c}._corrupt_record") for c in groups]).isNotNull()
     made = [F.when(F.col(c).isNotNull(), F.struct(*_COLUMNS[c](F.col(c)))).alias(c) for c in groups]
-    return rows.select("snapshot_id", "pos", F.coalesce("element", F.lit("")).alias("element"), broken.alias("broken"), F.when(F.col("element").isNull(), F.col("fragment")).alias("rest"), *made)
+    kept = [c for c in ("place", "origin", "part") if c in rows.columns]
+    return rows.select("snapshot_id", "pos", "element", broken.alias("broken"), *made, *kept)
 
 
-def malformed(parsed: DataFrame) -> DataFrame:
-    """(snapshot_id, elements, rest): the number of elements that do not parse, and whether what remains without elements is not well-formed."""
-    rows = parsed.groupBy("snapshot_id").agg(F.count_if("broken").alias("elements"), F.array_sort(F.collect_list(F.when(F.col("rest").isNotNull(), F.struct("pos", "rest")))).alias("rests"))
-    return rows.select("snapshot_id", "elements", (~well_formed(F.array_join(F.transform("rests", lambda x: x.rest), ""))).alias("rest"))
+#: The kind of rows that hold a part of an element, as they stand in storage.
+PART = "-"
+
+
+def read_parsed(spark: SparkSession, path: str) -> tuple[DataFrame, list[tuple[str, bool, int]]]:
+    """Every element as a struct in the column of its kind (snapshot_id, pos, element, broken, x_...), stored by element; and what look_through says of the files.
+
+    Elements are cut out and parsed in one scan. Parts of elements are stored as they are, and parsed when put together.
+    """
+    seen = look_through(spark, path)
+    rows = _cuttings(spark, seen)
+    of_part = F.col("origin").isNotNull()
+    rows = rows.withColumns({"part": F.when(of_part, F.struct(F.col("element").alias("of"), "fragment")), "element": F.when(of_part, PART).otherwise(F.col("element")), "fragment": F.when(~of_part, F.col("fragment"))})
+    table = stored(_parsed(rows), "element")
+    whole = table.where(F.col("element") != PART).drop("place", "origin", "part")
+    if not any(s["target"] for s in seen.starts.values()):
+        return whole, seen.files
+    parts = table.where(F.col("element") == PART).select("snapshot_id", "pos", "place", "origin", F.col("part.of").alias("element"), F.col("part.fragment").alias("fragment"))
+    return whole.unionByName(stored(_parsed(_put_together(parts)), "element"), allowMissingColumns=True), seen.files
+
+
+def faults(parsed: DataFrame, files: list[tuple[str, bool, int]]) -> dict[str, str]:
+    """What is wrong with files, by snapshot_id: MALFORMED if tags do not nest, or else BROKEN if an element does not parse, or else LOST if the parties read are not as many as their opening tags."""
+    rows = parsed.groupBy("snapshot_id").agg(F.count_if("broken").alias("broken"), F.count_if(F.col("element") == PARTY_TAG).alias("parties")).collect()  # one row for each file
+    got = {r.snapshot_id: r for r in rows}
+    out = {}
+    for file, fine, parties in files:
+        r = got.get(file)
+        if not fine:
+            out[file] = "MALFORMED"
+        elif r and r.broken:
+            out[file] = "BROKEN"
+        elif (r.parties if r else 0) != parties:
+            out[file] = "LOST"
+    return out
 
 
 def sections_of(parsed: DataFrame) -> dict[str, DataFrame]:
@@ -199,15 +298,15 @@ def sections_of(parsed: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def read_sections(spark: SparkSession, path: str, prefix: str = "") -> dict[str, DataFrame]:
+def read_sections(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     """All sections of the snapshots at path: parsed once, stored by element, and read from there."""
-    return sections_of(stored(read_parsed(spark, path, prefix), "element"))
+    return sections_of(read_parsed(spark, path)[0])
 
 
-def read_parties(spark: SparkSession, path: str, prefix: str = "") -> DataFrame:
+def read_parties(spark: SparkSession, path: str) -> DataFrame:
     """Raw profiles alone."""
-    rows = _texts(spark, path, prefix).where("party is not null")
-    return rows.select("snapshot_id", F.col("row").alias("pos"), *party_columns(parse(F.col("party"), PARTY)))
+    rows = read_fragments(spark, path).where(F.col("element") == PARTY_TAG)
+    return rows.select("snapshot_id", "pos", *party_columns(parse(F.col("fragment"), PARTY)))
 
 
 def last_labels(rows: DataFrame) -> DataFrame:
@@ -225,9 +324,3 @@ def legacy_count(spark: SparkSession, path: str) -> DataFrame:
     """(snapshot_id, record_count) of older XML files that name their count."""
     rows = spark.read.text(path).select(F.input_file_name().alias("snapshot_id"), record_count_in(F.col("value")).alias("n"))
     return rows.groupBy("snapshot_id").agg(F.first("n", True).alias("record_count"))
-
-
-def well_formed(text: Column) -> Column:
-    """Whether the text is one well-formed XML document."""
-    x = F.from_xml(text, "DateOfIssue string, _corrupt_record string", {**OPTIONS, "mode": "PERMISSIVE"})
-    return text.isNotNull() & x._corrupt_record.isNull() & F.coalesce(text.rlike(r"(?s)^\s*<.*>\s*$"), F.lit(False))

@@ -84,21 +84,20 @@ def test_resolve(spark, tmp_path):
 def test_prefix_and_corruption(spark, tmp_path):
     prefixed = XML.replace("<Distinct", "<n:Distinct").replace("</Distinct", "</n:Distinct").replace("xmlns=", "xmlns:n=")
     path = landed(tmp_path, prefixed, "p.xml")
-    assert spark.createDataFrame([(prefixed,)], "t string").select(xml.prefix_of(F.col("t"))).first()[0] == "n:"
-    assert sorted(r.fixed_ref for r in xml.read_parties(spark, path, "n:").where("size(aliases) > 0").collect()) == ["36", "40", "41"]
+    assert sorted(r.fixed_ref for r in xml.read_parties(spark, path).where("size(aliases) > 0").collect()) == ["36", "40", "41"]
     every = re.sub(r"<(/?)(?=[A-Z])", r"<\1n:", XML).replace("xmlns=", "xmlns:n=")
-    plain, named = (resolve(xml.read_sections(spark, landed(tmp_path, t, n), p))[0].drop("snapshot_id").orderBy("pos").collect() for t, n, p in ((XML, "plain.xml", ""), (every, "named.xml", "n:")))
+    plain, named = (resolve(xml.read_sections(spark, landed(tmp_path, t, n)))[0].drop("snapshot_id", "pos").orderBy("fixed_ref").collect() for t, n in ((XML, "plain.xml"), (every, "named.xml")))
     assert plain == named and len(plain) == 2
 
     def state(text):
-        r = xml.malformed(xml.read_parsed(spark, landed(tmp_path, text, "x.xml"))).first()
-        return r.elements, r.rest
-
-    assert state(XML) == (0, False)
-    assert state(XML.replace("<Locations>", "<!-- <Location ID='9'> --><Locations>")) == (0, False)
-    assert state(XML.replace("</Identity>", "", 1)) == (1, False)
-    assert state(XML.replace("</Locations>", "")) == (0, True)
-    assert state(XML.replace("<Comment>IRAN", "<Comment>IR<AN")) == (1, False)
+        return xml.faults(*xml.read_parsed(spark, landed(tmp_path, text, "x.xml")))
+
+    assert state(XML) == {}
+    assert state(XML.replace("<Locations>", "<!-- <Location ID='9'> --><Locations>")) == {}
+    for broken in (XML.replace("</Identity>", "", 1), XML.replace("</Locations>", ""), XML.replace("<Comment>IRAN", "<Comment>IR<AN"), XML + "<x/>", XML[:-1], XML.replace("ACME", "AC & ME")):
+        assert list(state(broken).values()) == ["MALFORMED"]
+    twice = XML.replace('<Feature ID="1"', '<Feature ID="1" ID="1"')
+    assert list(state(twice).values()) == ["BROKEN"]
 
 
 def test_any_order_and_one_parse(spark, tmp_path):
