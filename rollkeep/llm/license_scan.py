@@ -3,8 +3,8 @@
 A notice that differs from a template in at most a fifth of its words, f, holds one of f + 1 parts of the template word by
 word. Texts are searched for all these parts at once, across lines, punctuation and comment signs; where parts are
 found, the words around them, by the templates' lengths, are a candidate block. Each block is compressed alone and with
-every template as a zstandard raw dictionary; down the ranking of the size reductions, templates are confirmed by the exact
-differences in wording.
+each template that may stand in it as a zstandard raw dictionary. The ranking of the size reductions decides: down it, the
+first template that the exact differences in wording confirm takes its words, and no other may have them.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_right
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from difflib import SequenceMatcher
 from itertools import accumulate
 
@@ -37,9 +37,11 @@ _GNU = (
     "either version {version} of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, "
     "but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {name} for more details."
 )
+_GNU_FIRST = _GNU.partition(" This program is distributed")[0]
+_LESSER = _GNU.replace("program", "library").replace("software:", "software;").replace("Foundation, either", "Foundation; either").format(name="Lesser General Public License", version="2.1")
 #: License notices by SPDX identifier or a like name.
 TEMPLATES = {
-    "AGPL-3.0": ["This work is licensed under the GNU Affero General Public License, version 3.", _GNU.format(name="Affero General Public License", version=3)],
+    "AGPL-3.0": ["This work is licensed under the GNU Affero General Public License, version 3.", _GNU.format(name="Affero General Public License", version=3), _GNU_FIRST.format(name="Affero General Public License", version=3)],
     "All-Rights-Reserved": ["All rights reserved."],
     "Apache-2.0": [
         "Licensed under the Apache License, Version 2.0.",
@@ -54,14 +56,17 @@ TEMPLATES = {
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
         _BSD + "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. " + _AS_IS,
     ],
+    "BSL-1.0": ["Distributed under the Boost Software License, Version 1.0."],
     "CC-BY-4.0": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."],
     "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
     "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
     "CC0-1.0": ["To the extent possible under law, the author has waived all copyright and related rights to this work."],
-    "GPL-2.0": ["This work is licensed under the GNU General Public License, version 2.", _GNU.format(name="General Public License", version=2)],
-    "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3.", _GNU.format(name="General Public License", version=3)],
+    "EPL-2.0": ["This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0."],
+    "GPL-2.0": ["This work is licensed under the GNU General Public License, version 2.", _GNU.format(name="General Public License", version=2), _GNU_FIRST.format(name="General Public License", version=2), "Licensed under the GPL v2."],
+    "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3.", _GNU.format(name="General Public License", version=3), _GNU_FIRST.format(name="General Public License", version=3), "Licensed under the GPL v3."],
     "ISC": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."],
-    "LGPL-3.0": ["This work is licensed under the GNU Lesser General Public License, version 3.", _GNU.format(name="Lesser General Public License", version=3)],
+    "LGPL-2.1": ["This work is licensed under the GNU Lesser General Public License, version 2.1.", _LESSER, _LESSER.partition(" This library is distributed")[0]],
+    "LGPL-3.0": ["This work is licensed under the GNU Lesser General Public License, version 3.", _GNU.format(name="Lesser General Public License", version=3), _GNU_FIRST.format(name="Lesser General Public License", version=3)],
     "MIT": [
         "Released under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction.",
@@ -81,18 +86,23 @@ SPDX = {
     "Apache-2.0": ["Apache-2.0"],
     "BSD-2-Clause": ["BSD-2-Clause"],
     "BSD-3-Clause": ["BSD-3-Clause"],
+    "BSL-1.0": ["BSL-1.0"],
     "CC-BY-4.0": ["CC-BY-4.0"],
     "CC-BY-NC-4.0": ["CC-BY-NC-4.0"],
     "CC-BY-SA-4.0": ["CC-BY-SA-4.0"],
     "CC0-1.0": ["CC0-1.0"],
+    "EPL-2.0": ["EPL-2.0"],
     "GPL-2.0": ["GPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-2.0+"],
     "GPL-3.0": ["GPL-3.0", "GPL-3.0-only", "GPL-3.0-or-later", "GPL-3.0+"],
     "ISC": ["ISC"],
+    "LGPL-2.1": ["LGPL-2.1", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-2.1+"],
     "LGPL-3.0": ["LGPL-3.0", "LGPL-3.0-only", "LGPL-3.0-or-later"],
     "MIT": ["MIT"],
     "MPL-2.0": ["MPL-2.0"],
     "Unlicense": ["Unlicense"],
 }
+_EXPRESSION = re.compile(r"SPDX-License-Identifier:[ \t]*((?:\(|\)|[\w.+-]+|[ \t]+)+)", re.IGNORECASE)
+_IDENTIFIER = re.compile(r"[\w.+-]*[\w+]")
 _WORD = re.compile(r"[\w.+-]*[\w+]")
 
 
@@ -129,6 +139,7 @@ class Scanner:
             # repeated, as a raw dictionary must hold eight bytes at least
             data = zstandard.ZstdCompressionDict((" ".join(want) + "\n").encode() * 2, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             self.entries.append((name, want, zstandard.ZstdCompressor(level=level, dict_data=data, write_content_size=False, write_dict_id=False)))
+        self.spdx = {i.lower(): name for name, ids in spdx.items() for i in ids}
         self.telling = self._telling_words()
         places: dict[str, list[tuple[int, int]]] = {}
         for k, (_, want, _) in enumerate(self.entries):
@@ -176,11 +187,11 @@ class Scanner:
             return None
         return n, steps[equal[0]][3], steps[equal[-1]][4] - 1
 
-    def ranked(self, block: list[str]) -> list[tuple[float, int]]:
-        """Size reduction, from 0 to 1, that each template's dictionary brings, the largest first; with the template's number."""
+    def ranked(self, block: list[str], among: Iterable[int] | None = None) -> list[tuple[float, int]]:
+        """Size reduction, from 0 to 1, that each template's dictionary brings, the largest first; with the template's number. among: these templates only."""
         data = " ".join(block).encode("utf-8", "surrogatepass")
         alone = max(1, len(self.plain.compress(data)))
-        return sorted(((1 - len(c.compress(data)) / alone, k) for k, (_, _, c) in enumerate(self.entries)), key=lambda x: (-x[0], x[1]))
+        return sorted(((1 - len(self.entries[k][2].compress(data)) / alone, k) for k in (range(len(self.entries)) if among is None else among)), key=lambda x: (-x[0], x[1]))
 
     def windows(self, have: list[str], joined: str) -> list[tuple[int, int, int]]:
         """(begin, end, template): words around every place where a part of the template stands; places that may be one notice together."""
@@ -205,9 +216,9 @@ class Scanner:
     def scan(self, text: str | None) -> list[tuple[str, int, int, float, int]]:
         """(name, begin, end, reduction, differing words) of every notice, in order; whole text, across line breaks.
 
-        Of notices that overlap, the one with the most words that are as in its template, less the differing ones, stays,
-        the one with the larger reduction at a tie. Begin and end take in the rest of their lines if that is one word at
-        most.
+        Of notices that overlap, the one whose template reduces the block most stays; one that brings no reduction is
+        none. All identifiers of an SPDX expression are notices at their places. Begin and end take in the rest of
+        their lines if that is one word at most.
         """
         text = text or ""
         have = _WORD.findall(text)
@@ -223,34 +234,56 @@ class Scanner:
                 blocks.append([])
             blocks[-1].append(window)
             reach = max(reach, window[1])
-        fits = []
+        chosen: list[tuple[str, int, int, float, int]] = []
         for block in blocks:
-            begin, end = block[0][0], max(w[1] for w in block)
             by_template: dict[int, list[tuple[int, int, int]]] = {}
             for w in block:
                 by_template.setdefault(w[2], []).append(w)
-            for gain, k in self.ranked(have[begin:end]):
-                for a, b, _ in by_template.get(k, ()):
-                    if met := self.differences(k, have[a:b]):
-                        fits.append((2 * met[0] - len(self.entries[k][1]), -gain, self.entries[k][0], a + met[1], a + met[2], met[0]))
-        chosen: list[tuple] = []
-        for fit in sorted(fits):
-            if all(fit[4] < c[3] or c[4] < fit[3] for c in chosen):
-                chosen.append(fit)
-        return self._placed(text, sorted(chosen, key=lambda c: c[3])) if chosen else []
+            taken: list[tuple[int, int]] = []
+            for gain, k in self.ranked(have[block[0][0] : max(w[1] for w in block)], by_template):
+                if gain <= 0:
+                    break
+                for a, b, _ in by_template[k]:
+                    met = self.differences(k, have[a:b])
+                    if met and all(a + met[2] < first or last < a + met[1] for first, last in taken):
+                        taken.append((a + met[1], a + met[2]))
+                        chosen.append((self.entries[k][0], *taken[-1], gain, met[0]))
+        return self._expressions(text, self._placed(text, sorted(chosen, key=lambda c: c[1]))) if chosen else []
+
+    def _expressions(self, text: str, found: list[tuple[str, int, int, float, int]]) -> list[tuple[str, int, int, float, int]]:
+        """found with the identifiers of SPDX expressions after the first, which stand behind AND, OR, WITH or brackets; each license of an expression once."""
+        for expression in _EXPRESSION.finditer(text):
+            begin, end = expression.span(1)
+            inside = [f for f in found if f[1] < end and begin < f[2]]
+            if not inside:
+                continue
+            names = {f[0] for f in inside}
+            joined = True
+            for word in _IDENTIFIER.finditer(text, begin, end):
+                if word[0].upper() in ("AND", "OR", "WITH"):
+                    joined = True
+                    continue
+                if not joined:
+                    break  # what follows is no part of the expression
+                joined = False
+                name = self.spdx.get(word[0].lower())
+                if name and name not in names:
+                    names.add(name)
+                    found.append((name, *word.span(), inside[0][3], 0))
+        return sorted(found, key=lambda f: (f[1], f[2]))
 
     @staticmethod
-    def _placed(text: str, chosen: list[tuple]) -> list[tuple[str, int, int, float, int]]:
+    def _placed(text: str, chosen: list[tuple[str, int, int, float, int]]) -> list[tuple[str, int, int, float, int]]:
         spans = [m.span() for m in _WORD.finditer(text)]
         out: list[tuple[str, int, int, float, int]] = []
-        for i, (_, gain, name, first, last, n) in enumerate(chosen):
+        for i, (name, first, last, gain, n) in enumerate(chosen):
             begin, end = spans[first][0], spans[last][1]
             left = max(text.rfind("\n", 0, begin) + 1, out[-1][2] if out else 0)
-            after = spans[chosen[i + 1][3]][0] if i + 1 < len(chosen) else len(text)
+            after = spans[chosen[i + 1][1]][0] if i + 1 < len(chosen) else len(text)
             right = min(x for x in (text.find("\n", end), after) if x >= 0)
             begin = left if len(_WORD.findall(text, left, begin)) <= 1 else begin
             end = right if len(_WORD.findall(text, end, right)) <= 1 else end
-            out.append((name, begin, end, round(-gain, 6), n))
+            out.append((name, begin, end, round(gain, 6), n))
         return out
 
 

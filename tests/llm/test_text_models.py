@@ -350,6 +350,38 @@ def test_parts_find_all_that_may_be_confirmed():
                 assert any(w[2] == k for w in scanner.windows(have, f" {' '.join(have)} "))
 
 
+def test_compression_decides(monkeypatch):
+    """Whole notices are taken by the template that reduces them most; with the ranking turned round, shorter ones take their words."""
+    scanner = license_scan.Scanner.shared()
+    whole = {name: max(texts, key=len) for name, texts in license_scan.TEMPLATES.items() if len(texts) > 1}
+    spans = lambda: {name: [(n, e - b) for n, b, e, _, _ in scanner.scan(f"some words before it\n{t}\nand some after it")] for name, t in whole.items()}
+    right = spans()
+    assert right == {name: [(name, len(t))] for name, t in whole.items()}
+    kept = license_scan.Scanner.ranked
+    monkeypatch.setattr(license_scan.Scanner, "ranked", lambda *given: kept(*given)[::-1])
+    assert sum(right[n] != x for n, x in spans().items()) > 5
+    monkeypatch.setattr(license_scan.Scanner, "ranked", lambda *given: [(0.0, k) for _, k in kept(*given)])
+    assert not any(spans().values())
+
+
+def test_more_notices():
+    """First sentences alone, short names, and all identifiers of an SPDX expression but no others."""
+    scan = lambda text: [(n, text[b:e]) for n, b, e, _, _ in license_scan.Scanner.shared().scan(text)]
+    gnu = "{} free software{} you can redistribute it and/or modify it under the terms of the GNU {}General Public License as published by the Free Software Foundation{} either version {} of the License, or (at your option) any later version."
+    for text, name in (
+        (gnu.format("This program is", ":", "", ",", "2"), "GPL-2.0"),
+        (gnu.format("This program is", ":", "", ",", "3"), "GPL-3.0"),
+        (gnu.format("This library is", ";", "Lesser ", ";", "2.1"), "LGPL-2.1"),
+        ("This code is licensed under the GPL v2", "GPL-2.0"),
+        ("Distributed under the Boost Software License, Version 1.0.", "BSL-1.0"),
+    ):
+        assert [n for n, _ in scan(f"Some words.\n{text}\nMore words.")] == [name], text
+    one = "SPDX-License-Identifier: "
+    assert scan(f"// {one}(MIT OR Apache-2.0)\ncode Apache-2.0") == [("MIT", f"// {one}(MIT"), ("Apache-2.0", "Apache-2.0")]
+    assert [n for n, _ in scan(f"{one}GPL-2.0-only WITH Classpath-exception-2.0 AND (BSD-3-Clause OR MIT)")] == ["GPL-2.0", "BSD-3-Clause", "MIT"]
+    assert [n for n, _ in scan(f"{one}MIT and also words Apache-2.0")] == [n for n, _ in scan(f"{one}MIT OR MIT")] == ["MIT"]
+
+
 def test_reductions_rank_the_right_license_first():
     scanner = license_scan.Scanner.shared()
     for k, (name, want, _) in enumerate(scanner.entries):
