@@ -63,40 +63,63 @@ def search(rows: DataFrame, query: str) -> DataFrame:
     return rows.where(name_matches(F.col("primary_name_lower"), F.col("alias_search"), F.lit(check_query(query))))
 
 
-def screen(texts: DataFrame, text_id: str, text: str, needles: DataFrame, needle: str, grams: int = 3) -> DataFrame:
-    """(text_id, needle), each pair once: every text that contains a needle, whatever the case.
+SPACE = r"\s+"
 
-    Null texts contain nothing; null needles and such of white space only are left out; null ids match nothing. Texts and
-    needles are cut at white space. A text that contains a needle has a word that contains the needle's longest word, so
-    the distinct words of all texts are looked up by a gram of that word, the rarest one among them, or by the whole word
-    where it is shorter than a gram. Only texts that have such a word are compared with the needle. All joins are
-    by equality; nothing is broadcast but what Spark measures as small.
+
+def words_of(texts: DataFrame, text_id: str, text: str) -> DataFrame:
+    """(id, word): the distinct lower-case words of each text, cut at white space."""
+    return texts.select(F.col(text_id).alias("id"), F.explode(F.array_distinct(F.split(F.lower(text), SPACE))).alias("word")).where("word <> ''")
+
+
+def vocabulary_of(words: DataFrame) -> DataFrame:
+    """(word, n): the number of texts that hold each word."""
+    return words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _cut(column: str, size: int) -> Column:
+    """The distinct grams of this size of a word; none if it is shorter."""
+    n = F.length(column)
+    return F.array_distinct(F.transform(F.when(n >= size, F.sequence(F.lit(1), n - size + 1)).otherwise(F.array().cast("array<int>")), lambda i: F.substring(column, i, F.lit(size))))
+
+
+def met_needles(vocabulary: DataFrame, words: DataFrame, needles: DataFrame, needle: str, grams: int = 3) -> DataFrame:
+    """(id, needle): texts (words: id, word) that may contain a needle, by its rarest word.
+
+    A text that contains a needle has, for each of the needle's words, a word that contains it and so holds all its grams.
+    A gram's texts, summed over the vocabulary (word, n), bound those of a word; the needle's word with the least bound is
+    looked up, and a needle with a gram that no text has is dropped. So a word that needles and texts share costs nothing
+    as long as each needle has a rarer one. Words shorter than a gram count only in needles that have no others.
     """
-    space = r"\s+"
-    wanted = needles.select(F.lower(needle).alias("needle_")).where(F.col("needle_").rlike(r"\S")).distinct()
-    parts = F.array_sort(F.filter(F.split("needle_", space), lambda w: w != ""), lambda x, y: F.coalesce(F.nullif(F.length(y) - F.length(x), F.lit(0)), F.when(x < y, -1).when(x > y, 1).otherwise(0)))
-    wanted = wanted.withColumn("part", parts[0])
-    words = texts.select(F.col(text_id), F.explode(F.array_distinct(F.split(F.lower(text), space))).alias("word")).where("word <> ''")
-    known = words.select("word").distinct()
-
-    def cut(column: str, size: int) -> Column:
-        """The distinct grams of this size of a word; none if it is shorter."""
-        n = F.length(column)
-        return F.array_distinct(F.transform(F.when(n >= size, F.sequence(F.lit(1), n - size + 1)).otherwise(F.array().cast("array<int>")), lambda i: F.substring(column, i, F.lit(size))))
-
-    asked = wanted.select("part").distinct()
+    wanted = needles.select(F.lower(needle).alias("needle")).where(F.col("needle").rlike(r"\S")).distinct()
+    every = F.array_distinct(F.filter(F.split("needle", SPACE), lambda w: w != ""))
+    long = F.filter("parts", lambda w: F.length(w) >= grams)
+    parts = wanted.withColumn("parts", every).select("needle", F.explode(F.when(F.size(long) > 0, long).otherwise(F.col("parts"))).alias("part"))
     size = F.least(F.length("part"), F.lit(grams))
-    tried = asked.select("part", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("part") - size + 1), lambda i: F.substring("part", i, size)))).alias("gram"))
+    tried = parts.select("needle", "part", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("part") - size + 1), lambda i: F.substring("part", i, size)))).alias("gram"))
     tried = stored(tried)  # its size is then known: where it is small, Spark sends it to the words' grams instead of shuffling these
     sizes = sorted(r[0] for r in tried.select(F.length("gram")).distinct().collect())  # from 1 to grams
-    by_gram = known.select("word", F.explode(F.concat(F.array().cast("array<string>"), *[cut("word", n) for n in sizes])).alias("gram"))
-    common = by_gram.join(tried.select("gram").distinct(), "gram", "left_semi").groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
-    rare = tried.join(common, "gram").groupBy("part").agg(F.min_by("gram", F.struct("n", "gram")).alias("gram"), F.count(F.lit(1)).alias("met"))
-    # a part one of whose grams no word has is in no text
-    rare = rare.join(tried.groupBy("part").agg(F.count(F.lit(1)).alias("has")), "part").where("met = has").select("part", "gram")
-    rare = stored(rare)
-    holding = by_gram.join(rare, "gram").where(F.contains("word", "part")).select("word", "part")
-    met = words.join(holding, "word").join(wanted, "part").select(text_id, "needle_").distinct()
-    low = texts.select(F.col(text_id), F.lower(text).alias("text_"))
-    hits = met.join(low, text_id).where(F.contains("text_", "needle_"))
-    return hits.select(text_id, F.col("needle_").alias("needle")).distinct()
+    by_gram = vocabulary.select("word", "n", F.explode(F.concat(F.array().cast("array<string>"), *[_cut("word", n) for n in sizes])).alias("gram"))
+    common = by_gram.join(tried.select("gram").distinct(), "gram", "left_semi").groupBy("gram").agg(F.sum("n").alias("texts"))
+    rarest = tried.join(common, "gram", "left").groupBy("needle").agg(F.min_by(F.struct("part", "gram"), F.struct("texts", "part", "gram")).alias("x"), F.bool_and(F.col("texts").isNotNull()).alias("met"))
+    chosen = stored(rarest.where("met").select("needle", "x.part", "x.gram"))
+    holding = by_gram.join(chosen.select("part", "gram").distinct(), "gram").where(F.contains("word", "part")).select("word", "part").distinct()
+    asked = stored(holding.join(chosen.select("needle", "part"), "part").select("word", "needle"))
+    return words.join(asked, "word").select("id", "needle").distinct()
+
+
+def screen(texts: DataFrame, text_id: str, text: str, needles: DataFrame, needle: str, grams: int = 3) -> DataFrame:
+    """(text_id, needle), each pair once: every text that contains a needle, whatever the case.
+
+    Null texts contain nothing; null needles and such of white space only are left out; null ids match nothing. Texts and
+    needles are cut at white space, and met_needles finds what to compare; only these pairs are. All joins are by equality;
+    nothing is broadcast but what Spark measures as small.
+    """
+    words = words_of(texts, text_id, text)
+    return confirmed(met_needles(stored(vocabulary_of(words)), words, needles, needle, grams), texts, text_id, text)
+
+
+def confirmed(met: DataFrame, texts: DataFrame, text_id: str, text: str) -> DataFrame:
+    """Of pairs (id, needle) those whose text contains the needle, each once."""
+    met = stored(met)  # where it is small, it goes to the texts
+    low = texts.select(F.col(text_id).alias("id"), F.lower(text).alias("low"))
+    return low.join(met, "id").where(F.contains("low", "needle")).select(F.col("id").alias(text_id), "needle").distinct()

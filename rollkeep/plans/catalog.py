@@ -16,7 +16,7 @@ from rollkeep import schemas
 from rollkeep.functions import scalar
 from rollkeep.operators import compare, counts, dedup, resolve, scope, search, shape, versions
 from rollkeep.plans import cycle
-from rollkeep.sources import files, xml
+from rollkeep.sources import files, index, xml
 from rollkeep.sources.scratch import shared_folder, stored
 from rollkeep.sources.store import Store
 
@@ -766,10 +766,52 @@ def page_total(read, spark):
     return search.total(search.search(searchable(read), "the"))
 
 
-@query("select d.doc_id, w.needle from documents d join (select lower(text) as needle from benchmark where trim(text) <> '' union select lower(n_name) from nation union select lower(r_name) from region) w on contains(lower(d.text), w.needle)")
+def indexed(read, spark) -> index.Index:
+    """The searchable customers, written with their index."""
+    folder = f"{shared_folder(spark)}/index-{uuid.uuid4().hex}"
+    index.write(searchable(read), folder)
+    return index.Index(spark, folder)
+
+
+@query(f"with {TALK_SQL} select fixed_ref, primary_name from r where contains(lower(primary_name), 'the') or contains(a, 'the')")
+def search_indexed(read, spark):
+    """As search_page, through posting lists, and all hits."""
+    return indexed(read, spark).search("THE").select("fixed_ref", "primary_name")
+
+
+@query(f"with {TALK_SQL} select 'on' as query, fixed_ref from r where contains(lower(primary_name), 'on') or contains(a, 'on') union all select '0001', fixed_ref from r where contains(lower(primary_name), '0001') or contains(a, '0001')")
+def search_indexed_short(read, spark):
+    """A query that is shorter than a gram, and one of several grams."""
+    held = indexed(read, spark)
+    rows = [held.search(q).select(F.lit(q).alias("query"), "fixed_ref") for q in ("on", "0001")]
+    return rows[0].unionByName(rows[1])
+
+
+@query("select cast(c_custkey as varchar) as fixed_ref, c_name as primary_name from customer order by 1 limit 50 offset 100")
+def list_page_indexed(read, spark):
+    """As list_page, from the files that hold the page."""
+    return indexed(read, spark).page(100, 50).select("fixed_ref", "primary_name")
+
+
+SCREEN_SQL = "select d.doc_id, w.needle from documents d join (select lower(text) as needle from benchmark where trim(text) <> '' union select lower(n_name) from nation union select lower(r_name) from region) w on contains(lower(d.text), w.needle)"
+
+
+def screened_names(read) -> DataFrame:
+    return read("benchmark").select(F.col("text").alias("name")).union(read("nation").select("n_name")).union(read("region").select("r_name"))
+
+
+@query(SCREEN_SQL)
 def screen_batch(read, spark):
-    names = read("benchmark").select(F.col("text").alias("name")).union(read("nation").select("n_name")).union(read("region").select("r_name"))
-    return search.screen(read("documents"), "doc_id", "text", names, "name")
+    return search.screen(read("documents"), "doc_id", "text", screened_names(read), "name")
+
+
+@query(SCREEN_SQL)
+def screen_indexed(read, spark):
+    """As screen_batch, by a kept index of the texts' words, to which they are added in three batches, one of them twice."""
+    held = index.TextIndex(spark, f"{shared_folder(spark)}/words-{uuid.uuid4().hex}")
+    for k in (0, 1, 2, 1):
+        held.add(read("documents").where(F.col("doc_id") % 3 == k), "doc_id", "text", f"part-{k}")
+    return held.screen(read("documents"), "doc_id", "text", screened_names(read), "name")
 
 
 @query("select c_custkey, lower(s) as needle from customer join (select distinct o_orderstatus as s from orders) on contains(lower(c_mktsegment), lower(s))")

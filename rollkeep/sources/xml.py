@@ -281,7 +281,7 @@ def faults(parsed: DataFrame, files: list[tuple[str, bool, int]]) -> dict[str, s
 
 
 def sections_of(parsed: DataFrame) -> dict[str, DataFrame]:
-    """The sections of parsed elements, each keyed by snapshot_id."""
+    """The sections of parsed elements, each keyed by snapshot_id. Labels are stored, so that every join with them knows their size and sends them out if they are small."""
     rows = lambda element: parsed.where(F.col("element") == element).select("snapshot_id", "pos", f"x_{element}.*")
     labels = parsed.where(F.col("element").isin(*schemas.LABEL_KINDS)).select("snapshot_id", "pos", F.col("element").alias("kind"), "x_label.*")
     locations = rows("Location").where("location_id is not null")
@@ -289,7 +289,7 @@ def sections_of(parsed: DataFrame) -> dict[str, DataFrame]:
     issued = parsed.where("element = 'DateOfIssue'").groupBy("snapshot_id").agg(F.max_by("x_DateOfIssue", "pos").alias("x"))
     return {
         "profiles": rows("DistinctParty"),
-        "labels": last_labels(labels),
+        "labels": stored(last_labels(labels)),
         "locations": locations,
         "documents": rows("IDRegDocument"),
         "entries": rows("SanctionsEntry"),
