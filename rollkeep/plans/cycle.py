@@ -15,7 +15,8 @@ from rollkeep.operators.resolve import first_failure, resolve
 from rollkeep.operators.scope import scope_counts
 from rollkeep.operators.versions import pointer
 from rollkeep.schemas import OUTCOME
-from rollkeep.sources.files import read_raw
+from rollkeep.sources.chunks import WHOLE, Held
+from rollkeep.sources.log import removed
 from rollkeep.sources.mapping import XML_MAPPING, Mapping, check_sections
 from rollkeep.sources.scratch import stored
 from rollkeep.sources.store import Store
@@ -39,11 +40,23 @@ def run_cycle(
     """Take one downloaded snapshot through all stages. Only counts and one-row results reach the driver.
 
     digest_header, last_modified, status, redirects and content_length are what the publisher said of the download. The
-    snapshot is parsed once; records are resolved once. Its bytes are kept first, read again and hashed; only if they still
-    have the digest are records written, the check recorded and the version activated. Every failure is an outcome and
+    snapshot is parsed once; records are resolved once. Its bytes are stored in chunks first, and the digest is that of what
+    is stored; they are read again and hashed, and only if they still have the digest are records written, the check recorded and the version activated. Every failure is an outcome and
     leaves the pointers as they are; nothing is raised for what data holds.
     """
-    raw = read_raw(spark, path).select("path", "length", F.col("digest").alias("actual_digest"), F.lit(True).alias("well_formed"))
+    held = store.take_in(path, mapping.sep)
+    try:
+        return _cycle(spark, store, source_list, path, held, digest_header, last_modified, status, redirects, content_length, mapping)
+    finally:
+        removed(spark, held.folder)  # unless it has become the version's
+
+
+def _cycle(
+    spark: SparkSession, store: Store, source_list: str, path: str, held: Held, digest_header: str | None, last_modified: str | None,
+    status: int, redirects: int | None, content_length: int | None, mapping: Mapping,
+) -> Outcome:
+    """run_cycle, of bytes that are stored aside."""
+    raw = held.manifest.where(F.col("number") == WHOLE).select("path", "length", F.col("sum").alias("actual_digest"), F.lit(True).alias("well_formed"))
     said = {"digest_header": F.lit(digest_header).cast("string"), "complete": complete_download(F.lit(status), F.lit(redirects).cast("int"), F.lit(content_length).cast("long"), F.col("length"))}
     checked = validated(raw.withColumns(said)).select("path", "actual_digest", "claimed_digest", "verdict", "complete").first()
     if checked is None:
@@ -69,7 +82,7 @@ def run_cycle(
     counts = scope_counts(sections["profiles"]).first()
     total, out = (counts.record_count, counts.out_of_scope_count) if counts else (0, 0)
     plan = {"record_count": total, "out_of_scope_count": out, "overlap_count": 0, "expected_count": total - out}
-    store.land(read_raw(spark, path), source_list, day)
+    store.keep_chunks(held, source_list, day, digest)
     if not store.stored_bytes_ok(source_list, day, digest):
         store.record_check(source_list, day, digest, False)
         return Outcome(source_list, "FAILED", "PERSIST", "RAW_INTEGRITY", day, digest)

@@ -31,9 +31,10 @@ CONTRACT = {
 
 
 class Mapping(NamedTuple):
-    """read gives the sections of a file, and what is wrong with it or None."""
+    """read gives the sections of a file, and what is wrong with it or None; sep is a byte that files hold often, where their raw bytes may be cut."""
 
     read: Callable[[SparkSession, str], tuple[dict[str, DataFrame], str | None]]
+    sep: str = ">"
 
 
 def contract_errors(sections: dict[str, DataFrame]) -> list[str]:
@@ -85,4 +86,4 @@ def csv_sections(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     return {"profiles": profiles, "labels": labels, "entries": entries, **empty}
 
 
-CSV_MAPPING = Mapping(lambda spark, path: (csv_sections(spark, path), None))
+CSV_MAPPING = Mapping(lambda spark, path: (csv_sections(spark, path), None), "\n")

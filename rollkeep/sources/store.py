@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 
 from rollkeep import schemas
 from rollkeep.operators import versions as v
-from rollkeep.operators.counts import cold_checks, integrity, latest_checks
+from rollkeep.operators.counts import integrity, latest_checks
 from rollkeep.operators.scope import check_source_list
 from rollkeep.operators.search import with_search_columns
+from rollkeep.sources import chunks
 from rollkeep.sources.files import land
 from rollkeep.sources.index import Index, write
 from rollkeep.sources.log import Log, exists, names_in
@@ -88,16 +89,48 @@ class Store:
         files = files.select(F.lit(source_list).alias("source_list"), F.lit(publish_date).alias("publish_date"), "digest", "path", "length", "content")
         land(files, self.raw().select(*KEY).distinct(), f"{self.folder}/raw")
 
+    def take_in(self, path: str, sep: str) -> chunks.Held:
+        """The bytes of landed files as chunks, aside, with the digests of what is stored."""
+        return chunks.take_in(self.spark, path, f"{self.folder}/raw_chunks", sep)
+
+    def keep_chunks(self, held: chunks.Held, source_list: str, publish_date: date, digest: str) -> bool:
+        """Make what take_in wrote the bytes of a version; False, and what is there stays as it is, if there are some."""
+        return chunks.keep(self.spark, held, f"{self.folder}/raw_chunks/source_list={check_source_list(source_list)}/publish_date={publish_date}/digest={digest}")
+
+    def _chunk_table(self, name: str, schema: str) -> DataFrame:
+        """A table of the chunks of all versions, by version."""
+        root = f"{self.folder}/raw_chunks"
+        kind = f"{schema}, source_list string, publish_date date, digest string"
+        if not any("=" in n for n in names_in(self.spark, root)):
+            return self.spark.createDataFrame([], kind)
+        return self.spark.read.schema(f"{kind}, table string").option("basePath", root).parquet(f"{root}/source_list=*/publish_date=*/digest=*/table={name}").drop("table")
+
+    def changed_chunks(self, versions: DataFrame) -> DataFrame:
+        """(source_list, publish_date, digest, path, number, why) of the chunks of some versions (by these columns) that are not as they were stored."""
+        own = lambda rows: rows.join(versions.select(*KEY), KEY, "left_semi")
+        return chunks.changed_chunks(own(self._chunk_table("chunks", chunks.CHUNK)), own(self._chunk_table("manifest", chunks.MANIFEST)), tuple(KEY))
+
+    def _bytes_ok(self, versions: DataFrame) -> DataFrame:
+        """versions with ok: all bytes that are stored for each, in one piece or in chunks, have its digest, and there are some.
+
+        A version in chunks has the digest of its manifest, and each chunk the digest that this names.
+        """
+        whole = integrity(versions.join(self.raw().select(*KEY).distinct(), KEY, "left_semi"), self.raw().join(versions, KEY, "left_semi"))
+        manifest = self._chunk_table("manifest", chunks.MANIFEST).where(F.col("number") == chunks.WHOLE).join(versions.select(*KEY), KEY, "left_semi")
+        bad = self.changed_chunks(versions).select(*KEY).distinct().withColumn("bad", F.lit(True))
+        cut = manifest.join(bad, KEY, "left").select(*KEY, ((F.col("sum") == F.col("digest")) & F.col("bad").isNull()).alias("ok"))
+        found = whole.select(*KEY, "ok").unionByName(cut).groupBy(*KEY).agg(F.bool_and("ok").alias("ok"))
+        return versions.join(found, KEY, "left").withColumn("ok", F.coalesce("ok", F.lit(False)))
+
     def stored_bytes_ok(self, source_list: str, publish_date: date, digest: str) -> bool:
-        """Whether the landed bytes of a version, read again, have its digest; False if there are none."""
+        """Whether the stored bytes of a version, read again, have its digest; False if there are none."""
         one = self.spark.createDataFrame([(source_list, publish_date, digest)], "source_list string, publish_date date, digest string")
-        kept = self.raw().where((F.col("source_list") == source_list) & (F.col("publish_date") == F.lit(publish_date)) & (F.col("digest") == digest))
-        return integrity(one, kept).agg(F.min("ok")).first()[0]
+        return self._bytes_ok(one).first().ok
 
     def check_cold(self, source_list: str, now: datetime | None = None) -> DataFrame:
-        """Hash the landed bytes of the list's COLD versions again and append the results to the integrity checks; returns them."""
+        """Hash the stored bytes of the list's COLD versions again and add the results to the integrity checks; returns them."""
         own = lambda rows: rows.where(F.col("source_list") == check_source_list(source_list))
-        found = cold_checks(own(self.versions()).select(*KEY), own(self.activations()), own(self.raw()))
+        found = self._bytes_ok(v.cold_versions(own(self.versions()).select(*KEY), own(self.activations())).drop("state"))
         at = now or datetime.now(UTC)
         rows = [{**r.asDict(), "checked_at": at} for r in found.select(*KEY, "ok").collect()]  # one row for each cold version
         if rows:

@@ -8,7 +8,6 @@ second cuts the elements out, and each is parsed by itself. Elements that go ove
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import groupby
 from typing import NamedTuple
 
 import pandas as pd
@@ -19,6 +18,7 @@ from pyspark.sql import functions as F
 from rollkeep import schemas
 from rollkeep.functions.scalar import assemble_name, first_of, last_of, not_blank, whole_number
 from rollkeep.sources import tokens
+from rollkeep.sources.pieces import lengths, pieces, ranges
 from rollkeep.sources.scratch import stored
 
 OPTIONS = {"ignoreNamespace": "true", "ignoreSurroundingSpaces": "false"}
@@ -137,41 +137,16 @@ class Snapshots(NamedTuple):
     starts: dict[tuple[str, int], dict]
 
 
-def _pieces(spark: SparkSession, path: str) -> DataFrame:
-    """(file, place, piece): the bytes before each `>`, in order within each byte range of a file; place is where the range begins."""
-    text = spark.read.option("lineSep", ">").text(path)
-    return text.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("place"), F.col("value").cast("binary").alias("piece"))
-
-
-def _ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[str, int], Iterator[list[bytes]]]]:
-    """Each (file, place) with its pieces, in lists of some thousand."""
-
-    def lists() -> Iterator[tuple[tuple[str, int], list[bytes]]]:
-        for batch in batches:
-            at = 0
-            while at < batch.num_rows:
-                key = (batch.column(0)[at].as_py(), batch.column(1)[at].as_py())
-                end = batch.num_rows
-                if (batch.column(0)[end - 1].as_py(), batch.column(1)[end - 1].as_py()) != key:  # another range begins in this batch
-                    files, places = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-                    end = next(i for i in range(at, end) if (files[i], places[i]) != key)
-                yield key, batch.column(2).slice(at, end - at).to_pylist()
-                at = end
-
-    for key, group in groupby(lists(), key=lambda x: x[0]):
-        yield key, (pieces for _, pieces in group)
-
-
 def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for (file, place), lists in _ranges(batches):
+    for (file, place), lists in ranges(batches):
         tail: list[bytes] = []
 
         def but_last(lists: Iterator[list[bytes]] = lists, tail: list[bytes] = tail) -> Iterator[bytes]:
-            for pieces in lists:
-                pieces = tail + pieces
-                tail[:] = [pieces.pop()]
-                if pieces:
-                    yield b">".join(pieces) + b">"
+            for some in lists:
+                some = tail + some
+                tail[:] = [some.pop()]
+                if some:
+                    yield b">".join(some) + b">"
 
         told = tokens.summed_up(but_last(), PARTY_TAG.encode())
         yield pa.RecordBatch.from_arrays([pa.array([file]), pa.array([place], pa.int64()), pa.array([told]), pa.array(tail, pa.binary())], ["file", "place", "told", "tail"])
@@ -192,9 +167,8 @@ def look_through(spark: SparkSession, path: str) -> Snapshots:
     type may be named but not defined. Prefixes need not be declared, and attributes may repeat outside elements that are
     parsed. Files without a byte are not listed.
     """
-    found = _pieces(spark, path).mapInArrow(_summaries, "file string, place long, told string, tail binary")
-    listed = spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("length"))
-    rows = listed.join(found, "file", "left").groupBy("file").applyInPandas(_joined, "file string, well_formed boolean, parties long, starts array<string>").collect()
+    found = pieces(spark, path, ">").mapInArrow(_summaries, "file string, place long, told string, tail binary")
+    rows = lengths(spark, path).join(found, "file", "left").groupBy("file").applyInPandas(_joined, "file string, well_formed boolean, parties long, starts array<string>").collect()
     starts = {(r.file, x["place"]): x for r in rows for x in map(tokens.json.loads, r.starts)}
     return Snapshots(path, [(r.file, r.well_formed, r.parties) for r in rows], starts)
 
@@ -204,15 +178,15 @@ def _cuttings(spark: SparkSession, seen: Snapshots) -> DataFrame:
     starts, pattern = seen.starts, tokens.marks(list(ELEMENTS))
 
     def cuttings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (file, place), lists in _ranges(batches):
+        for (file, place), lists in ranges(batches):
             start = starts.get((file, place)) or {"place": place, "state": tokens.TEXT, "rest": "", "offset": place, "target": None}
-            made = tokens.cut((b">".join(pieces) + b">" for pieces in lists), start, pattern)
+            made = tokens.cut((b">".join(x) + b">" for x in lists), start, pattern)
             while part := [x for _, x in zip(range(1000), made)]:  # noqa: B905  the first iterator ends first
                 pos, element, origin, fragment = zip(*part, strict=True)
                 n = len(part)
                 yield pa.RecordBatch.from_arrays([pa.array([file] * n), pa.array(pos, pa.int64()), pa.array(element), pa.array([place] * n, pa.int64()), pa.array(origin, pa.int64()), pa.array([f.decode("utf-8", "replace") for f in fragment])], ["snapshot_id", "pos", "element", "place", "origin", "fragment"])
 
-    return _pieces(spark, seen.paths).mapInArrow(cuttings, "snapshot_id string, pos long, element string, place long, origin long, fragment string")
+    return pieces(spark, seen.paths, ">").mapInArrow(cuttings, "snapshot_id string, pos long, element string, place long, origin long, fragment string")
 
 
 def _put_together(parts: DataFrame) -> DataFrame:

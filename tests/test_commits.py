@@ -51,7 +51,7 @@ def test_log(spark, tmp_path, monkeypatch):
     assert [r.n for r in book.read().where("who is null").orderBy("number").collect()] == list(range(0, 18, 2))
     assert seen.count() == 12 and sorted(r.n for r in seen.where("who is not null").collect()) == list(range(6))
     assert [n for n in log.names_in(spark, book.folder) if n.endswith(".table")] == [f"{n:020}.table" for n in (4, 8)]
-    assert len(book.read().inputFiles()) == 2
+    assert len(book.read().inputFiles()) == 1
     assert not log.created(spark, f"{book.folder}/{3:020}.json", "x") and book.read().count() == 18
     assert not [n for n in log.names_in(spark, book.folder) if n.startswith(".0")]
 
