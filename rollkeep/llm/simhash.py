@@ -191,8 +191,10 @@ def _dealt(fps: DataFrame, parts: int, block: int) -> DataFrame:
 def near_links(fps: DataFrame, budget: int = 2, block: int = 1_000) -> DataFrame:
     """Links (a, b) that join all values of fps (distinct fp: long) within budget differing bits of each other, directly or through others.
 
-    budget is at most 2.
+    budget is at most 2: with more, two values need not share two quarters, and the meeting would miss some.
     """
+    if budget > 2:
+        raise ValueError("the budget is 2 bits at most")
     return _dealt(fps, 4, block).mapInArrow(lambda it: _join(it, budget), "a long, b long")
 
 

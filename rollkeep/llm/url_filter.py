@@ -88,7 +88,7 @@ def judge(pages: DataFrame, rules: DataFrame, key: str = "page_id", url: str = "
     """key, host, path, rule and verdict of each page.
 
     A rule fits its host and all subdomains, if the path starts with the rule's; the longest (host and path
-    together, then the longer path) wins. Without a fitting rule, rule is null and verdict is `default`. A null
+    together; of equally long ones the one that sorts last) wins. Without a fitting rule, rule is null and verdict is `default`. A null
     url or one without :// has an empty host and path, which no rule fits. Repeated rows and null keys are
     judged one by one. An empty table gives no rows, no rules give the default.
     """

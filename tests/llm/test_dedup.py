@@ -348,3 +348,17 @@ def test_urls(spark):
     none = url_filter.judge(pages, spark.createDataFrame([], "host string, path string, verdict string"))
     assert {(r.rule, r.verdict) for r in none.collect()} == {(None, "allow")} and none.count() == len(urls)
     assert url_filter.judge(pages.limit(0), url_filter.rules_table(spark, rules)).count() == 0
+
+
+def test_simhash_budget(spark):
+    """More bits than the meeting under two quarters can find are refused."""
+    with pytest.raises(ValueError):
+        simhash.near_links(spark.createDataFrame([(1,), (8,)], "fp long"), budget=3)
+
+
+def test_url_rules_of_one_length(spark):
+    """Of rules of equal length that fit, the one that sorts last decides, wherever its path begins."""
+    rules = url_filter.rules_table(spark, [("b.com", "/xy", "block"), ("z.b.com", "/", "allow"), ("a.b.com", "/", "allow")])
+    pages = spark.createDataFrame([(1, "http://z.b.com/xy1"), (2, "http://a.b.com/xy1"), (3, "http://b.com/xy"), (4, None)], "page_id long, url string")
+    got = {r.page_id: (r.rule, r.verdict) for r in url_filter.judge(pages, rules).collect()}
+    assert got == {1: ("z.b.com/", "allow"), 2: ("b.com/xy", "block"), 3: ("b.com/xy", "block"), 4: (None, "allow")}
