@@ -16,9 +16,10 @@ from rollkeep import schemas
 from rollkeep.functions import scalar
 from rollkeep.operators import compare, counts, dedup, resolve, scope, search, shape, versions
 from rollkeep.plans import cycle
-from rollkeep.sources import files, index, xml
+from rollkeep.sources import chunks, files, index, mapping, xml
 from rollkeep.sources.scratch import shared_folder, stored
 from rollkeep.sources.store import Store
+from rollkeep.streaming import ingest, watch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -876,6 +877,108 @@ def json_arrays(read, spark):
     return files.read_json_arrays(read("events").select("event_id", given.alias("a")), {"a": "array<struct<k:int>>"}).select("event_id", F.size("a").cast("long").alias("n"))
 
 
+# --- whole paths: files, cycles, feeds ------------------------------------------------------------
+
+
+@query("select s_suppkey, cast(1950 + s_suppkey % 100 as int) as year, cast(1 + s_suppkey % 12 as int) as month, case when s_suppkey % 3 > 0 then cast(1 + s_suppkey % 28 as int) end as day from supplier")
+def xml_issued(read, spark):
+    """The date of issue of many snapshots, one file for each supplier; the last element counts, and a day may be missing."""
+    folder = f"{shared_folder(spark)}/xml-{uuid.uuid4().hex}"
+    k = F.col("s_suppkey")
+    part = lambda name, value: element(name, {}, value.cast("string"))
+    day = F.when(k % 3 > 0, part("Day", 1 + k % 28)).otherwise("")
+    issued = F.concat(element("DateOfIssue", {}, part("Year", F.lit(1))), element("DateOfIssue", {}, part("Year", 1950 + k % 100), part("Month", 1 + k % 12), day))
+    read("supplier").select("s_suppkey", element("Sanctions", {}, issued).alias("value")).write.partitionBy("s_suppkey").text(folder)
+    found = xml.read_sections(spark, folder)["issued"]
+    return found.select(F.regexp_extract("snapshot_id", r"s_suppkey=(\d+)/", 1).cast("long").alias("s_suppkey"), "year", "month", "day")
+
+
+@query("""select cast(c_custkey as varchar) as fixed_ref, c_name as primary_name, case c_custkey % 4 when 0 then 'Individual' else 'Entity' end as entity_type,
+case when c_custkey % 3 = 0 then c_mktsegment end as title, 'P' || c_nationkey || case when c_custkey % 5 = 0 then '|X' else '' end as programs from customer where c_custkey % 4 in (0, 1)""")
+def csv_mapping(read, spark):
+    """Customers as delimited party files, through the mapping's sections and the resolution that all sources share."""
+    folder = f"{shared_folder(spark)}/csv-{uuid.uuid4().hex}"
+    k = F.col("c_custkey")
+    quoted = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
+    kind = F.when(k % 4 == 0, '"individual"').when(k % 4 == 1, "-0- ").when(k % 4 == 2, '"vessel"').otherwise('"aircraft"')
+    programs = F.concat(F.lit("P"), "c_nationkey", F.when(k % 5 == 0, "] [X").otherwise(""))
+    fields = [k.cast("string"), quoted(F.col("c_name")), kind, quoted(programs), F.when(k % 3 == 0, quoted(F.col("c_mktsegment"))).otherwise("-0- "), *[F.lit("-0- ")] * 7]
+    read("customer").select(F.concat_ws(",", *fields)).write.text(folder)
+    records = resolve.resolve(mapping.check_sections(mapping.csv_sections(spark, folder)))[0]
+    return records.select("fixed_ref", "primary_name", "entity_type", "title", F.array_join("sanction_programs", "|").alias("programs"))
+
+
+@query("select s_suppkey, length(s_name) + 3 as length, sha256('<' || s_name || '>' || chr(10)) as sum, sha256('<' || s_name || '>' || chr(10)) as restored from supplier")
+def raw_chunks(read, spark):
+    """One file for each supplier, taken in as chunks of 8 bytes: the digests of the manifest, and of the bytes put together again."""
+    folder = f"{shared_folder(spark)}/raw-{uuid.uuid4().hex}"
+    read("supplier").select("s_suppkey", F.concat(F.lit("<"), "s_name", F.lit(">")).alias("value")).write.partitionBy("s_suppkey").text(f"{folder}/in")
+    held = chunks.take_in(spark, f"{folder}/in", folder, size=8)
+    whole = held.chunks.groupBy("path").agg(F.array_sort(F.collect_list(F.struct("number", "content"))).alias("parts"))
+    whole = whole.select("path", F.sha2(F.aggregate("parts", F.lit(b""), lambda now, x: F.concat(now, x.content)), 256).alias("restored"))
+    said = held.manifest.where(F.col("number") == chunks.WHOLE).join(whole, "path")
+    return said.select(F.regexp_extract("path", r"s_suppkey=(\d+)/", 1).cast("long").alias("s_suppkey"), "length", "sum", "restored")
+
+
+@query("""select cast(c_custkey as varchar) as fixed_ref, c_name as primary_name, case c_custkey % 3 when 0 then 'Individual' else 'Entity' end as entity_type, 'P' || c_nationkey as programs, '2026-08-20' as published
+from customer where c_custkey % 3 < 2""")
+def cycle_records(read, spark):
+    """Customers as one snapshot, through the whole cycle: what readers see of the active version."""
+    folder = f"{shared_folder(spark)}/cycle-{uuid.uuid4().hex}"
+    key, c = text("c_custkey"), read("customer")
+    kind = F.when(F.col("c_custkey") % 3 == 0, "4").when(F.col("c_custkey") % 3 == 1, "3").otherwise("1")
+    identity = element("Identity", {"ID": key}, element("Alias", {"AliasTypeID": F.lit("1"), "Primary": F.lit("true")}, one_name(F.col("c_name"))))
+    party = element("DistinctParty", {"FixedRef": key}, element("Profile", {"ID": key, "PartySubTypeID": kind}, identity))
+    entry = element("SanctionsEntry", {"ID": key, "ProfileID": key, "ListID": F.lit("1")}, element("SanctionsMeasure", {"SanctionsTypeID": F.lit("1")}, element("Comment", {}, F.concat(F.lit("P"), "c_nationkey"))))
+    day = "<DateOfIssue><Year>2026</Year><Month>8</Month><Day>20</Day></DateOfIssue>"
+    marks = ["<Sanctions>" + day + "<DistinctParties>", None, "</DistinctParties><SanctionsEntries>", None, "</SanctionsEntries></Sanctions>"]
+    lines = spark.createDataFrame([(k, m) for k, m in enumerate(marks) if m], "at int, value string")
+    lines = lines.unionByName(c.select(F.lit(1).alias("at"), party.alias("value"))).unionByName(c.select(F.lit(3).alias("at"), entry.alias("value")))
+    lines.coalesce(1).sortWithinPartitions("at").select("value").write.text(f"{folder}/in")
+    path = spark.read.text(f"{folder}/in").inputFiles()[0]
+    store = Store(spark, f"{folder}/store")
+    outcome = cycle.run_cycle(spark, store, "SDN", path, files.read_raw(spark, path).first().digest)
+    rows = store.current("SDN") if outcome.status == "ACTIVATED" else store.current("SDN").limit(0)
+    return rows.select("fixed_ref", "primary_name", "entity_type", F.array_join("sanction_programs", "|").alias("programs"), text("publish_date").alias("published"))
+
+
+@query("""select 'SDN-1' as batch, cast(c_custkey as varchar) as fixed_ref, 'ADDED' as change from customer union all
+select 'SDN-2', cast(c_custkey as varchar), case c_custkey % 10 when 0 then 'REMOVED' else 'MODIFIED' end from customer where c_custkey % 10 < 2 union all
+select 'SDN-3', cast(c_custkey as varchar), case c_custkey % 10 when 0 then 'ADDED' else 'MODIFIED' end from customer where c_custkey % 10 < 2""")
+def change_feed(read, spark):
+    """Two versions activated, and a rollback, each followed twice: what each activation changed stands in the feed once."""
+    folder = f"{shared_folder(spark)}/feed-{uuid.uuid4().hex}"
+    store, rows, k = Store(spark, f"{folder}/store"), records_of(read), F.col("fixed_ref").cast("long") % 10
+    new = rows.where(k != 0).withColumn("primary_name", F.concat("primary_name", F.when(k == 1, " II").otherwise("")))
+    for digest, version in (("a", rows), ("b", new), (None, None)):
+        if digest:
+            store.put_isolated(version, **STORED, digest=digest, counts={"record_count": 0, "out_of_scope_count": 0, "expected_count": 0}, raw_path="-")
+            store.activate(**STORED, digest=digest)
+        else:
+            store.rollback("SDN")
+        for _ in range(2):
+            ingest.append_changes(store, "SDN", f"{folder}/feed")
+    return spark.read.parquet(f"{folder}/feed").select("batch", "fixed_ref", "change")
+
+
+@query("""select cast(doc_id as varchar) as id, lower(n_name) as needle, case when n_nationkey < 12 then 1 else 2 end as seq from documents join nation on contains(lower(text), lower(n_name))""")
+def watch_hits(read, spark):
+    """Texts taken in two batches, one of them twice, against a list that grows after: each hit once, with the activation that brought it."""
+    folder = f"{shared_folder(spark)}/watch-{uuid.uuid4().hex}"
+    store, empty = Store(spark, f"{folder}/store"), {f.split(" ")[0]: f.split(" ", 1)[1] for f in schemas.top_level(schemas.RECORD_FIELDS)}
+    held = watch.Watch(store, "SDN", folder)
+    names = read("nation").select(text("n_nationkey").alias("fixed_ref"), F.col("n_name").alias("primary_name"))
+    names = names.withColumns({c: F.lit(None).cast(kind) for c, kind in empty.items() if c not in names.columns})
+    for digest, rows in (("a", names.where("fixed_ref < 12")), ("b", names)):
+        store.put_isolated(rows, **STORED, digest=digest, counts={"record_count": 0, "out_of_scope_count": 0, "expected_count": 0}, raw_path="-")
+    store.activate(**STORED, digest="a")
+    for part in (0, 1, 0):
+        held.take(read("documents").where(F.col("doc_id") % 2 == part), "doc_id", "text", f"part-{part}")
+    store.activate(**STORED, digest="b")
+    held.catch_up()
+    return held.hits()
+
+
 def flagship(spark: SparkSession, folder: str) -> DataFrame:
     """Which parties in scope match a name: parsed from XML, named, deduplicated, searched."""
     read = lambda table: spark.read.parquet(f"{folder}/{table}.parquet")
