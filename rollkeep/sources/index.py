@@ -1,7 +1,7 @@
 """Records in key order with posting lists of their names' grams: pages and contains searches that read little.
 
 Records stand in files by range of their key, and a small table of contents tells how many each holds, so a page opens the
-files that it shows. A posting list names, for a gram and a file, the keys of the records whose names hold the gram; lists
+files that it shows, and a comparison of two versions those that differ. A posting list names, for a gram and a file, the keys of the records whose names hold the gram; lists
 are dealt to buckets by gram. A search reads the lists of its grams, intersects them file by file, and looks at those
 records alone.
 """
@@ -11,11 +11,14 @@ from __future__ import annotations
 import json
 import zlib
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from rollkeep.functions.scalar import name_matches
+from rollkeep.operators.compare import diff, record_hash
 from rollkeep.operators.search import confirmed, met_needles, words_of
 from rollkeep.sources.log import content_of, created, exists, names_in, put_batch
 from rollkeep.sources.scratch import stored
@@ -42,26 +45,48 @@ def buckets_of(words: list[str], buckets: int) -> list[int]:
 def write(records: DataFrame, folder: str, key: str = "fixed_ref") -> int:
     """Write records (key: text, not null; primary_name_lower, alias_search and any others) with their index; returns their number.
 
-    Records that share a key stay together. Null names have no grams. An empty table gives an empty index.
+    Files are cut before keys whose hash says so, so that the same keys are cut alike in every version, and each file has a
+    digest of its records that does not depend on their order: files that are equal in two versions are known without a
+    look at them. Records that share a key stay together. Null names have no grams. An empty table gives an empty index.
     """
     spark = records.sparkSession
     n = records.count()
-    files = max(1, -(-n // IN_FILE))
-    placed = records.repartitionByRange(files, key).sortWithinPartitions(key).withColumn("part", F.spark_partition_id())
-    placed.write.partitionBy("part").parquet(f"{folder}/table=rows")
+    cuts = [r[0] for r in records.where(F.pmod(F.crc32(key), F.lit(IN_FILE)) == 0).select(key).distinct().orderBy(key).collect()]  # one for each file but the first
+    known = np.array(cuts, object)
+    part_of = F.pandas_udf(lambda keys: pd.Series(np.searchsorted(known, keys.to_numpy(object), "right"), dtype="int32"), "int")
+    # text is ordered by code point here and by UTF-8 byte in Spark, which is the same
+    placed = records.withColumn("part", part_of(key) if cuts else F.lit(0))
+    placed.repartition("part").sortWithinPartitions("part", key).write.partitionBy("part").parquet(f"{folder}/table=rows")
     if n:
         rows = spark.read.parquet(f"{folder}/table=rows")
-        contents = rows.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("first"), F.max(key).alias("last")).orderBy("part").collect()  # one row for each file
+        columns = sorted(c for c in records.columns if c != key)
+        one = F.concat_ws("-", F.col(key), record_hash(columns))
+        digest = F.concat_ws("-", *[F.sum(F.xxhash64(one, F.lit(k)).cast("decimal(38,0)")).cast("string") for k in range(2)])
+        contents = rows.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("first"), F.max(key).alias("last"), digest.alias("digest")).orderBy("part").collect()  # one row for each file
         held = rows.select(F.col("part").alias("file"), F.col(key).alias("key"), F.explode(F.array_distinct(F.concat(*[F.coalesce(grams(F.col(c)), F.array().cast("array<string>")) for c in ("primary_name_lower", "alias_search")]))).alias("gram"))
         buckets = max(1, -(-n // IN_BUCKET))
         lists = held.groupBy("gram", "file").agg(F.collect_set("key").alias("keys")).withColumn("part", F.pmod(F.crc32("gram"), F.lit(buckets)).cast("int"))
         lists.repartition(buckets, "part").sortWithinPartitions("part", "gram").write.partitionBy("part").parquet(f"{folder}/table=grams")
     else:
         contents, buckets = [], 1
-    created(spark, f"{folder}/_contents.json", json.dumps({"key": key, "buckets": buckets, "schema": records.schema.json(), "files": [[r.part, r.n, r["first"], r["last"]] for r in contents]}))
+    about = {"key": key, "buckets": buckets, "schema": records.schema.json(), "files": [[r.part, r.n, r["first"], r["last"], cuts[r.part - 1] if r.part else None, r.digest] for r in contents]}
+    created(spark, f"{folder}/_contents.json", json.dumps(about))
     return n
 
 
+def differing(old: Index, new: Index) -> tuple[list[int], list[int]]:
+    """The files of two indexes that are not equal in both: cut at the same key, with as many records and the same digest."""
+    told = [{(cut, n, digest): file for file, n, _, _, cut, digest in x.files} for x in (old, new)]
+    return tuple(sorted(file for about, file in mine.items() if about not in other) for mine, other in (told, told[::-1]))
+
+
+def changes(old: Index, new: Index) -> DataFrame:
+    """(key, change) as operators.compare.diff gives them for all records of two versions, from the files that are not equal in both."""
+    mine, yours = differing(old, new)
+    columns = sorted(c for c in new.schema.names if c != new.key)
+    return diff(old.rows(mine).drop("part"), new.rows(yours).drop("part"), new.key, columns)
+
+
 class Index:
     """What write has written, opened."""
 
@@ -77,12 +102,12 @@ class Index:
         return found if files is None else found.where(F.col("part").isin(files))
 
     def total(self) -> int:
-        return sum(n for _, n, _, _ in self.files)
+        return sum(n for _, n, *_ in self.files)
 
     def page(self, offset: int, limit: int) -> DataFrame:
         """A page of all records in the text order of the key: from the files that hold it, however deep it is."""
         shown, before, skipped = [], 0, 0
-        for file, n, _, _ in self.files:
+        for file, n, *_ in self.files:
             if before + n <= offset:
                 skipped = before + n
             elif before < offset + limit:
@@ -93,7 +118,7 @@ class Index:
     def page_after(self, last: str | None, limit: int) -> DataFrame:
         """The page after a key."""
         shown, held = [], 0
-        for file, n, first, end in self.files:
+        for file, n, first, end, *_ in self.files:
             if (last is None or end > last) and held < limit:
                 shown.append(file)
                 held += n if last is None or first > last else 0

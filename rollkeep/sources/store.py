@@ -20,7 +20,7 @@ from rollkeep.operators.scope import check_source_list
 from rollkeep.operators.search import with_search_columns
 from rollkeep.sources import chunks
 from rollkeep.sources.files import land
-from rollkeep.sources.index import Index, write
+from rollkeep.sources.index import Index, changes, write
 from rollkeep.sources.log import Log, exists, names_in
 
 KEY = ["source_list", "publish_date", "digest"]
@@ -64,6 +64,14 @@ class Store:
         row = self._one(self._versions.read(), source_list, publish_date, digest).select("attempt").first()
         return Index(self.spark, self._folder(source_list, publish_date, digest, row.attempt)) if row else None
 
+    def changes(self, source_list: str, old: tuple[date, str] | None, new: tuple[date, str]) -> DataFrame:
+        """(fixed_ref, change) between two versions (publish_date, digest) of a list, from the files that differ; without an old one all records are ADDED."""
+        after = self._index(source_list, *new)
+        before = self._index(source_list, *old) if old else None
+        if before is None:
+            return after.rows().select("fixed_ref", F.lit("ADDED").alias("change"))
+        return changes(before, after)
+
     def index(self, source_list: str) -> Index | None:
         """The CURRENT version of a list at the time of the call, opened for pages and searches; None if there is none."""
         now = v.pointer(self.activations().where(F.col("source_list") == check_source_list(source_list)), "CURRENT").first()

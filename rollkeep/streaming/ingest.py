@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from rollkeep.operators.compare import diff
 from rollkeep.operators.search import screen
 from rollkeep.plans.cycle import tick
 from rollkeep.schemas import MANIFEST
@@ -80,11 +79,7 @@ def append_changes(store: Store, source_list: str, out: str, seq: int | None = N
     two = rows.orderBy(F.col("seq").desc()).limit(2).collect()
     if not two or (seq is not None and two[0].seq != seq):
         return False
-    pick = lambda r: store.version_records(source_list, r.publish_date, r.digest)
-    new = pick(two[0])
-    old = pick(two[1]) if len(two) > 1 else new.limit(0)
-    columns = sorted(c for c in new.columns if c not in ("fixed_ref", "source_list", "publish_date", "digest"))
-    found = diff(old, new, "fixed_ref", columns)
+    found = store.changes(source_list, (two[1].publish_date, two[1].digest) if len(two) > 1 else None, (two[0].publish_date, two[0].digest))
     found = found.withColumns({"source_list": F.lit(source_list), "publish_date": F.lit(two[0].publish_date), "digest": F.lit(two[0].digest)})
     return put_batch(found, out, f"{source_list}-{two[0].seq}")
 

@@ -2,11 +2,12 @@
 
 import random
 import re
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
 
-from rollkeep.operators import search
+from rollkeep.operators import compare, search
 from rollkeep.sources import index, log
 from rollkeep.sources.store import Store
 from test_commits import DAY, put
@@ -69,6 +70,24 @@ def test_search_reads_little(spark, names, tmp_path, monkeypatch):
     assert plan.count("FileScan") == 1
 
 
+def test_changes_read_what_differs(spark, names, tmp_path, monkeypatch):
+    """One record that is changed, one that is gone, and one that is new among many: the files around them alone are opened, and the rows are those of a whole comparison."""
+    monkeypatch.setattr(index, "IN_FILE", 50)
+    rows = search.with_search_columns(spark.createDataFrame([n for n in names if n[0] != "0007" or n[1] == "Zwei"], SCHEMA))
+    cut = next(r.fixed_ref for r in rows.orderBy("fixed_ref").offset(400).collect() if zlib.crc32(r.fixed_ref.encode()) % 50 == 0)  # a key that files are cut before
+    new = rows.where(F.col("fixed_ref") != cut).withColumn("primary_name", F.when(F.col("fixed_ref") == "0100", "changed").otherwise(F.col("primary_name")))
+    new = new.unionByName(rows.where("fixed_ref = '0100'").withColumn("fixed_ref", F.lit("0777x")))
+    for name, version in (("old", rows), ("new", new.orderBy(F.rand(3)).repartition(5)), ("same", rows.orderBy(F.rand(4)))):
+        index.write(version, str(tmp_path / name))
+    old, new_, same = (index.Index(spark, str(tmp_path / n)) for n in ("old", "new", "same"))
+    mine, yours = index.differing(old, new_)
+    assert len(old.files) > 8 and 0 < len(mine) <= 4 and 0 < len(yours) <= 3 and index.differing(old, same) == ([], [])
+    got = sorted((r.fixed_ref, r.change) for r in index.changes(old, new_).collect())
+    assert got == sorted([("0100", "MODIFIED"), ("0777x", "ADDED"), (cut, "REMOVED")])
+    assert got == sorted((r.fixed_ref, r.change) for r in compare.diff(rows, new).collect())
+    assert index.changes(old, same).count() == 0
+
+
 def test_empty_index(spark, tmp_path):
     rows = search.with_search_columns(spark.createDataFrame([], SCHEMA))
     assert index.write(rows, str(tmp_path / "i")) == 0
