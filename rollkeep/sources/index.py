@@ -31,10 +31,10 @@ GIVEN = 1_000
 
 
 def grams(text: Column) -> Column:
-    """The distinct grams of a text; a shorter text is one gram, an empty one none."""
+    """The distinct grams of a text, in one walk over it; a shorter text is one gram, an empty one none."""
     n = F.length(text)
-    places = F.when(n >= GRAM, F.sequence(F.lit(1), n - GRAM + 1)).when(n > 0, F.array(F.lit(1))).otherwise(F.array().cast("array<int>"))
-    return F.array_distinct(F.transform(places, lambda i: F.substring(text, i, F.lit(GRAM))))
+    every = F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{GRAM}}}))"), F.lit(1))
+    return F.array_distinct(F.when(n >= GRAM, every).when(n > 0, F.array(text)).otherwise(F.array().cast("array<string>")))
 
 
 def buckets_of(words: list[str], buckets: int) -> list[int]:
@@ -50,25 +50,23 @@ def write(records: DataFrame, folder: str, key: str = "fixed_ref") -> int:
     look at them. Records that share a key stay together. Null names have no grams. An empty table gives an empty index.
     """
     spark = records.sparkSession
-    n = records.count()
     cuts = [r[0] for r in records.where(F.pmod(F.crc32(key), F.lit(IN_FILE)) == 0).select(key).distinct().orderBy(key).collect()]  # one for each file but the first
     known = np.array(cuts, object)
     part_of = F.pandas_udf(lambda keys: pd.Series(np.searchsorted(known, keys.to_numpy(object), "right"), dtype="int32"), "int")
     # text is ordered by code point here and by UTF-8 byte in Spark, which is the same
     placed = records.withColumn("part", part_of(key) if cuts else F.lit(0))
     placed.repartition("part").sortWithinPartitions("part", key).write.partitionBy("part").parquet(f"{folder}/table=rows")
+    rows = spark.read.schema(StructType([*records.schema.fields, StructField("part", IntegerType())])).parquet(f"{folder}/table=rows")
+    columns = sorted(c for c in records.columns if c != key)
+    one = F.concat_ws("-", F.col(key), record_hash(columns))
+    digest = F.concat_ws("-", *[F.sum(F.xxhash64(one, F.lit(k)).cast("decimal(38,0)")).cast("string") for k in range(2)])
+    contents = rows.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("first"), F.max(key).alias("last"), digest.alias("digest")).orderBy("part").collect()  # one row for each file
+    n = sum(r.n for r in contents)
+    buckets = max(1, -(-n // IN_BUCKET))
     if n:
-        rows = spark.read.parquet(f"{folder}/table=rows")
-        columns = sorted(c for c in records.columns if c != key)
-        one = F.concat_ws("-", F.col(key), record_hash(columns))
-        digest = F.concat_ws("-", *[F.sum(F.xxhash64(one, F.lit(k)).cast("decimal(38,0)")).cast("string") for k in range(2)])
-        contents = rows.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("first"), F.max(key).alias("last"), digest.alias("digest")).orderBy("part").collect()  # one row for each file
         held = rows.select(F.col("part").alias("file"), F.col(key).alias("key"), F.explode(F.array_distinct(F.concat(*[F.coalesce(grams(F.col(c)), F.array().cast("array<string>")) for c in ("primary_name_lower", "alias_search")]))).alias("gram"))
-        buckets = max(1, -(-n // IN_BUCKET))
         lists = held.groupBy("gram", "file").agg(F.collect_set("key").alias("keys")).withColumn("part", F.pmod(F.crc32("gram"), F.lit(buckets)).cast("int"))
         lists.repartition(buckets, "part").sortWithinPartitions("part", "gram").write.partitionBy("part").parquet(f"{folder}/table=grams")
-    else:
-        contents, buckets = [], 1
     about = {"key": key, "buckets": buckets, "schema": records.schema.json(), "files": [[r.part, r.n, r["first"], r["last"], cuts[r.part - 1] if r.part else None, r.digest] for r in contents]}
     created(spark, f"{folder}/_contents.json", json.dumps(about))
     return n
