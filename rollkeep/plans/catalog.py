@@ -937,7 +937,7 @@ def cycle_records(read, spark):
     lines.coalesce(1).sortWithinPartitions("at").select("value").write.text(f"{folder}/in")
     path = spark.read.text(f"{folder}/in").inputFiles()[0]
     store = Store(spark, f"{folder}/store")
-    outcome = cycle.run_cycle(spark, store, "SDN", path, files.read_raw(spark, path).first().digest)
+    outcome = cycle.run_cycle(spark, store, "SDN", path, chunks.digest_of(spark, path))
     rows = store.current("SDN") if outcome.status == "ACTIVATED" else store.current("SDN").limit(0)
     return rows.select("fixed_ref", "primary_name", "entity_type", F.array_join("sanction_programs", "|").alias("programs"), text("publish_date").alias("published"))
 

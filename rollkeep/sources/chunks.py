@@ -10,6 +10,7 @@ from __future__ import annotations
 import hashlib
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollkeep.sources.log import exists, moved
-from rollkeep.sources.pieces import lengths, pieces, ranges
+from rollkeep.sources.pieces import pieces, ranges
 
 SIZE = 1 << 22
 #: Bytes that pass to a Python worker at once.
@@ -40,21 +41,21 @@ class Held(NamedTuple):
 def chunks_of(spark: SparkSession, path: str, sep: str = ">", size: int = SIZE) -> DataFrame:
     """(path, number, content): the bytes of each file, `size` in each chunk but the last. sep: a byte that files hold often."""
     rows = pieces(spark, path, sep)
-    counted = rows.groupBy("file", "place").agg(F.sum(F.octet_length("piece") + 1).alias("n")).join(lengths(spark, path), "file").collect()  # one row for each range
-    starts: dict[tuple[str, int], tuple[int, bool, bool]] = {}
-    for file in {r.file for r in counted}:
-        own = sorted((r for r in counted if r.file == file), key=lambda r: r.place)
-        total, length = sum(r.n for r in own), own[0].length
-        mark = total + len(MARK) in (length, length + 1)  # the reader drops a byte order mark
-        at = len(MARK) if mark else 0
-        for k, r in enumerate(own):
-            starts[file, r.place] = (at, mark and k == 0, k + 1 == len(own) and at + r.n > length)
-            at += r.n
+    counted = rows.groupBy("file", "place", "length").agg(F.sum(F.octet_length("piece") + 1).alias("n"))
+    counted = counted.groupBy("file", "length").agg(F.sum("n").alias("total"), F.array_sort(F.collect_list(F.struct("place", "n"))).alias("own"))
+    marked = (F.col("total") + len(MARK)).isin(F.col("length"), F.col("length") + 1)  # the reader drops a byte order mark
+    told = counted.where(marked | (F.size("own") > 1)).select("file", marked.alias("mark"), "own").collect()  # files of one range without a mark begin at 0
+    starts: dict[tuple[str, int], tuple[int, bool]] = {}
+    for r in told:
+        at = len(MARK) if r.mark else 0
+        for k, x in enumerate(r.own):
+            starts[r.file, x.place] = (at, r.mark and k == 0)
+            at += x.n
     end = sep.encode()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (file, place), lists in ranges(batches):
-            at, mark, less = starts[file, place]
+        for (file, place, length), lists in ranges(batches):
+            at, mark = starts.get((file, place), (0, False))
             held = MARK if mark else b""
             at -= len(held)
 
@@ -67,7 +68,7 @@ def chunks_of(spark: SparkSession, path: str, sep: str = ">", size: int = SIZE)
                     room = size - at % size
                     yield part(held[:room], at)
                     at, held = at + room, held[room:]
-            held = held[:-1] if less else held
+            held = held[:-1] if at + len(held) > length else held  # the last piece of a file may lack its sep
             if held:
                 yield part(held, at)
 
@@ -100,17 +101,31 @@ def manifest_of(chunks: DataFrame) -> DataFrame:
     return chunks.repartition("path").sortWithinPartitions("path", "number").select("path", "number", "content").mapInArrow(hashed, MANIFEST)
 
 
-def take_in(spark: SparkSession, path: str, folder: str, sep: str = ">", size: int = SIZE) -> Held:
-    """Write the chunks of files aside within folder, and the manifest of what is stored there."""
-    aside = f"{folder}/_aside-{uuid.uuid4().hex}"
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs started within pass AT_ONCE bytes at a time to Python workers."""
     kept = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(AT_ONCE))
     try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", kept)
+
+
+def digest_of(spark: SparkSession, path: str, sep: str = ">") -> str | None:
+    """The SHA-256 of the one file at path, which passes its task in chunks; null if it holds no byte."""
+    with small_batches(spark):
+        whole = manifest_of(chunks_of(spark, path, sep)).where(F.col("number") == WHOLE).select("sum").first()
+    return whole and whole["sum"]
+
+
+def take_in(spark: SparkSession, path: str, folder: str, sep: str = ">", size: int = SIZE) -> Held:
+    """Write the chunks of files aside within folder, and the manifest of what is stored there."""
+    aside = f"{folder}/_aside-{uuid.uuid4().hex}"
+    with small_batches(spark):
         chunks_of(spark, path, sep, size).write.parquet(f"{aside}/table=chunks")
         stored = spark.read.schema(CHUNK).parquet(f"{aside}/table=chunks")
         manifest_of(stored).write.parquet(f"{aside}/table=manifest")
-    finally:
-        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", kept)
     return Held(aside, stored, spark.read.schema(MANIFEST).parquet(f"{aside}/table=manifest"))
 
 

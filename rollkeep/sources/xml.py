@@ -138,7 +138,7 @@ class Snapshots(NamedTuple):
 
 
 def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for (file, place), lists in ranges(batches):
+    for (file, place, _), lists in ranges(batches):
         tail: list[bytes] = []
 
         def but_last(lists: Iterator[list[bytes]] = lists, tail: list[bytes] = tail) -> Iterator[bytes]:
@@ -178,7 +178,7 @@ def _cuttings(spark: SparkSession, seen: Snapshots) -> DataFrame:
     starts, pattern = seen.starts, tokens.marks(list(ELEMENTS))
 
     def cuttings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (file, place), lists in ranges(batches):
+        for (file, place, _), lists in ranges(batches):
             start = starts.get((file, place)) or {"place": place, "state": tokens.TEXT, "rest": "", "offset": place, "target": None}
             made = tokens.cut((b">".join(x) + b">" for x in lists), start, pattern)
             while part := [x for _, x in zip(range(1000), made)]:  # noqa: B905  the first iterator ends first

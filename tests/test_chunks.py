@@ -89,3 +89,10 @@ def test_cycle_keeps_chunks(spark, tmp_path, monkeypatch):
     assert [(r.number, r.why) for r in store.changed_chunks(store.versions()).collect()] == [(2, "CHANGED")]
     assert [(r.digest, r.ok) for r in store.check_cold("SDN").collect()] == [(sha(texts[0]), False)]
     assert not store.activate("SDN", out[0].publish_date, sha(texts[0])) and store.activate("SDN", out[1].publish_date, sha(texts[1]))
+
+
+def test_digest_without_content(spark, tmp_path):
+    """The digest of a file is taken in chunks by a task; the driver gets the digest alone."""
+    for name, data in CASES.items():
+        (tmp_path / name).write_bytes(data)
+        assert chunks.digest_of(spark, str(tmp_path / name)) == hashlib.sha256(data).hexdigest(), name
