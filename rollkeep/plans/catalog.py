@@ -42,6 +42,11 @@ def text(column: str) -> Column:
     return F.col(column).cast("string")
 
 
+def dealt(rows: DataFrame, key: str) -> DataFrame:
+    """rows dealt by a key over all tasks: a table of few bytes is read by one, which then does all the work on it."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 # --- parties in scope ---------------------------------------------------------------------------
 
 PARTIES_SQL = """
@@ -912,7 +917,7 @@ def csv_mapping(read, spark):
 def raw_chunks(read, spark):
     """One file for each supplier, taken in as chunks of 8 bytes: the digests of the manifest, and of the bytes put together again."""
     folder = f"{shared_folder(spark)}/raw-{uuid.uuid4().hex}"
-    read("supplier").select("s_suppkey", F.concat(F.lit("<"), "s_name", F.lit(">")).alias("value")).write.partitionBy("s_suppkey").text(f"{folder}/in")
+    dealt(read("supplier").select("s_suppkey", F.concat(F.lit("<"), "s_name", F.lit(">")).alias("value")), "s_suppkey").write.partitionBy("s_suppkey").text(f"{folder}/in")
     held = chunks.take_in(spark, f"{folder}/in", folder, size=8)
     whole = held.chunks.groupBy("path").agg(F.array_sort(F.collect_list(F.struct("number", "content"))).alias("parts"))
     whole = whole.select("path", F.sha2(F.aggregate("parts", F.lit(b""), lambda now, x: F.concat(now, x.content)), 256).alias("restored"))

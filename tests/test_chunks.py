@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from rollkeep.plans import catalog
 from rollkeep.plans.cycle import run_cycle
 from rollkeep.sources import chunks
 from rollkeep.sources.store import Store
@@ -96,3 +97,10 @@ def test_digest_without_content(spark, tmp_path):
     for name, data in CASES.items():
         (tmp_path / name).write_bytes(data)
         assert chunks.digest_of(spark, str(tmp_path / name)) == hashlib.sha256(data).hexdigest(), name
+
+
+def test_files_of_many_keys_are_written_by_many_tasks(spark):
+    """Rows of a table that one task reads are dealt over all before each becomes a file."""
+    rows = spark.range(0, 400, 1, 1).withColumnRenamed("id", "s_suppkey")
+    own = catalog.dealt(rows, "s_suppkey").groupBy(F.spark_partition_id()).count().collect()
+    assert len(own) > 1 and max(r["count"] for r in own) < 400
