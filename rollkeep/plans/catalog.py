@@ -893,7 +893,7 @@ def xml_issued(read, spark):
     part = lambda name, value: element(name, {}, value.cast("string"))
     day = F.when(k % 3 > 0, part("Day", 1 + k % 28)).otherwise("")
     issued = F.concat(element("DateOfIssue", {}, part("Year", F.lit(1))), element("DateOfIssue", {}, part("Year", 1950 + k % 100), part("Month", 1 + k % 12), day))
-    read("supplier").select("s_suppkey", element("Sanctions", {}, issued).alias("value")).write.partitionBy("s_suppkey").text(folder)
+    dealt(read("supplier").select("s_suppkey", element("Sanctions", {}, issued).alias("value")), "s_suppkey").write.partitionBy("s_suppkey").text(folder)
     found = xml.read_sections(spark, folder)["issued"]
     return found.select(F.regexp_extract("snapshot_id", r"s_suppkey=(\d+)/", 1).cast("long").alias("s_suppkey"), "year", "month", "day")
 

@@ -8,9 +8,9 @@ second cuts the elements out, and each is parsed by itself. Elements that go ove
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
 from typing import NamedTuple
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -152,23 +152,29 @@ def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([file]), pa.array([place], pa.int64()), pa.array([told]), pa.array(tail, pa.binary())], ["file", "place", "told", "tail"])
 
 
-def _joined(rows: pd.DataFrame) -> pd.DataFrame:
-    """The verdict and the range starts of one file."""
-    rows = rows.sort_values("place")
-    blocks = [(int(p), t, bytes(x)) for p, t, x in zip(rows["place"], rows["told"], rows["tail"], strict=True) if t is not None] if rows["told"].notna().any() else []
-    starts, fine, count = tokens.joined(blocks, int(rows["length"].iloc[0]), PARTY_TAG, set(ELEMENTS))
-    return pd.DataFrame({"file": [rows["file"].iloc[0]], "well_formed": [fine and bool(blocks)], "parties": [count], "starts": [[tokens.json.dumps(s) for s in starts]]})
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The verdict and the range starts of each file, of its ranges in order. A file of one range begins as all do, and has no start."""
+    rows = (r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True))
+    made = ((file, list(own)) for file, own in groupby(rows, key=lambda r: r[0]))
+    while part := [x for _, x in zip(range(1000), made)]:  # noqa: B905  the first iterator ends first
+        out = []
+        for file, own in part:
+            blocks = [(place, told, tail) for _, _, place, told, tail in own if told is not None]
+            starts, fine, count = tokens.joined(blocks, own[0][1], PARTY_TAG, set(ELEMENTS))
+            out.append((file, fine and bool(blocks), count, [tokens.json.dumps(s) for s in starts if len(own) > 1]))
+        yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*out, strict=True), (pa.string(), pa.bool_(), pa.int64(), pa.list_(pa.string())), strict=True)], ["file", "well_formed", "parties", "starts"])
 
 
 def look_through(spark: SparkSession, path: str) -> Snapshots:
-    """The first walk over the files of a path. The driver sees one small row for each byte range.
+    """The first walk over the files of a path. The driver sees one small row for each file, and for each byte range of files with more than one.
 
     A file is well-formed if its tags nest under one root, its text holds no stray `<` or `&`, and it is UTF-8. A document
     type may be named but not defined. Prefixes need not be declared, and attributes may repeat outside elements that are
     parsed. Files without a byte are not listed.
     """
     found = pieces(spark, path, ">").mapInArrow(_summaries, "file string, place long, told string, tail binary")
-    rows = lengths(spark, path).join(found, "file", "left").groupBy("file").applyInPandas(_joined, "file string, well_formed boolean, parties long, starts array<string>").collect()
+    rows = lengths(spark, path).join(found, "file", "left").select("file", "length", "place", "told", "tail").repartition("file").sortWithinPartitions("file", "place")
+    rows = rows.mapInArrow(_joined, "file string, well_formed boolean, parties long, starts array<string>").collect()
     starts = {(r.file, x["place"]): x for r in rows for x in map(tokens.json.loads, r.starts)}
     return Snapshots(path, [(r.file, r.well_formed, r.parties) for r in rows], starts)
 

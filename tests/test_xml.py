@@ -4,12 +4,14 @@ import hashlib
 import random
 import xml.etree.ElementTree as ElementTree
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from rollkeep.plans.cycle import run_cycle
 from rollkeep.sources import tokens, xml
 from rollkeep.sources.mapping import XML_MAPPING
+from rollkeep.sources.pieces import ranges
 from rollkeep.sources.store import Store
 from test_snapshots import XML, landed
 
@@ -159,3 +161,16 @@ def test_faults(spark, tmp_path, narrow):
     assert XML_MAPPING.read(spark, str(tmp_path / "none.xml"))[1] == "MALFORMED_XML"
     less = parsed.where(~((F.col("element") == "DistinctParty") & (F.col("x_DistinctParty.fixed_ref") == "40")))
     assert {k.rpartition("/")[2]: v for k, v in xml.faults(less, files).items()}["good.xml"] == "LOST"
+
+
+def test_many_small_files(spark, tmp_path):
+    """Files of one range leave nothing with the driver, their ranges are told apart within a batch, and bytes and dates come back."""
+    for k in range(60):
+        (tmp_path / f"{k}.xml").write_text(f"<S><DateOfIssue><Year>{1900 + k}</Year></DateOfIssue></S>\n")
+    seen = xml.look_through(spark, str(tmp_path))
+    assert not seen.starts and len(seen.files) == 60 and all(fine for _, fine, _ in seen.files)
+    assert sorted(r.year for r in xml.read_sections(spark, str(tmp_path))["issued"].collect()) == list(range(1900, 1960))
+    column = lambda *v: pa.array(v)
+    batch = pa.RecordBatch.from_arrays([column("a", "a", "b", "b", "b"), column(0, 9, 9, 9, 0), column(1, 1, 2, 2, 2), column(b"1", b"2", b"3", b"4", b"5")], ["file", "place", "length", "piece"])
+    got = [(key, [x for some in lists for x in some]) for key, lists in ranges(iter([batch]))]
+    assert got == [(("a", 0, 1), [b"1"]), (("a", 9, 1), [b"2"]), (("b", 9, 2), [b"3", b"4"]), (("b", 0, 2), [b"5"])]
