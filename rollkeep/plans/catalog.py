@@ -420,6 +420,7 @@ def related(read) -> tuple[DataFrame, DataFrame]:
     everyone = people.unionByName(read("part").where("p_partkey % 10 <> 0").select(s, (F.col("p_partkey") + 1_000_000_000).alias("pos"), text("p_partkey").alias("fixed_ref"), F.concat(F.lit("p"), "p_partkey").alias("profile_id")))
     links = read("lineitem").select(s, (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("pos"), F.lit("").alias("id"), F.concat(F.lit("s"), "l_suppkey").alias("from_profile_id"), F.concat(F.lit("p"), "l_partkey").alias("to_profile_id"), F.col("l_returnflag").alias("relation_type_id"))
     flags = read("lineitem").select("l_returnflag").distinct().where("l_returnflag <> 'N'").select(s, F.lit("RelationType").alias("kind"), F.col("l_returnflag").alias("id"), F.concat(F.lit("rel "), "l_returnflag").alias("label"))
+    flags = stored(flags)  # of known size, so it goes to the links; else these are shuffled by a key of few values
     return resolve.resolve_relationships(people, everyone, links, flags)
 
 
