@@ -118,7 +118,7 @@ def party_fragments(read) -> DataFrame:
 
 
 def party_rows(read) -> DataFrame:
-    rows = party_fragments(read).select("pos", xml.parse(F.col("fragment"), xml.PARTY).alias("x"))
+    rows = dealt(party_fragments(read), "pos").select("pos", xml.parse(F.col("fragment"), xml.PARTY).alias("x"))
     return rows.select(F.lit("s").alias("snapshot_id"), "pos", *xml.party_columns(F.col("x")))
 
 
@@ -132,8 +132,8 @@ def xml_roundtrip(read, spark):
   case when c_custkey % 3 = 0 then 'A.K.A.' end as alias_type, false as is_primary
 from customer join nation on c_nationkey = n_nationkey""")
 def xml_names(read, spark):
-    labels = spark.createDataFrame([("s", "AliasType", "1400", "A.K.A.")], "snapshot_id string, kind string, id string, label string")
-    rows = party_rows(read)
+    labels = stored(spark.createDataFrame([("s", "AliasType", "1400", "A.K.A.")], "snapshot_id string, kind string, id string, label string"))  # of known size, so it goes to the names
+    rows = stored(party_rows(read))  # read twice, parsed once
     named = resolve.resolve_names(rows, labels).join(rows.select("pos", "fixed_ref"), "pos")
     return named.select("fixed_ref", "primary_name", F.explode("aliases").alias("a")).select("fixed_ref", "primary_name", F.col("a.name").alias("alias"), F.col("a.category").alias("category"), F.col("a.type").alias("alias_type"), F.col("a.is_primary").alias("is_primary"))
 
