@@ -48,41 +48,46 @@ def _folded(start: Column, path: Column) -> Column:
     return F.aggregate(path, start, lambda now, s: F.sha2(F.concat(F.substr(s.others, F.lit(1), s.at * DIGEST), now, F.substr(s.others, s.at * DIGEST + 1, F.lit(1 << (FAN + 6)))), 256))
 
 
-def _tree(nodes: DataFrame, top: bool) -> tuple[list[DataFrame], list[DataFrame]]:
-    """(roots, links) of trees over nodes (tree, place, node, digest, height, last): each level is one grouping by run.
+def _together(tables: list[DataFrame]) -> DataFrame:
+    """All rows of some tables in as many partitions as a shuffle makes: those of a union add up, level by level and jump by jump."""
+    rows = reduce(DataFrame.unionByName, tables)
+    return rows.coalesce(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _tree(nodes: DataFrame, most: int, top: bool) -> tuple[list[DataFrame], list[DataFrame]]:
+    """(roots, links) of trees over nodes (tree, place, node, digest, height, last), most being the largest place: each level is one grouping by run.
 
     A tree whose only node has place 0 and is the last is done. links: node, up, path and height of every node below a root.
     """
     roots, links, level = [], [], 1
-    while True:
+    while most > 0:
         alone = (F.col("place") == 0) & F.col("last")
         roots.append(nodes.where(alone))
         level += 1
         kid = F.struct("place", "node", "digest", "height")
         runs = nodes.where(~alone).groupBy("tree", F.shiftright("place", FAN).alias("place")).agg(F.sort_array(F.collect_list(kid)).alias("kids"), F.max("last").alias("last"), (F.max("height") + 1).alias("height"))  # a run has 16 nodes at most
         runs = checkpointed(runs.withColumns({"digest": _run_digest(F.col("kids"), "digest"), "node": F.struct(F.col("tree").alias("tree"), F.lit(level).alias("level"), F.col("place").alias("place"))}))
-        if runs.isEmpty():
-            return roots, links
         joined = F.array_join(F.transform("kids", lambda k: k.digest), "")
         each = runs.select(F.col("node").alias("up"), joined.alias("all"), F.posexplode("kids").alias("at", "kid"))
         links.append(each.select(F.col("kid.node").alias("node"), "up", F.array(F.struct("at", _others(F.col("all"), F.col("at")).alias("others"), F.lit(top).alias("top"))).alias("path"), F.col("kid.height").alias("height")))
-        nodes = runs.drop("kids")
+        nodes, most = runs.drop("kids"), most >> FAN
+    return [*roots, nodes], links
 
 
-def _jumped(links: DataFrame) -> DataFrame:
-    """links with up and path leading to the root for every node, by self-joins that double the distance each time.
+def _jumped(links: DataFrame, steps: int) -> DataFrame:
+    """links with up and path leading to the root, at most so many steps away, for every node, by self-joins that double the distance each time.
 
     An ancestor is met by at most 16 to the power of the distance; beyond two levels it stands in as many copies as keep
     256 for each, so that no key is hot.
     """
     rows, distance = checkpointed(links.withColumn("open", F.lit(True))), 1
-    while not rows.where("open").isEmpty():
+    while distance < steps:
         copies = 1 << (FAN * max(0, distance - 2))
         over = rows.where(F.col("height") >= distance).select(F.col("node").alias("up"), F.col("up").alias("next"), F.col("path").alias("more"), F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("copy"))
         asked = rows.where("open").withColumn("copy", F.pmod(F.hash("node"), F.lit(copies)))
         met = asked.join(over, ["up", "copy"], "left")
         met = met.select("node", F.coalesce("next", "up").alias("up"), F.when(F.col("next").isNull(), F.col("path")).otherwise(F.concat("path", "more")).alias("path"), "height", F.col("next").isNotNull().alias("open"))
-        rows, distance = checkpointed(rows.where("not open").unionByName(met)), distance * 2
+        rows, distance = checkpointed(_together([rows.where("not open"), met])), distance * 2
     return rows.select("node", "path")
 
 
@@ -106,11 +111,12 @@ def proofs(docs: DataFrame, fields: list[str], by: str, key: str, changed: tuple
     runs = runs.withColumn("single", (F.col("place") == 0) & F.col("last") & (F.size("kids") == 1))
     runs = checkpointed(runs.withColumn("node", F.struct("tree", F.lit(1).alias("level"), "place")))
     digest = F.when(F.col("single"), F.col("kids")[0].leaf).otherwise(_run_digest(F.col("kids"), "leaf"))
-    subroots, links = _tree(runs.select("tree", "place", "node", digest.alias("digest"), F.lit(0).alias("height"), "last"), False)
-    tops = reduce(DataFrame.unionByName, subroots).select(F.lit(TOP).cast("long").alias("tree"), F.col("tree").alias("place"), "node", "digest", "height", (F.col("tree") == placed.groups - 1).alias("last"))
-    roots, more = _tree(checkpointed(tops), True)
-    root = reduce(DataFrame.unionByName, roots).first()  # one row, or none of an empty table
-    paths = _jumped(reduce(DataFrame.unionByName, links + more)) if links + more else None
+    most = runs.agg(F.max("place")).first()[0] or 0
+    subroots, links = _tree(runs.select("tree", "place", "node", digest.alias("digest"), F.lit(0).alias("height"), "last"), most, False)
+    tops = _together(subroots).select(F.lit(TOP).cast("long").alias("tree"), F.col("tree").alias("place"), "node", "digest", "height", (F.col("tree") == placed.groups - 1).alias("last"))
+    roots, more = _tree(checkpointed(tops), placed.groups - 1, True)
+    root = _together(roots).first()  # one row, or none of an empty table
+    paths = _jumped(_together(links + more), len(links + more)) if links + more else None
     rows = runs.join(paths, "node", "left") if paths else runs.withColumn("path", F.lit(None).cast(PATH))
     rows = rows.select("single", F.coalesce("path", F.array().cast(PATH)).alias("up"), F.array_join(F.transform("kids", lambda k: k.leaf), "").alias("all"), F.posexplode("kids").alias("at", "kid"))
     own = F.when(F.col("single"), F.array().cast(PATH)).otherwise(F.array(F.struct("at", _others(F.col("all"), F.col("at")).alias("others"), F.lit(False).alias("top"))))

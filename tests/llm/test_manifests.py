@@ -102,6 +102,16 @@ def test_proofs_small(spark):
     assert {r.root for r in two} == {sha(sha("1:11:x") + sha("1:21:y"))} and all(len(r.path) == 1 for r in two)
 
 
+def test_proofs_partitions(spark, monkeypatch):
+    """Levels and jumps do not add up their partitions."""
+    made, kept = [], merkle.checkpointed
+    monkeypatch.setattr(merkle, "checkpointed", lambda df: made.append(kept(df)) or made[-1])
+    rows = spark.createDataFrame([(i, "x", None, f"s{i % 20}", None, None, None) for i in range(400)], SCHEMA).coalesce(1)
+    found = merkle.proofs(rows, ["doc_id", "text"], "source", "doc_id")
+    assert found.where("verified").count() == 400
+    assert max(df.rdd.getNumPartitions() for df in made) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 5, 24, 1000, 4097, 65536])
 def test_permutation(n):
     numbers = np.arange(n)
