@@ -47,6 +47,11 @@ def dealt(rows: DataFrame, key: str) -> DataFrame:
     return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
 
 
+def spread(rows: DataFrame, many: str, *others: str) -> DataFrame:
+    """rows of others and one element of the array `many` at a time, under its own name. Spark guards a plain explode by a filter that makes the array, and all that it is parsed from, a second time."""
+    return rows.select(*others, F.explode_outer(many).alias(many)).where(F.col(many).isNotNull())
+
+
 # --- parties in scope ---------------------------------------------------------------------------
 
 PARTIES_SQL = """
@@ -143,8 +148,8 @@ def xml_programs(read, spark):
     blank = F.when(F.col("o_orderkey") % 5 == 0, "  ").otherwise(F.concat(F.lit(" "), "o_orderpriority", F.lit(" ")))
     measures = [element("SanctionsMeasure", {"SanctionsTypeID": F.lit(t)}, element("Comment", {}, c)) for t, c in (("2", F.col("o_orderstatus")), ("1", blank))]
     fragment = element("SanctionsEntry", {"ID": text("o_orderkey"), "ProfileID": F.concat(F.lit("p"), "o_custkey"), "ListID": F.lit("7")}, *measures)
-    rows = read("orders").select(xml.parse(fragment, xml.ENTRY).alias("x")).select(*xml.entry_columns(F.col("x")))
-    return rows.select("id", "profile_id", F.explode("programs").alias("program"))
+    rows = dealt(read("orders"), "o_orderkey").select(xml.parse(fragment, xml.ENTRY).alias("x")).select(*xml.entry_columns(F.col("x")))
+    return spread(rows, "programs", "id", "profile_id").withColumnRenamed("programs", "program")
 
 
 @query("""select cast(n_nationkey as varchar) as location_id, cast(n_regionkey as varchar) as country_id, i.i as at, case i.i when 2 then null else 'T' || i.i end as part_type,
@@ -168,7 +173,7 @@ def xml_documents(read, spark):
 @query("select cast(l_orderkey as varchar) || '-' || l_linenumber as id, 's' || l_suppkey as from_profile_id, 'p' || l_partkey as to_profile_id, l_returnflag as relation_type_id from lineitem")
 def xml_relationships(read, spark):
     fragment = element("ProfileRelationship", {"ID": F.concat(text("l_orderkey"), F.lit("-"), text("l_linenumber")), "From-ProfileID": F.concat(F.lit("s"), "l_suppkey"), "To-ProfileID": F.concat(F.lit("p"), "l_partkey"), "RelationTypeID": F.col("l_returnflag")}, "x")
-    return read("lineitem").select(xml.parse(fragment, xml.RELATIONSHIP).alias("x")).select(*xml.relationship_columns(F.col("x")))
+    return dealt(read("lineitem"), "l_orderkey").select(xml.parse(fragment, xml.RELATIONSHIP).alias("x")).select(*xml.relationship_columns(F.col("x")))
 
 
 @query("""select cast(o_orderkey as varchar) as feature_id, o_orderstatus as detail_value, year(o_orderdate) as start_year, case when o_orderkey % 2 = 0 then month(o_orderdate) end as start_month,
@@ -181,7 +186,8 @@ def xml_features(read, spark):
     details = F.when(F.col("o_orderkey") % 4 == 0, element("VersionDetail", {"DetailReferenceID": F.concat(F.lit("R"), "o_custkey")}, " ")).otherwise("")
     version = element("FeatureVersion", {}, element("DatePeriod", {}, element("Start", {}, start), element("End", {}, end)), element("VersionLocation", {"LocationID": F.concat(F.lit("L"), F.col("o_custkey") % 25)}), details, element("VersionDetail", {}, F.concat(F.lit(" "), "o_orderstatus")))
     fragment = element("DistinctParty", {"FixedRef": F.lit("1")}, element("Profile", {"ID": F.lit("1")}, element("Feature", {"ID": text("o_orderkey"), "FeatureTypeID": F.lit("8")}, version)))
-    f = read("orders").select(xml.parse(fragment, xml.PARTY).alias("x")).select(*xml.party_columns(F.col("x"))).select(F.explode("features").alias("f"))
+    rows = dealt(read("orders"), "o_orderkey").select(xml.parse(fragment, xml.PARTY).alias("x")).select(*xml.party_columns(F.col("x")))
+    f = spread(rows, "features").withColumnRenamed("features", "f")
     return f.select("f.feature_id", "f.detail_value", F.col("f.start.year").alias("start_year"), F.col("f.start.month").alias("start_month"), F.col("f.end.year").alias("end_year"), "f.location_id", "f.detail_reference_id")
 
 

@@ -39,6 +39,14 @@ def test_query(name, spark, folder, duck):
     assert rows == sorted(tuple(plain(r[i]) for i in place) for r in wanted.fetchall())
 
 
+@pytest.mark.parametrize("name", ["xml_features", "xml_programs", "xml_relationships"])
+def test_parsed_once(name, spark, folder):
+    """Every element is parsed once, by all tasks."""
+    got = catalog.QUERIES[name](spark, folder)
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("from_xml(") == 1
+    assert got.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_flagship(spark, folder):
     rows = catalog.flagship(spark, folder).collect()
     assert rows and all(r.entity_type in ("Individual", "Entity") for r in rows)
