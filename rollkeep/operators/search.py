@@ -99,7 +99,8 @@ def met_needles(vocabulary: DataFrame, words: DataFrame, needles: DataFrame, nee
     tried = stored(tried)  # its size is then known: where it is small, Spark sends it to the words' grams instead of shuffling these
     sizes = sorted(r[0] for r in tried.select(F.length("gram")).distinct().collect())  # from 1 to grams
     by_gram = vocabulary.select("word", "n", F.explode(F.concat(F.array().cast("array<string>"), *[_cut("word", n) for n in sizes])).alias("gram"))
-    common = by_gram.join(tried.select("gram").distinct(), "gram", "left_semi").groupBy("gram").agg(F.sum("n").alias("texts"))
+    by_gram = stored(by_gram.join(tried.select("gram").distinct(), "gram", "left_semi"))  # read twice, cut once
+    common = by_gram.groupBy("gram").agg(F.sum("n").alias("texts"))
     rarest = tried.join(common, "gram", "left").groupBy("needle").agg(F.min_by(F.struct("part", "gram"), F.struct("texts", "part", "gram")).alias("x"), F.bool_and(F.col("texts").isNotNull()).alias("met"))
     chosen = stored(rarest.where("met").select("needle", "x.part", "x.gram"))
     holding = by_gram.join(chosen.select("part", "gram").distinct(), "gram").where(F.contains("word", "part")).select("word", "part").distinct()

@@ -19,9 +19,8 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 from rollkeep.functions.scalar import name_matches
 from rollkeep.operators.compare import diff, record_hash
-from rollkeep.operators.search import confirmed, met_needles, words_of
+from rollkeep.operators.search import confirmed, met_needles, vocabulary_of, words_of
 from rollkeep.sources.log import content_of, created, exists, names_in, put_batch
-from rollkeep.sources.scratch import stored
 
 GRAM = 3
 #: Records in a file, about; and records whose lists share a bucket, about.
@@ -159,30 +158,31 @@ class Index:
 class TextIndex:
     """The words of texts, kept for screening them again and again: each text is cut into words once, whatever lists are asked for later.
 
-    A batch of texts is added once, with the number of texts that hold each of its words; words are dealt to buckets, and
-    a screening reads the buckets' rows of the words that it asks for.
+    A batch of texts is added once, with the number of texts that hold each of its words. Words are written by the tasks
+    that cut them, in the order of their texts, so the work is dealt as the texts are.
     """
 
     def __init__(self, spark: SparkSession, folder: str, buckets: int = 16) -> None:
-        self.spark, self.folder, self.buckets = spark, folder, buckets
+        """buckets is not used any more: dealing words to so few left all the sorting and writing to as few tasks."""
+        self.spark, self.folder = spark, folder
 
     def add(self, texts: DataFrame, text_id: str, text: str, batch: str) -> bool:
         """Add texts as a batch of this name; False, and nothing is added, if it is there already. A text's id stands in one batch only."""
         if exists(self.spark, f"{self.folder}/batch={batch}"):
             return False
-        words = stored(words_of(texts, text_id, text).withColumn("bucket", F.pmod(F.crc32("word"), F.lit(self.buckets)).cast("int")))
-        dealt = lambda df: df.repartition("bucket").sortWithinPartitions("bucket", "word")
-        return put_batch({"words": dealt(words), "vocabulary": dealt(words.groupBy("bucket", "word").agg(F.count(F.lit(1)).alias("n")))}, self.folder, batch, "bucket")
+        words = words_of(texts, text_id, text)
+        count = lambda at: vocabulary_of(self.spark.read.schema(words.schema).parquet(f"{at}/table=words"))
+        return put_batch({"words": words, "vocabulary": count}, self.folder, batch)
 
-    def _table(self, name: str) -> DataFrame | None:
-        """A table of all batches that are there at the time of the call."""
-        batches = [n for n in names_in(self.spark, self.folder) if n.startswith("batch=")]
+    def _table(self, name: str, asked: list[str] | None = None) -> DataFrame | None:
+        """A table of all batches, or of some, that are there at the time of the call."""
+        batches = [n for n in names_in(self.spark, self.folder) if n.startswith("batch=") and (asked is None or n.removeprefix("batch=") in asked)]
         return self.spark.read.option("basePath", self.folder).parquet(*[f"{self.folder}/{b}/table={name}" for b in batches]) if batches else None
 
-    def screen(self, texts: DataFrame, text_id: str, text: str, needles: DataFrame, needle: str) -> DataFrame:
-        """(text_id, needle) as operators.search.screen gives them for the texts that were added; texts holds these, and only candidates' texts are looked at."""
-        words = self._table("words")
+    def screen(self, texts: DataFrame, text_id: str, text: str, needles: DataFrame, needle: str, batches: list[str] | None = None) -> DataFrame:
+        """(text_id, needle) as operators.search.screen gives them for the texts that were added, or for those of some batches; texts holds these, and only candidates' texts are looked at."""
+        words = self._table("words", batches)
         if words is None:
             return confirmed(texts.select(F.col(text_id).alias("id"), F.lit("").alias("needle")).limit(0), texts, text_id, text)
-        vocabulary = self._table("vocabulary").groupBy("word").agg(F.sum("n").alias("n"))
+        vocabulary = self._table("vocabulary", batches).groupBy("word").agg(F.sum("n").alias("n"))
         return confirmed(met_needles(vocabulary, words.select("id", "word"), needles, needle), texts, text_id, text)

@@ -126,6 +126,18 @@ def test_text_index(spark, tmp_path):
     assert {n for n in log.names_in(spark, held.folder)} == {"batch=one", "batch=two"}
 
 
+def test_text_index_dealt(spark, tmp_path):
+    """Words are written by as many tasks as cut them, whatever the buckets, and batches that are not asked for are not screened."""
+    texts = spark.range(0, 600, 1, 12).select("id", F.concat(F.lit("word"), "id", F.lit(" ivan")).alias("note"))
+    held = index.TextIndex(spark, str(tmp_path / "t"), buckets=1)
+    for batch, part in (("one", texts.where("id < 300")), ("two", texts.where("id >= 300"))):
+        held.add(part, "id", "note", batch)
+    words = spark.read.parquet(f"{held.folder}/batch=one/table=words")
+    assert len(words.inputFiles()) >= 6 and words.count() == 600
+    found = held.screen(texts, "id", "note", spark.createDataFrame([("IVAN",)], "n string"), "n", ["two"])
+    assert sorted(r.id for r in found.collect()) == list(range(300, 600))
+
+
 def test_shared_word_costs_nothing(spark, monkeypatch):
     """Texts and needles that share a word but no other: no pair is made to be compared."""
     n, pairs = 2000, []
