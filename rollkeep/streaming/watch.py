@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from rollkeep.operators.search import screen
 from rollkeep.operators.versions import pointer
 from rollkeep.sources.index import TextIndex
 from rollkeep.sources.log import names_in, put_batch
@@ -76,11 +75,11 @@ class Watch:
             names = self._names(seq)
             if last:
                 fresh = names.join(self._names(last), "name", "left_anti")
-                found = self.index.screen(texts, "id", "text", fresh, "name")
+                found = self.index.screen(texts, "id", "text", fresh, "name", batches)
             else:
                 for b in batches:
                     self.index.add(texts.where(F.col("batch") == b), "id", "text", b)
-                found = screen(texts, "id", "text", names, "name")
+                found = self.index.screen(texts, "id", "text", names, "name", batches)
             new = found.join(self.hits().select("id", "needle"), ["id", "needle"], "left_anti").withColumn("seq", F.lit(seq).cast("long"))
             cover = self.spark.createDataFrame([(b, seq) for b in batches], COVER)
             step = f"{seq}-{hashlib.sha256('/'.join(batches).encode()).hexdigest()[:16]}"
