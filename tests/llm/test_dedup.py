@@ -9,7 +9,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from rollkeep.llm import components, embedding_dedup, exact_dedup, filters, line_dedup, queries, simhash, url_filter
+from rollkeep.llm import components, embedding_dedup, exact_dedup, filters, line_dedup, line_families, queries, simhash, url_filter
 
 
 def groups(n, links):
@@ -324,6 +324,44 @@ def test_signatures_differ_in_two_bits_an_edit(spark):
     assert df.where(bits > 2 * F.col("d")).count() == 0
 
 
+def test_family_links_reach_what_all_links_reach(spark):
+    """Two edits in one or two places, at the ends and where equal heads and tails overlap; only links come out."""
+    rng = random.Random(4)
+    for letters, size, edits in (("ab", 19, 2), ("abcdef", 30, 2), ("abc", 11, 1)):
+        names = {"".join(rng.choice(letters) for _ in range(size))}
+        while len(names) < 160:
+            x = list(rng.choice(sorted(names)[:20]))
+            for _ in range(rng.randint(1, 4)):
+                i = rng.randrange(len(x) + 1)
+                x[i : i + rng.randint(0, 1)] = rng.choice(["", *letters])
+            if len(x) >= 10:
+                names.add("".join(x))
+        names = sorted(names)
+        links = [(i, j) for j in range(len(names)) for i in range(j) if within(names[i], names[j], min(edits, len(names[i]) // 10, len(names[j]) // 10))]
+        rows = line_families.family_links(spark.createDataFrame([(i, len(x), x) for i, x in enumerate(names)], "id long, n int, line string"), edits, 10).collect()
+        got = {(r.a, r.b) for r in rows}
+        assert got <= set(links) and len(got) == len(rows)
+        assert groups(len(names), got) == groups(len(names), links)
+
+
+def test_families_do_not_meet_in_pairs(spark):
+    """Lines of one family, told apart by no signature: candidates stay few, and fates are those of brute force."""
+    rng = random.Random(5)
+    base = "".join(rng.choice("etaoinsrhl ") for _ in range(150)).strip()
+    names = set()
+    while len(names) < 700:
+        i = rng.randrange(len(base))
+        x = base[:i] + "".join(rng.choice("bcdfgjkmpqu") for _ in range(4)) + base[i:]
+        names |= {x, x.replace(base[40:42], "xy")} if rng.random() < 0.1 else {x}
+    names = sorted(names)
+    ids = spark.createDataFrame([(x,) for x in names], "line string").select(line_dedup.signature(F.col("line")).bitwiseOR(F.xxhash64("line").bitwiseAND((1 << line_dedup.HASH_BITS) - 1)).alias("id"), F.length("line").alias("n"), "line")
+    assert line_dedup.near_lines(ids, 2, 10).count() < 10 * len(names)
+    docs = list(enumerate(names))
+    want = lines_wanted(docs)
+    got = {(True, r.key_, r.no): r.fate for r in line_dedup.mark_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == want and list(want.values()).count("near") > 10
+
+
 def slow_verdict(url, rules):
     host, path = "", ""
     if url is not None and "://" in url:
