@@ -362,6 +362,20 @@ def test_families_do_not_meet_in_pairs(spark):
     assert got == want and list(want.values()).count("near") > 10
 
 
+def test_families_have_as_many_partitions_as_they_need(spark, monkeypatch):
+    """Rounds of the search for turns neither add up their partitions nor have those of the whole table."""
+    made, kept = [], line_families.checkpointed
+    monkeypatch.setattr(line_families, "checkpointed", lambda df: made.append(kept(df)) or made[-1])
+    rng = random.Random(6)
+    base = "".join(rng.choice("etaoinsrhl ") for _ in range(60))
+    names = sorted({base[:i] + x + base[i:] for i in range(60) for x in "bcd"})
+    distinct = spark.createDataFrame([(i, len(x), x) for i, x in enumerate(names)], "id long, n int, line string").repartition(3)
+    found = line_dedup.near_lines(distinct, 2, 10)
+    got = {(r.a, r.b) for r in found.collect()}
+    assert len(made) > 8 and max(df.rdd.getNumPartitions() for df in made) == 1
+    assert groups(len(names), got) == [0] * len(names)
+
+
 def slow_verdict(url, rules):
     host, path = "", ""
     if url is not None and "://" in url:
