@@ -376,6 +376,29 @@ def test_families_have_as_many_partitions_as_they_need(spark, monkeypatch):
     assert groups(len(names), got) == [0] * len(names)
 
 
+def test_few_rows_do_not_run_in_all_partitions(spark):
+    """Keys, candidates, links and nodes of a small table have few tasks, however many partitions a shuffle has."""
+    rng = random.Random(9)
+    lines = ["".join(rng.choice("etaoin srhlx") for _ in range(40)) for _ in range(60)]
+    docs = [(i, "\n".join([lines[i], lines[i][:20] + "#" + lines[i][21:], lines[i - 1]])) for i in range(60)]
+    wide = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in wide}
+    context, told = spark.sparkContext, spark.sparkContext.statusTracker()
+    try:
+        for k, v in wide.items():
+            spark.conf.set(k, v)
+        context.setJobGroup("few-rows", "")
+        got = {(True, r.key_, r.no): r.fate for r in line_dedup.mark_lines(spark.createDataFrame(docs, "doc_id long, text string").coalesce(2)).collect()}
+        stages = {s for j in told.getJobIdsForGroup("few-rows") for s in told.getJobInfo(j).stageIds}
+        tasks = [i.numTasks for i in map(told.getStageInfo, stages) if i and i.numCompletedTasks]
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == lines_wanted(docs)
+    assert len(tasks) > 20 and sum(n >= 64 for n in tasks) < 30
+
+
 def slow_verdict(url, rules):
     host, path = "", ""
     if url is not None and "://" in url:
