@@ -894,15 +894,19 @@ def json_arrays(read, spark):
 
 @query("select s_suppkey, cast(1950 + s_suppkey % 100 as int) as year, cast(1 + s_suppkey % 12 as int) as month, case when s_suppkey % 3 > 0 then cast(1 + s_suppkey % 28 as int) end as day from supplier")
 def xml_issued(read, spark):
-    """The date of issue of many snapshots, one file for each supplier; the last element counts, and a day may be missing."""
+    """The date of issue of many snapshots, one file for each supplier, with one entry; the last element counts, and a day may be missing.
+
+    The files lie in one folder: a folder for each costs a task for each, whenever the path is listed.
+    """
     folder = f"{shared_folder(spark)}/xml-{uuid.uuid4().hex}"
     k = F.col("s_suppkey")
     part = lambda name, value: element(name, {}, value.cast("string"))
     day = F.when(k % 3 > 0, part("Day", 1 + k % 28)).otherwise("")
     issued = F.concat(element("DateOfIssue", {}, part("Year", F.lit(1))), element("DateOfIssue", {}, part("Year", 1950 + k % 100), part("Month", 1 + k % 12), day))
-    dealt(read("supplier").select("s_suppkey", element("Sanctions", {}, issued).alias("value")), "s_suppkey").write.partitionBy("s_suppkey").text(folder)
-    found = xml.read_sections(spark, folder)["issued"]
-    return found.select(F.regexp_extract("snapshot_id", r"s_suppkey=(\d+)/", 1).cast("long").alias("s_suppkey"), "year", "month", "day")
+    entry = element("SanctionsEntries", {}, element("SanctionsEntry", {"ID": k.cast("string")}))
+    dealt(read("supplier").select("s_suppkey", element("Sanctions", {}, issued, entry).alias("value")), "s_suppkey").select("value").write.option("maxRecordsPerFile", 1).text(folder)
+    found = xml.read_sections(spark, folder)
+    return found["issued"].join(found["entries"], "snapshot_id").select(F.col("id").cast("long").alias("s_suppkey"), "year", "month", "day")
 
 
 @query("""select cast(c_custkey as varchar) as fixed_ref, c_name as primary_name, case c_custkey % 4 when 0 then 'Individual' else 'Entity' end as entity_type,

@@ -7,12 +7,12 @@ second cuts the elements out, and each is parsed by itself. Elements that go ove
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from itertools import groupby
+from collections.abc import Callable, Iterator
+from itertools import chain, groupby
 from typing import NamedTuple
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from rollkeep import schemas
@@ -130,15 +130,25 @@ _COLUMNS = {
 
 
 class Snapshots(NamedTuple):
-    """The files of a path (snapshot_id, well_formed, the number of opening tags of parties), and what each byte range begins with."""
+    """The pieces of the files of a path, listed once for both walks; the files (snapshot_id, well_formed, the number of opening tags of parties), and what each byte range begins with."""
 
-    paths: str
+    text: DataFrame
     files: list[tuple[str, bool, int]]
     starts: dict[tuple[str, int], dict]
 
 
-def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for (file, place, _), lists in ranges(batches):
+def _split_alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The summaries of files of several ranges. What begins at 0 and has as many bytes as the file is all of it, and is passed over."""
+    return _summaries(batches, lambda place, length, first: place == 0 and sum(map(len, first)) + len(first) >= length)
+
+
+def _summaries(batches: Iterator[pa.RecordBatch], passed: Callable[[int, int, list[bytes]], bool] | None = None) -> Iterator[pa.RecordBatch]:
+    for (file, place, length), lists in ranges(batches):
+        if passed:
+            first = next(lists)
+            if passed(place, length, first):
+                continue
+            lists = chain([first], lists)
         tail: list[bytes] = []
 
         def but_last(lists: Iterator[list[bytes]] = lists, tail: list[bytes] = tail) -> Iterator[bytes]:
@@ -149,7 +159,7 @@ def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     yield b">".join(some) + b">"
 
         told = tokens.summed_up(but_last(), PARTY_TAG.encode())
-        yield pa.RecordBatch.from_arrays([pa.array([file]), pa.array([place], pa.int64()), pa.array([told]), pa.array(tail, pa.binary())], ["file", "place", "told", "tail"])
+        yield pa.RecordBatch.from_arrays([pa.array([file]), pa.array([length], pa.int64()), pa.array([place], pa.int64()), pa.array([told]), pa.array(tail, pa.binary())], ["file", "length", "place", "told", "tail"])
 
 
 def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,6 +175,19 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*out, strict=True), (pa.string(), pa.bool_(), pa.int64(), pa.list_(pa.string())), strict=True)], ["file", "well_formed", "parties", "starts"])
 
 
+def _verdicts(text: DataFrame, every: DataFrame | None = None) -> DataFrame:
+    """(file, well_formed, parties, starts) of every file (file, length), or else of those files of pieces that have several ranges; files of one range have no starts."""
+    found = text.mapInArrow(_split_alone if every is None else _summaries, "file string, length long, place long, told string, tail binary")
+    if every is not None:
+        found = every.join(found.drop("length"), "file", "left").select("file", "length", "place", "told", "tail")
+    rows = found.repartition("file").sortWithinPartitions("file", "place")
+    return rows.mapInArrow(_joined, "file string, well_formed boolean, parties long, starts array<string>")
+
+
+def _starts(rows: list[Row]) -> dict[tuple[str, int], dict]:
+    return {(r.file, x["place"]): x for r in rows for x in map(tokens.json.loads, r.starts)}
+
+
 def look_through(spark: SparkSession, path: str) -> Snapshots:
     """The first walk over the files of a path. The driver sees one small row for each file, and for each byte range of files with more than one.
 
@@ -172,16 +195,14 @@ def look_through(spark: SparkSession, path: str) -> Snapshots:
     type may be named but not defined. Prefixes need not be declared, and attributes may repeat outside elements that are
     parsed. Files without a byte are not listed.
     """
-    found = pieces(spark, path, ">").mapInArrow(_summaries, "file string, place long, told string, tail binary")
-    rows = lengths(spark, path).join(found, "file", "left").select("file", "length", "place", "told", "tail").repartition("file").sortWithinPartitions("file", "place")
-    rows = rows.mapInArrow(_joined, "file string, well_formed boolean, parties long, starts array<string>").collect()
-    starts = {(r.file, x["place"]): x for r in rows for x in map(tokens.json.loads, r.starts)}
-    return Snapshots(path, [(r.file, r.well_formed, r.parties) for r in rows], starts)
+    text = pieces(spark, path, ">")
+    rows = _verdicts(text, lengths(spark, path)).collect()
+    return Snapshots(text, [(r.file, r.well_formed, r.parties) for r in rows], _starts(rows))
 
 
-def _cuttings(spark: SparkSession, seen: Snapshots) -> DataFrame:
+def _cuttings(text: DataFrame, starts: dict[tuple[str, int], dict]) -> DataFrame:
     """(snapshot_id, pos, element, place, origin, fragment) of elements and, with origin, of parts of elements."""
-    starts, pattern = seen.starts, tokens.marks(list(ELEMENTS))
+    pattern = tokens.marks(list(ELEMENTS))
 
     def cuttings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (file, place, _), lists in ranges(batches):
@@ -192,7 +213,7 @@ def _cuttings(spark: SparkSession, seen: Snapshots) -> DataFrame:
                 n = len(part)
                 yield pa.RecordBatch.from_arrays([pa.array([file] * n), pa.array(pos, pa.int64()), pa.array(element), pa.array([place] * n, pa.int64()), pa.array(origin, pa.int64()), pa.array([f.decode("utf-8", "replace") for f in fragment])], ["snapshot_id", "pos", "element", "place", "origin", "fragment"])
 
-    return pieces(spark, seen.paths, ">").mapInArrow(cuttings, "snapshot_id string, pos long, element string, place long, origin long, fragment string")
+    return text.mapInArrow(cuttings, "snapshot_id string, pos long, element string, place long, origin long, fragment string")
 
 
 def _put_together(parts: DataFrame) -> DataFrame:
@@ -204,7 +225,7 @@ def _put_together(parts: DataFrame) -> DataFrame:
 def read_fragments(spark: SparkSession, path: str) -> DataFrame:
     """(snapshot_id, pos, element, fragment): the text of every element that is not within another; pos is its byte offset."""
     seen = look_through(spark, path)
-    rows = _cuttings(spark, seen)
+    rows = _cuttings(seen.text, seen.starts)
     whole = rows.where("origin is null").select("snapshot_id", "pos", "element", "fragment")
     if not any(s["target"] for s in seen.starts.values()):
         return whole
@@ -233,15 +254,19 @@ def read_parsed(spark: SparkSession, path: str) -> tuple[DataFrame, list[tuple[s
     Elements are cut out and parsed in one scan. Parts of elements are stored as they are, and parsed when put together.
     """
     seen = look_through(spark, path)
-    rows = _cuttings(spark, seen)
+    return _parsed_table(seen.text, seen.starts), seen.files
+
+
+def _parsed_table(text: DataFrame, starts: dict[tuple[str, int], dict]) -> DataFrame:
+    rows = _cuttings(text, starts)
     of_part = F.col("origin").isNotNull()
     rows = rows.withColumns({"part": F.when(of_part, F.struct(F.col("element").alias("of"), "fragment")), "element": F.when(of_part, PART).otherwise(F.col("element")), "fragment": F.when(~of_part, F.col("fragment"))})
     table = stored(_parsed(rows), "element")
     whole = table.where(F.col("element") != PART).drop("place", "origin", "part")
-    if not any(s["target"] for s in seen.starts.values()):
-        return whole, seen.files
+    if not any(s["target"] for s in starts.values()):
+        return whole
     parts = table.where(F.col("element") == PART).select("snapshot_id", "pos", "place", "origin", F.col("part.of").alias("element"), F.col("part.fragment").alias("fragment"))
-    return whole.unionByName(stored(_parsed(_put_together(parts)), "element"), allowMissingColumns=True), seen.files
+    return whole.unionByName(stored(_parsed(_put_together(parts)), "element"), allowMissingColumns=True)
 
 
 def faults(parsed: DataFrame, files: list[tuple[str, bool, int]]) -> dict[str, str]:
@@ -279,8 +304,9 @@ def sections_of(parsed: DataFrame) -> dict[str, DataFrame]:
 
 
 def read_sections(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """All sections of the snapshots at path: parsed once, stored by element, and read from there."""
-    return sections_of(read_parsed(spark, path)[0])
+    """All sections of the snapshots at path: parsed once, stored by element, and read from there. Nothing is told of the files, so the driver sees only those of several ranges."""
+    text = pieces(spark, path, ">")
+    return sections_of(_parsed_table(text, _starts(_verdicts(text).where(F.size("starts") > 0).collect())))
 
 
 def read_parties(spark: SparkSession, path: str) -> DataFrame:

@@ -8,6 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from rollkeep.plans import catalog
 from rollkeep.plans.cycle import run_cycle
 from rollkeep.sources import tokens, xml
 from rollkeep.sources.mapping import XML_MAPPING
@@ -142,6 +143,8 @@ def test_ranges_within_parties(spark, tmp_path, narrow):
     sections = xml.read_sections(spark, str(tmp_path / "in"))
     assert sections["profiles"].count() == 3 * len(HIDDEN) + 1
     assert {r.label for r in sections["labels"].where("kind = 'List'").collect()} == {"Main List"}
+    told = xml.sections_of(xml.read_parsed(spark, str(tmp_path / "in"))[0])
+    assert all(sections[k].exceptAll(told[k]).isEmpty() and told[k].exceptAll(sections[k]).isEmpty() for k in sections)
     places = [r.location_id for r in sections["locations"].where("snapshot_id like '%attribute%'").collect()]
     assert sorted(places) == ["50", "a>b", "c", "d'>"]
 
@@ -163,6 +166,31 @@ def test_faults(spark, tmp_path, narrow):
     assert {k.rpartition("/")[2]: v for k, v in xml.faults(less, files).items()}["good.xml"] == "LOST"
 
 
+def test_a_snapshot_costs_no_task(spark, tmp_path):
+    """One file for each row, also where a key repeats, and far fewer tasks than files: they are listed as one folder, by no task of their own."""
+    keys = [*range(1, 201), 7]
+    spark.createDataFrame([(k,) for k in keys], "s_suppkey long").write.parquet(str(tmp_path / "supplier.parquet"))
+    told = spark.sparkContext.statusTracker()
+    try:
+        spark.sparkContext.setJobGroup("snapshots", "")
+        got = sorted((r.s_suppkey, r.year, r.month, r.day) for r in catalog.QUERIES["xml_issued"](spark, str(tmp_path)).collect())
+        stages = {s for j in told.getJobIdsForGroup("snapshots") for s in told.getJobInfo(j).stageIds}
+        tasks = sum(i.numTasks for i in map(told.getStageInfo, stages) if i)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert got == sorted((k, 1950 + k % 100, 1 + k % 12, 1 + k % 28 if k % 3 else None) for k in keys)
+    assert tasks < len(keys) // 2
+
+
+def test_whole_files_are_passed_over(spark, tmp_path):
+    """Where nothing is told of the files, the first walk leaves no row of a file of one range, however it ends."""
+    for k, end in enumerate(("", "\n", ">", "\n\n ")):
+        (tmp_path / f"{k}.xml").write_text(f"<S><DateOfIssue><Year>{1900 + k}</Year></DateOfIssue></S{end}" if end == ">" else f"<S><DateOfIssue><Year>{1900 + k}</Year></DateOfIssue></S>{end}")
+    (tmp_path / "mark.xml").write_bytes(b"\xef\xbb\xbf<S><DateOfIssue><Year>1904</Year></DateOfIssue></S>")
+    assert {r.file.rpartition("/")[2] for r in xml._verdicts(xml.pieces(spark, str(tmp_path), ">")).collect()} <= {"mark.xml"}
+    assert sorted(r.year for r in xml.read_sections(spark, str(tmp_path))["issued"].collect()) == list(range(1900, 1905))
+
+
 def test_many_small_files(spark, tmp_path):
     """Files of one range leave nothing with the driver, their ranges are told apart within a batch, and bytes and dates come back."""
     for k in range(60):
